@@ -62,9 +62,25 @@ FROM pending WHERE frequency % 13 <> 0
 """
 
 
+def vote_templates(spark, d):
+    """Classified templates of the delivered messages and of all conversation turns, which no rule labels."""
+    talk = spark.sql(
+        "SELECT text AS Message, role AS ClientName, timestampadd(SECOND, conv_id * 60 + turn, TIMESTAMP_NTZ'2024-01-05 00:00:00') AS ArrivalDate FROM {talk}",
+        talk=table(spark, d, "conversations"),
+    )
+    rows = delivered(spark, d).select("Message", "ClientName", "ArrivalDate").unionByName(talk)
+    return classify.classify_rules(frequency.template_frequency(rows, include_pure=True))
+
+
+def pending_keys(done):
+    """Pending ids with a number the fixture's judges decide by."""
+    number = (F.col("frequency") + F.length("template_text")).alias("frequency")
+    return done.where("level_used = 'pending'").select("template_id", number)
+
+
 def resolved(spark, d, partial=False):
-    done = classify.classify_rules(freq(spark, d, include_pure=True))
-    pending = done.where("level_used = 'pending'").select("template_id", "frequency")
+    done = vote_templates(spark, d)
+    pending = pending_keys(done)
     v = spark.sql(JUDGE_SQL.replace("FROM pending", "FROM {pending}"), pending=pending)
     a = spark.sql(ARBITER_SQL.replace("FROM pending", "FROM {pending}"), pending=pending)
     return votes.resolve_votes(done, v.withColumn("confidence", F.col("confidence").cast("double")),
@@ -357,8 +373,7 @@ def q_resolve_votes_partial(spark, d):
 
 def q_merged_labels(spark, d):
     """Votes after consolidating two overlapping labels, with their agreement rate."""
-    done = classify.classify_rules(freq(spark, d, include_pure=True))
-    pending = done.where("level_used = 'pending'").select("template_id", "frequency")
+    pending = pending_keys(vote_templates(spark, d))
     v = spark.sql(JUDGE_SQL.replace("FROM pending", "FROM {pending}"), pending=pending)
     merged = votes.merge_labels(v, {"banking::otp_2fa": "public::security", "government::dian": "public::security"})
     pairs = votes.paired_votes(merged)
@@ -392,7 +407,7 @@ def q_extrapolated_shares(spark, d):
 
 def q_judged_templates(spark, d):
     """A pluggable judge (here: by text length) over the pending templates."""
-    pending = classify.classify_rules(freq(spark, d, include_pure=True)).where("level_used = 'pending'")
+    pending = vote_templates(spark, d).where("level_used = 'pending'")
 
     def by_length(text, rules, client):
         if len(text) % 5 == 4:
