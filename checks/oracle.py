@@ -272,8 +272,8 @@ p AS (SELECT template_id, max(label) FILTER (judge = 1) AS a, max(label) FILTER
     "store_levels": w(RES, "SELECT level_used, count(*) AS templates, round(avg(confidence), 6) AS avg_confidence FROM res GROUP BY 1"),
     "store_by_level": w(RES, "SELECT template_id, label, first_seen AS classified_at FROM res WHERE level_used = 'rule' ORDER BY first_seen DESC, template_id LIMIT 5"),
     "store_by_confidence": w(RES, "SELECT template_id, round(confidence, 6) AS confidence FROM res WHERE confidence BETWEEN 0.0 AND 0.9::DOUBLE ORDER BY res.confidence, template_id LIMIT 10"),
-    "store_by_client": w(RES, "SELECT template_id, client_name, first_seen AS classified_at FROM res WHERE client_name = 'Nequi'"),
-    "store_needing_review": w(RES, "SELECT template_id, level_used, needs_human_review FROM res WHERE needs_human_review"),
+    "store_by_client": w(RES, "SELECT template_id, client_name, first_seen AS classified_at FROM res WHERE client_name = 'Nequi' ORDER BY first_seen DESC, template_id LIMIT 100"),
+    "store_needing_review": w(RES, "SELECT template_id, level_used, needs_human_review FROM res WHERE needs_human_review ORDER BY first_seen DESC, template_id LIMIT 100"),
     "upsert_first_wins": w(SIGHT, """SELECT template_id, label, client_name, arrived AS first_seen, arrived AS last_seen, 1::BIGINT AS frequency FROM early
   UNION ALL SELECT template_id, label, client_name, arrived, arrived, 1 FROM later"""),
     "frequency_update": w(SIGHT + ",\nd AS (SELECT template_id, count(*) AS c, max(arrived) AS l FROM si WHERE arrived >= TIMESTAMP '2024-01-11' GROUP BY 1)",

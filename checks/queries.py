@@ -34,8 +34,19 @@ def delivered(spark, d):
     return src.delivered_only(raw_messages(spark, d))
 
 
+def texts(spark, d):
+    """Delivered messages ahead of the extraction rules."""
+    return src.spread_scan(delivered(spark, d))
+
+
 def freq(spark, d, include_pure=False):
-    return frequency.template_frequency(delivered(spark, d), include_pure=include_pure)
+    return frequency.template_frequency(texts(spark, d), include_pure=include_pure)
+
+
+def stored(spark, df):
+    """A table that several steps read, computed once (in production: a written table)."""
+    shared_folder(spark)
+    return df.checkpoint()
 
 
 def fired(c="applied_rules"):
@@ -68,8 +79,8 @@ def vote_templates(spark, d):
         "SELECT text AS Message, role AS ClientName, timestampadd(SECOND, conv_id * 60 + turn, TIMESTAMP_NTZ'2024-01-05 00:00:00') AS ArrivalDate FROM {talk}",
         talk=table(spark, d, "conversations"),
     )
-    rows = delivered(spark, d).select("Message", "ClientName", "ArrivalDate").unionByName(talk)
-    return classify.classify_rules(frequency.template_frequency(rows, include_pure=True))
+    rows = texts(spark, d).select("Message", "ClientName", "ArrivalDate").unionByName(talk)
+    return stored(spark, classify.classify_rules(frequency.template_frequency(rows, include_pure=True)))
 
 
 def pending_keys(done):
@@ -88,18 +99,18 @@ def resolved(spark, d, partial=False):
 
 
 def classified(spark, d):
-    return classified_templates(raw_messages(spark, d))
+    return classified_templates(src.spread_scan(raw_messages(spark, d)))
 
 
 def lookup(spark, d):
     labelled = classified(spark, d).where("trim(label) <> ''")
-    return labelled.select("template_id", F.col("category").alias("categoria"), F.col("subcategory").alias("subcategoria"), "label")
+    return stored(spark, labelled.select("template_id", F.col("category").alias("categoria"), F.col("subcategory").alias("subcategoria"), "label"))
 
 
 def cells(spark, d):
-    """Counters of every phone over the look-back; the lookup is derived, so it is joined without counting it first."""
-    rows = lake.lookback_filter(raw_messages(spark, d), AS_OF, 30)
-    return scoring.phone_cells(scoring.categorise(rows, lookup(spark, d), max_lookup_rows=None))
+    """Counters of every phone over the look-back."""
+    rows = src.spread_scan(lake.lookback_filter(raw_messages(spark, d), AS_OF, 30))
+    return scoring.phone_cells(scoring.categorise(rows, lookup(spark, d)))
 
 
 def requests(spark, d):
@@ -167,14 +178,14 @@ def q_tolerant_json(spark, d):
 
 
 def q_resume_pending(spark, d):
-    all_templates = freq(spark, d, include_pure=True)
+    all_templates = stored(spark, freq(spark, d, include_pure=True))
     done = all_templates.where(F.substring("template_id", 1, 1) < "8")
     return jsonl.not_processed(all_templates, jsonl.processed_ids(done), 1000).select("template_id", "template_text", "frequency")
 
 
 def q_classification_lookup(spark, d):
     """Labels of every message as CSV-like rows with duplicates; the last one per template wins."""
-    rows = frequency.templates_of(delivered(spark, d)).withColumn("client_name", F.col("ClientName"))
+    rows = frequency.templates_of(texts(spark, d)).withColumn("client_name", F.col("ClientName"))
     c = classify.classify_rules(rows.select("MTMessageId", "template_id", "template_text", "client_name"))
     csv = c.select(F.col("template_id").alias("ID Plantilla"), F.col("category").alias("Categoría"), F.col("subcategory").alias("Subcategoría"),
                    F.col("label").alias("Etiqueta (Label)"), "MTMessageId")
@@ -182,13 +193,13 @@ def q_classification_lookup(spark, d):
 
 
 def q_split_log(spark, d):
-    rows = frequency.templates_of(delivered(spark, d))
+    rows = frequency.templates_of(texts(spark, d))
     return split.split_templates(rows).groupBy("has_placeholder").agg(
         F.count(F.lit(1)).alias("messages"), F.sum(F.length("template_text")).alias("template_chars"))
 
 
 def q_run_metadata(spark, d):
-    all_templates = freq(spark, d, include_pure=True)
+    all_templates = stored(spark, freq(spark, d, include_pure=True))
     row = outputs.run_metadata(all_templates, classify.classify_rules(split.with_placeholders(all_templates)), "2024-01-31", "events")
     return row.select("total_messages", "unique_templates", "unique_pure_messages", "l0_classification.*")
 
@@ -215,12 +226,12 @@ def q_document_normalization(spark, d):
 
 
 def q_templates(spark, d):
-    rows = frequency.templates_of(delivered(spark, d))
+    rows = frequency.templates_of(texts(spark, d))
     return rows.select("MTMessageId", "template_id", "template_text", fired(), "has_placeholder")
 
 
 def _texts(rows, key):
-    t = extract_templates(rows.withColumn("cleaned_message", normalize_text("text")))
+    t = extract_templates(src.spread_scan(rows).withColumn("cleaned_message", normalize_text("text")))
     return t.select(*key, "template_id", fired(), F.length("template_text").alias("template_chars"))
 
 
@@ -246,22 +257,22 @@ def q_template_frequency(spark, d):
 
 
 def q_pure_text_frequency(spark, d):
-    return frequency.pure_text_frequency(delivered(spark, d))
+    return frequency.pure_text_frequency(texts(spark, d))
 
 
 def q_distinct_counts(spark, d):
-    return frequency.distinct_counts(delivered(spark, d))
+    return frequency.distinct_counts(texts(spark, d))
 
 
 def q_template_stats(spark, d):
-    t = frequency.template_stats(delivered(spark, d))
+    t = frequency.template_stats(texts(spark, d))
     return t.select("template_id", "template_text", "frequency", F.array_join("client_names", ",").alias("client_names"),
                     F.array_join(F.transform("priority_ids", lambda x: x.cast("string")), ",").alias("priority_ids"),
                     F.array_join("operator_names", ",").alias("operator_names"), "phone_count", "first_seen", "last_seen")
 
 
 def q_split_summary(spark, d):
-    return split.split_summary(frequency.templates_of(delivered(spark, d)))
+    return split.split_summary(frequency.templates_of(texts(spark, d)))
 
 
 def q_frequent_coverage(spark, d):
@@ -278,7 +289,7 @@ def q_top_frequent(spark, d):
 
 def q_top_templates(spark, d):
     m = delivered(spark, d)
-    best = frequency.top_templates(frequency.template_frequency(m, include_pure=True), 20, stats.message_count(m))
+    best = frequency.top_templates(frequency.template_frequency(src.spread_scan(m), include_pure=True), 20, stats.message_count(m))
     return best.select("template_id", "template_text", "frequency", "pct")
 
 
@@ -333,7 +344,7 @@ def q_rule_classification(spark, d):
 
 def q_message_classification(spark, d):
     """Every message's template classified with its own sender."""
-    rows = frequency.templates_of(delivered(spark, d)).withColumn("client_name", F.col("ClientName"))
+    rows = frequency.templates_of(texts(spark, d)).withColumn("client_name", F.col("ClientName"))
     c = classify.classify_rules(rows.select("MTMessageId", "template_text", "client_name"))
     return c.select("MTMessageId", "label", "level_used", "rule_name")
 
@@ -440,7 +451,7 @@ def q_store_needing_review(spark, d):
 
 def _sightings(spark, d):
     """Every delivered message as an incoming template classified at its arrival."""
-    rows = frequency.templates_of(delivered(spark, d)).withColumn("client_name", F.col("ClientName"))
+    rows = frequency.templates_of(texts(spark, d)).withColumn("client_name", F.col("ClientName"))
     return classify.classify_rules(rows.select("template_id", "template_text", "applied_rules", "client_name", F.col("ArrivalDate").alias("classified_at"))).where(
         "level_used = 'rule'")
 
@@ -485,8 +496,8 @@ def q_phone_types(spark, d):
 
 
 def _documents(spark, d):
-    rows = lake.lookback_filter(raw_messages(spark, d), AS_OF, 30)
-    c = scoring.categorise(rows, lookup(spark, d), max_lookup_rows=None)
+    rows = src.spread_scan(lake.lookback_filter(raw_messages(spark, d), AS_OF, 30))
+    c = scoring.categorise(rows, lookup(spark, d))
     return scoring.score_documents(requests(spark, d), c, GENERATED_AT, 30)
 
 
@@ -512,12 +523,12 @@ def q_score_documents_flat(spark, d):
 
 
 def q_phone_profile(spark, d):
-    return profiles.phone_profile(delivered(spark, d))
+    return profiles.phone_profile(texts(spark, d))
 
 
 def q_phone_profile_merged(spark, d):
     """Profiles of the first half of the month merged with those of the second."""
-    m = delivered(spark, d)
+    m = texts(spark, d)
     cut = F.col("ArrivalDate") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     return profiles.merge_profiles(profiles.phone_profile(m.where(cut)), profiles.phone_profile(m.where(~cut)))
 
@@ -527,15 +538,15 @@ def q_hot_templates(spark, d):
 
 
 def q_known_traffic(spark, d):
-    everything = freq(spark, d, include_pure=True)
-    known = classified(spark, d).where("level_used = 'rule'")
+    everything = stored(spark, freq(spark, d, include_pure=True))
+    known = classify.classify_rules(split.with_placeholders(everything)).where("level_used = 'rule'")
     return profiles.known_traffic(profiles.route_known(everything, known))
 
 
 def q_known_messages(spark, d):
     """Each message marked by whether its template is labelled."""
-    rows = frequency.templates_of(delivered(spark, d)).select("MTMessageId", "template_id")
-    return profiles.route_messages(rows, classified(spark, d).where("level_used = 'rule'"), None)
+    rows = frequency.templates_of(texts(spark, d)).select("MTMessageId", "template_id")
+    return profiles.route_messages(rows, stored(spark, classified(spark, d).where("level_used = 'rule'").select("template_id")))
 
 
 def part_templates(spark, d):
@@ -555,11 +566,11 @@ def q_word_clusters(spark, d):
 
 
 def q_minhash_links(spark, d):
-    return similarity.minhash_links(table(spark, d, "documents"), "doc_id", "text")
+    return similarity.minhash_links(src.spread_scan(table(spark, d, "documents")), "doc_id", "text")
 
 
 def q_minhash_clusters(spark, d):
-    return similarity.cluster_templates(similarity.minhash_links(table(spark, d, "documents"), "doc_id", "text"))
+    return similarity.cluster_templates(similarity.minhash_links(src.spread_scan(table(spark, d, "documents")), "doc_id", "text"))
 
 
 def q_embedding_links(spark, d):

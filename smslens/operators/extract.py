@@ -17,7 +17,8 @@ from smslens.functions.vocabulary import FRAGMENTS, OTP_TRIGGER, PLACEHOLDER_TAB
 FLAGS = "(?iU)"
 DIGIT = r"(?U)\d"
 # Rules per code generation unit: one span over all rules is too long for the JIT compiler.
-SEGMENT = 4
+SPAN = 8
+BITS = 62  # rules per mask column
 
 
 @dataclass(frozen=True)
@@ -75,26 +76,28 @@ def _rewrite(rule: PlaceholderRule, earlier: list[PlaceholderRule]) -> str:
     return replaced if gate is None else f"case when {gate} then {replaced} else __text end"
 
 
-def _record(k: int) -> str:
-    """``__mask`` with bit k set when the last rewrite changed the text (k < 0: nothing to record)."""
-    return "__mask" if k < 0 else f"case when __text <> __before then __mask | {1 << k} else __mask end as __mask"
+def _mask_names(rules: list[PlaceholderRule]) -> list[str]:
+    return [f"rule_mask{m}" for m in range((max(len(rules), 1) - 1) // BITS + 1)]
 
 
-def _fired_names(rules: list[PlaceholderRule]) -> str:
-    """``__applied`` extended by the rules whose bit is set, in firing order."""
-    names = ", ".join(f"case when __mask & {1 << k} <> 0 then {sql_text(r.name)} end" for k, r in enumerate(rules))
-    fired = f"filter(array({names}), name -> name is not null)"
-    return f"case when __mask <> 0 then concat(__applied, {fired}) else __applied end as __applied"
+def _record(masks: list[str], k: int) -> list[str]:
+    """Mask columns after noting whether rule k changed the text (k < 0: nothing to note)."""
+    bit = 1 << (k % BITS)
+    return [
+        f"case when __text <> __before then {m} | {bit}L else {m} end as {m}" if k >= 0 and k // BITS == i else m
+        for i, m in enumerate(masks)
+    ]
 
 
-def extract_templates(df: DataFrame, text_col: str = "cleaned_message", rules=None, unify: bool = False) -> DataFrame:
-    """Add ``template_text``, ``template_id``, ``applied_rules`` and ``has_placeholder``.
+def rewrite_texts(df: DataFrame, text_col: str = "cleaned_message", rules=None, unify: bool = False) -> DataFrame:
+    """All columns of df plus ``template_text`` and bit masks of the rules that fired (``rule_mask0`` ...).
 
-    All input columns are kept.  ``unify`` drops accents and abbreviation dots first.
+    Aggregate on the masks and name the rules afterwards with ``with_rule_names``.
     """
     chosen = active_rules(rules)
     keep = [sql_name(c) for c in df.columns]
-    carried = ["__low", "__odd", "__digit", "__otp", "__applied"]
+    masks = _mask_names(chosen)
+    carried = ["__low", "__odd", "__digit", "__otp"]
     source = F.coalesce(F.col(sql_name(text_col)), F.lit(""))
     step = df.withColumn("__text", unify_spelling(source) if unify else source)
     # Only these four letters beyond ASCII equal an ASCII letter when case is ignored.
@@ -107,22 +110,40 @@ def extract_templates(df: DataFrame, text_col: str = "cleaned_message", rules=No
         f"length(__text) <> octet_length(__text) and ({odd}) as __odd",
         f"__text rlike {sql_text(DIGIT)} as __digit",
         f"__text rlike {sql_text(FLAGS + OTP_TRIGGER)} as __otp",
-        "0 as __mask",
-        "cast(array() as array<string>) as __applied",
+        *[f"0L as {m}" for m in masks],
     )
-    for start in range(0, len(chosen), SEGMENT):
-        segment = chosen[start : start + SEGMENT]
-        for k, rule in enumerate(segment):
-            rewritten = _rewrite(rule, chosen[: start + k])
-            step = step.selectExpr(*keep, f"{rewritten} as __text", "__text as __before", *carried, _record(k - 1))
-        # The identity transform, a higher-order function, ends the whole-stage codegen span here.
-        step = step.selectExpr(*keep, "transform(array(__text), t -> t)[0] as __text", *carried, _record(len(segment) - 1))
-        step = step.selectExpr(*keep, "__text", "__text as __before", *carried[:-1], _fired_names(segment), "0 as __mask")
+    for k, rule in enumerate(chosen):
+        if k and k % SPAN == 0:
+            # The identity transform, a higher-order function, ends the whole-stage codegen span here.
+            step = step.selectExpr(*keep, "transform(array(__text), t -> t)[0] as __text", "__before", *carried, *masks)
+        step = step.selectExpr(
+            *keep, f"{_rewrite(rule, chosen[:k])} as __text", "__text as __before", *carried, *_record(masks, k - 1)
+        )
+    step = step.selectExpr(*keep, "__text", *_record(masks, len(chosen) - 1))
     # A one-element inline ends the chain: the optimizer does not push filters on the result through it.
     # Pushed through the rules, where each step names its input several times, a filter would grow
     # exponentially.
-    return step.selectExpr(*keep, "inline(array(struct(__text as template_text, __applied as applied_rules)))").select(
-        *[F.col(c) for c in keep],
+    return step.selectExpr(*keep, f"inline(array(struct(__text as template_text, {', '.join(masks)})))")
+
+
+def with_rule_names(df: DataFrame, rules=None) -> DataFrame:
+    """Replace the masks by ``applied_rules``, the names in firing order."""
+    chosen = active_rules(rules)
+    masks = _mask_names(chosen)
+    names = ", ".join(f"case when {masks[k // BITS]} & {1 << (k % BITS)}L <> 0 then {sql_text(r.name)} end" for k, r in enumerate(chosen))
+    any_fired = " or ".join(f"{m} <> 0" for m in masks)
+    listed = f"case when {any_fired} then filter(array({names}), name -> name is not null) else array() end"
+    return df.withColumn("applied_rules", F.expr(f"cast({listed} as array<string>)")).drop(*masks)
+
+
+def extract_templates(df: DataFrame, text_col: str = "cleaned_message", rules=None, unify: bool = False) -> DataFrame:
+    """Add ``template_text``, ``template_id``, ``applied_rules`` and ``has_placeholder``.
+
+    All input columns are kept.  ``unify`` drops accents and abbreviation dots first.
+    """
+    named = with_rule_names(rewrite_texts(df, text_col, rules, unify), rules)
+    return named.select(
+        *[F.col(sql_name(c)) for c in df.columns],
         "template_text",
         template_id("template_text").alias("template_id"),
         "applied_rules",

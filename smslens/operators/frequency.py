@@ -8,11 +8,13 @@ works on that small result and may pick "first seen" values of any type.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from smslens.functions.text import bucket_label, normalize_text, template_id
 from smslens.functions.vocabulary import FREQUENCY_RANGES
-from smslens.operators.extract import extract_templates
+from smslens.operators.extract import extract_templates, rewrite_texts, with_rule_names
 from smslens.operators.joins import facet_row, share_of_listed, share_of_total
 
 
@@ -34,13 +36,17 @@ def message_groups(messages: DataFrame, *extra: str, rules=None, text_first: boo
     stamps = [F.min("ArrivalDate").alias("first_seen"), F.max("ArrivalDate").alias("last_seen")]
     if text_first:
         texts = base.groupBy("cleaned_message", *keys).agg(F.count(F.lit(1)).alias("n"), *stamps)
-        rows = extract_templates(texts, rules=rules)
+        rows = rewrite_texts(texts, rules=rules)
         measures = [F.sum("n").alias("n"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")]
     else:
-        rows = extract_templates(base, rules=rules)
+        rows = rewrite_texts(base, rules=rules)
         measures = [F.count(F.lit(1)).alias("n"), *stamps]
-    grouped = rows.groupBy("template_text", "applied_rules", *keys).agg(*measures)
-    return grouped.withColumn("template_id", template_id("template_text"))
+    grouped = rows.groupBy("template_text", *_masks(rows), *keys).agg(*measures)
+    return with_rule_names(grouped, rules).withColumn("template_id", template_id("template_text"))
+
+
+def _masks(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c.startswith("rule_mask")]
 
 
 def template_frequency(messages: DataFrame, include_pure: bool = False, rules=None, text_first: bool = False) -> DataFrame:
@@ -67,8 +73,9 @@ def template_frequency(messages: DataFrame, include_pure: bool = False, rules=No
 
 def pure_text_frequency(messages: DataFrame, rules=None) -> DataFrame:
     """Frequency of the texts in which no rule fired."""
-    rows = extract_templates(messages.select(normalize_text("Message").alias("cleaned_message")), rules=rules)
-    return rows.where(F.size("applied_rules") == 0).groupBy("cleaned_message").agg(F.count(F.lit(1)).alias("frequency"))
+    rows = rewrite_texts(messages.select(normalize_text("Message").alias("cleaned_message")), rules=rules)
+    no_rule = reduce(lambda a, b: a & b, [F.col(m) == 0 for m in _masks(rows)])
+    return rows.where(no_rule).groupBy("cleaned_message").agg(F.count(F.lit(1)).alias("frequency"))
 
 
 def distinct_counts(messages: DataFrame, rules=None) -> DataFrame:
@@ -89,7 +96,7 @@ def template_stats(messages: DataFrame, rules=None) -> DataFrame:
     base = messages.select(
         normalize_text("Message").alias("cleaned_message"), "ClientName", "PriorityId", "OperatorName", "PhoneNumber", "ArrivalDate"
     )
-    rows = extract_templates(base, rules=rules)
+    rows = rewrite_texts(base, rules=rules)
     facets = F.array(
         facet_row("all", F.lit(None)),
         facet_row("client", F.col("ClientName")),
@@ -97,7 +104,7 @@ def template_stats(messages: DataFrame, rules=None) -> DataFrame:
         facet_row("operator", F.col("OperatorName")),
         facet_row("phone", F.col("PhoneNumber")),
     )
-    keys = ["template_text", "applied_rules"]
+    keys = ["template_text"]
     values = (
         rows.select(*keys, "ArrivalDate", F.inline(facets))
         .groupBy(*keys, "facet", "value")

@@ -6,9 +6,9 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from smslens.functions.text import normalize_text
+from smslens.functions.text import normalize_text, template_id
 from smslens.functions.vocabulary import HOT_MAX_IDLE_DAYS, HOT_MIN_FREQUENCY
-from smslens.operators.extract import extract_templates
+from smslens.operators.extract import rewrite_texts
 from smslens.operators.joins import lookup_join
 
 PROFILE_KEYS = ("phone_number", "template_id", "sender")
@@ -21,7 +21,8 @@ def phone_profile(messages: DataFrame, rules=None) -> DataFrame:
         normalize_text("Message").alias("cleaned_message"),
     )
     return (
-        extract_templates(base, rules=rules)
+        rewrite_texts(base, rules=rules)
+        .withColumn("template_id", template_id("template_text"))
         .groupBy(*PROFILE_KEYS)
         .agg(F.count(F.lit(1)).alias("appearances"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
     )

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from smslens.functions.labels import message_type
-from smslens.functions.text import normalize_text
+from smslens.functions.text import normalize_text, template_id
 from smslens.functions.vocabulary import DAYPARTS, MESSAGE_TYPES, OTHER_MESSAGE_TYPE, WEEKDAYS
-from smslens.operators.extract import extract_templates
+from smslens.operators.extract import rewrite_texts
 from smslens.operators.joins import BROADCAST_ROWS, lookup_join
 
 TYPES = [*MESSAGE_TYPES, OTHER_MESSAGE_TYPE]
@@ -30,7 +30,7 @@ def categorise(messages: DataFrame, lookup: DataFrame, rules=None, max_lookup_ro
     base = messages.select(
         F.col("PhoneNumber").alias("phone_number"), "ArrivalDate", normalize_text("Message").alias("cleaned_message")
     )
-    keyed = extract_templates(base, rules=rules).select("phone_number", "ArrivalDate", "template_id")
+    keyed = rewrite_texts(base, rules=rules).select("phone_number", "ArrivalDate", template_id("template_text").alias("template_id"))
     found = lookup_join(keyed, lookup.select("template_id", "categoria", "subcategoria"), "template_id", "left", max_lookup_rows)
     return found.select(
         "phone_number", "ArrivalDate",

@@ -142,61 +142,63 @@ def export_csv(table: DataFrame, path: str, limit: int = 10_000) -> None:
 
 @dataclass
 class TemplateStore:
-    """Snapshots ``root/v=N`` of the table and a log ``root/commits`` of the finished ones.
+    """Parquet parts ``root/data/v=N`` and a log ``root/commits`` of the finished ones.
 
-    A snapshot counts only once its line is in the log, so a writer that dies leaves the previous state
-    readable.  One writer at a time.
+    An insert adds a part with only the new rows; counting sightings writes a whole new table.  A part
+    counts only once its line is in the log, so a writer that dies leaves the previous state readable.
+    One writer at a time.
     """
 
     spark: SparkSession
     root: str
     id_digits: int = 1
 
-    def _commits(self) -> DataFrame | None:
+    def _commits(self) -> list:
+        """Log lines, one per batch ever written."""
         try:
-            return self.spark.read.schema("version bigint, batch string").json(f"{self.root}/commits")
+            return self.spark.read.schema("version bigint, batch string, whole boolean").json(f"{self.root}/commits").collect()
         except Exception as e:  # the first use finds no log
             if "PATH_NOT_FOUND" in str(e):
-                return None
+                return []
             raise
 
     def version(self) -> int:
-        log = self._commits()
-        return -1 if log is None else log.agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+        return max((c.version for c in self._commits()), default=-1)
 
     def has_batch(self, batch: str) -> bool:
+        return any(c.batch == batch for c in self._commits())
+
+    def _rows(self) -> DataFrame:
+        """The parts since the last whole table."""
         log = self._commits()
-        return log is not None and bool(log.where(F.col("batch") == batch).take(1))
+        start = max((c.version for c in log if c.whole), default=0)
+        parts = [c.version for c in log if c.version >= start]
+        if not parts:
+            return self.spark.createDataFrame([], f"{TABLE_SCHEMA}, id_prefix string, v bigint")
+        data = self.spark.read.schema(f"{TABLE_SCHEMA}, v bigint, id_prefix string").parquet(f"{self.root}/data")
+        return data.where(F.col("v").isin(parts))
 
     def table(self) -> DataFrame:
-        version = self.version()
-        if version < 0:
-            return self.spark.createDataFrame([], TABLE_SCHEMA)
-        return self.spark.read.parquet(f"{self.root}/v={version}").select(*COLUMNS)
+        return self._rows().select(*COLUMNS)
 
     def get(self, template_id: str) -> DataFrame:
-        """One row or none; reads one folder of the snapshot."""
-        version = self.version()
-        if version < 0:
-            return self.table()
-        data = self.spark.read.option("basePath", f"{self.root}/v={version}").parquet(f"{self.root}/v={version}")
-        prefix = template_id[: self.id_digits]
-        return get_template(data.where(F.col("id_prefix") == prefix), template_id).select(*COLUMNS)
-
-    def _publish(self, table: DataFrame, batch: str) -> int:
+        """One row or none; reads one folder of each part."""
+        rows = self._rows().where(F.col("id_prefix") == template_id[: self.id_digits])
+        return get_template(rows, template_id).select(*COLUMNS)
+
+    def _publish(self, rows: DataFrame, batch: str, whole: bool) -> int:
         version = self.version() + 1
-        rows = table.withColumn("id_prefix", F.substring("template_id", 1, self.id_digits))
+        keyed = rows.withColumn("id_prefix", F.substring("template_id", 1, self.id_digits))
         # Ids are hash values, so ranges of ids are even; sorting inside by level keeps its min/max narrow.
         (
-            rows.repartitionByRange("id_prefix", "template_id")
+            keyed.repartitionByRange("id_prefix", "template_id")
             .sortWithinPartitions("id_prefix", "level_used", "template_id")
             .write.mode("overwrite")
             .partitionBy("id_prefix")
-            .parquet(f"{self.root}/v={version}")
-        )
-        self.spark.createDataFrame([(version, batch)], "version bigint, batch string").coalesce(1).write.mode("append").json(
-            f"{self.root}/commits"
+            .parquet(f"{self.root}/data/v={version}")
         )
+        line = self.spark.createDataFrame([(version, batch, whole)], "version bigint, batch string, whole boolean")
+        line.coalesce(1).write.mode("append").json(f"{self.root}/commits")
         return version
 
     def insert(self, results: DataFrame, batch: str) -> int:
@@ -204,9 +206,10 @@ class TemplateStore:
         if self.has_batch(batch):
             return self.version()
         accepted, _ = check_rows(conform(results))
-        return self._publish(upsert_first_wins(self.table(), accepted), batch)
+        return self._publish(new_rows(self.table(), accepted), batch, whole=self.version() < 0)
 
     def count_sightings(self, seen: DataFrame, batch: str) -> int:
+        """Apply sightings to the whole table; also merges the parts inserted since the last time."""
         if self.has_batch(batch):
             return self.version()
-        return self._publish(apply_frequency(self.table(), seen), batch)
+        return self._publish(apply_frequency(self.table(), seen), batch, whole=True)

@@ -53,7 +53,7 @@ def run_day(messages: DataFrame, paths: DayPaths, run_date: str, source: str = "
     outputs.write_results(as_log_rows(classified), paths.of("rule_classifications"), run_date)
     metadata = outputs.run_metadata(freq, classified, run_date, source, day)
     outputs.write_metadata(metadata, paths.of("metadata"))
-    return metadata
+    return spark.read.schema(metadata.schema).json(paths.of("metadata")).where(F.col("run_date") == run_date)
 
 
 UNIQUE_SCHEMA = (

@@ -58,9 +58,8 @@ def run_metadata(freq: DataFrame, classified: DataFrame, run_date: str, source:
         F.count_if(~fired).alias("unique_pure_messages"),
     )
     hit = F.col("level_used") == "rule"
-    right = classified.agg(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("hits"))
-    # Both sides are one-row aggregates, joined on a constant key.
-    row = left.withColumn("k", F.lit(1)).join(right.withColumn("k", F.lit(1)), "k")
+    level0 = classified.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("hits")).alias("l0")).scalar()
+    row = left.withColumn("l0", level0).select("*", "l0.n", "l0.hits")
     pct = F.when(F.col("n") > 0, 100.0 * F.col("hits") / F.col("n")).otherwise(F.lit(0.0)).cast("double")
     return row.select(
         F.lit(run_date).alias("run_date"), F.lit(source).alias("source"), F.lit(day).cast("int").alias("day"),
