@@ -40,7 +40,7 @@ def texts(spark, d):
 
 
 def freq(spark, d, include_pure=False):
-    return frequency.template_frequency(texts(spark, d), include_pure=include_pure)
+    return frequency.template_frequency(delivered(spark, d), include_pure=include_pure)
 
 
 def stored(spark, df):
@@ -79,7 +79,7 @@ def vote_templates(spark, d):
         "SELECT text AS Message, role AS ClientName, timestampadd(SECOND, conv_id * 60 + turn, TIMESTAMP_NTZ'2024-01-05 00:00:00') AS ArrivalDate FROM {talk}",
         talk=table(spark, d, "conversations"),
     )
-    rows = texts(spark, d).select("Message", "ClientName", "ArrivalDate").unionByName(talk)
+    rows = delivered(spark, d).select("Message", "ClientName", "ArrivalDate").unionByName(talk)
     return stored(spark, classify.classify_rules(frequency.template_frequency(rows, include_pure=True)))
 
 
@@ -99,7 +99,7 @@ def resolved(spark, d, partial=False):
 
 
 def classified(spark, d):
-    return classified_templates(src.spread_scan(raw_messages(spark, d)))
+    return classified_templates(raw_messages(spark, d))
 
 
 def lookup(spark, d):
@@ -257,11 +257,11 @@ def q_template_frequency(spark, d):
 
 
 def q_pure_text_frequency(spark, d):
-    return frequency.pure_text_frequency(texts(spark, d))
+    return frequency.pure_text_frequency(delivered(spark, d))
 
 
 def q_distinct_counts(spark, d):
-    return frequency.distinct_counts(texts(spark, d))
+    return frequency.distinct_counts(delivered(spark, d))
 
 
 def q_template_stats(spark, d):
@@ -289,7 +289,7 @@ def q_top_frequent(spark, d):
 
 def q_top_templates(spark, d):
     m = delivered(spark, d)
-    best = frequency.top_templates(frequency.template_frequency(src.spread_scan(m), include_pure=True), 20, stats.message_count(m))
+    best = frequency.top_templates(frequency.template_frequency(m, include_pure=True), 20, stats.message_count(m))
     return best.select("template_id", "template_text", "frequency", "pct")
 
 
@@ -627,7 +627,7 @@ def _stream_source(spark, d):
 def q_streamed_template_counts(spark, d):
     out = _stream_folder(spark)
     stream.write_running(stream.running_template_counts(_stream_source(spark, d)), f"{out}/data", f"{out}/log").awaitTermination()
-    return stream.latest_running(spark, f"{out}/data")
+    return stream.latest_running(spark, f"{out}/data", "template_id", "template_text")
 
 
 def q_streamed_first_sightings(spark, d):

@@ -51,7 +51,7 @@ def first_sightings(templated: DataFrame, watermark: str | None = None) -> DataF
 
 
 def write_running(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest full result under ``path`` as one folder per batch; process what is there, then stop.
+    """Write the groups each batch changed to their own folder; process what is there, then stop.
 
     A repeated batch rewrites its own folder.
     """
@@ -59,13 +59,14 @@ def write_running(result: DataFrame, path: str, checkpoint: str) -> StreamingQue
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:09d}")
 
-    return result.writeStream.outputMode("complete").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return result.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_running(spark: SparkSession, path: str) -> DataFrame:
-    """The newest full result written by ``write_running``."""
-    everything = spark.read.parquet(path)
-    return everything.where(F.col("batch") == everything.agg(F.max("batch")).scalar()).drop("batch")
+def latest_running(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """The current row of every group written by ``write_running``."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(*keys, "v.*")
 
 
 def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

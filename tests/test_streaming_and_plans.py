@@ -24,7 +24,7 @@ def test_running_counts_equal_batch(spark, data, tmp_path):
     rows = sm.stream_messages(spark, str(tmp_path / "in"), raw.schema, files_per_batch=1)
     out = str(tmp_path / "out")
     sm.write_running(sm.running_template_counts(rows), out, str(tmp_path / "log")).awaitTermination()
-    got = {(r.template_id, r.frequency) for r in sm.latest_running(spark, out).collect()}
+    got = {(r.template_id, r.frequency) for r in sm.latest_running(spark, out, "template_id", "template_text").collect()}
     want = {(r.template_id, r.frequency) for r in frequency.template_frequency(delivered(spark, data), include_pure=True).collect()}
     assert got == want
     assert len(list(Path(out).glob("batch=*"))) == 4
@@ -32,7 +32,7 @@ def test_running_counts_equal_batch(spark, data, tmp_path):
     raw.limit(10).where("StatusId = 3").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     extra = raw.limit(10).where("StatusId = 3").count()
     sm.write_running(sm.running_template_counts(rows), out, str(tmp_path / "log")).awaitTermination()
-    assert sm.latest_running(spark, out).agg(F.sum("frequency")).first()[0] == sum(n for _, n in want) + extra
+    assert sm.latest_running(spark, out, "template_id", "template_text").agg(F.sum("frequency")).first()[0] == sum(n for _, n in want) + extra
 
 
 def test_first_sightings(spark, data, tmp_path):
