@@ -181,6 +181,9 @@ UNION ALL SELECT NULL, count(*), 'rejected' FROM l WHERE trim(v) <> '' AND NOT j
     "run_metadata": w(CLS, """SELECT (SELECT sum(frequency)::BIGINT FROM freq) AS total_messages, (SELECT count(*) FROM fired) AS unique_templates,
   (SELECT count(*) FROM freq WHERE rules = '') AS unique_pure_messages, count(*) AS total_classified, count(*) FILTER (level_used = 'rule') AS matched_rules,
   count(*) FILTER (level_used <> 'rule') AS pending, 100.0::DOUBLE * count(*) FILTER (level_used = 'rule') / count(*) AS coverage_percentage FROM cls"""),
+    "run_summary": w(TPL, """SELECT (SELECT count(*) FROM raw) AS total_messages_processed, count(*) AS messages_after_filter, count(DISTINCT template_id) AS unique_templates,
+  sum(CASE WHEN rules = '' THEN 0 ELSE len(string_split(rules, ',')) END)::BIGINT AS total_rules_applied, count(DISTINCT ClientName) AS unique_clients,
+  count(DISTINCT OperatorName) AS unique_operators, count(DISTINCT (PriorityId, PriorityDescription)) AS unique_priorities, count(DISTINCT PhoneNumber) AS unique_phones FROM tpl"""),
     "normalized_messages": w(RAW, f"SELECT MTMessageId, {norm('Message')} AS NormalizedMessage FROM raw"),
     "normalization_report": w(RAW + f",\nn AS (SELECT Message AS b, {norm('Message')} AS a FROM raw)", """SELECT count(*) AS total, count(*) FILTER (a <> b) AS changed,
   100.0::DOUBLE * count(*) FILTER (a <> b) / count(*) AS changed_pct, sum(length(b))::BIGINT AS chars_before, sum(length(a))::BIGINT AS chars_after,

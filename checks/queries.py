@@ -204,6 +204,10 @@ def q_run_metadata(spark, d):
     return row.select("total_messages", "unique_templates", "unique_pure_messages", "l0_classification.*")
 
 
+def q_run_summary(spark, d):
+    return frequency.run_summary(raw_messages(spark, d))
+
+
 def q_normalized_messages(spark, d):
     return with_normalized(raw_messages(spark, d)).select("MTMessageId", "NormalizedMessage")
 

@@ -13,9 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from smslens.functions.text import bucket_label, normalize_text, template_id
-from smslens.functions.vocabulary import FREQUENCY_RANGES
+from smslens.functions.vocabulary import DELIVERED_STATUS, FREQUENCY_RANGES
 from smslens.operators.extract import extract_templates, rewrite_texts, with_rule_names
 from smslens.operators.joins import facet_row, share_of_listed, share_of_total
+from smslens.operators.stats import message_report
+from smslens.sources.messages import delivered_only
 
 
 def templates_of(messages: DataFrame, rules=None, unify: bool = False) -> DataFrame:
@@ -136,6 +138,25 @@ def template_stats(messages: DataFrame, rules=None) -> DataFrame:
     )
 
 
+def run_summary(raw: DataFrame, rules=None) -> DataFrame:
+    """One row for a whole run over raw messages: rows in, rows delivered, distinct values, rules applied."""
+    delivered = delivered_only(raw)
+    groups = message_groups(delivered, rules=rules).agg(
+        F.struct(
+            F.count_distinct("template_id").alias("unique_templates"),
+            F.coalesce(F.sum(F.col("n") * F.size("applied_rules")), F.lit(0)).alias("total_rules_applied"),
+        )
+    )
+    values = message_report(delivered).select(F.struct("unique_clients", "unique_operators", "unique_priorities", "unique_phones"))
+    rows = raw.agg(
+        F.count(F.lit(1)).alias("total_messages_processed"),
+        F.count_if(F.col("StatusId") == DELIVERED_STATUS).alias("messages_after_filter"),
+    )
+    return rows.withColumns({"g": groups.scalar(), "v": values.scalar()}).select(
+        "total_messages_processed", "messages_after_filter", "g.*", "v.*"
+    )
+
+
 # --- Reports on template frequencies (columns template_id, frequency) ------------------------
 
 

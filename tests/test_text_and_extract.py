@@ -133,3 +133,11 @@ def test_unify_spelling(spark):
     df = spark.createDataFrame([("e.p.s teléfono a.m. 1.5 sr. ñandú",)], "t string")
     assert df.select(unify_spelling("t")).first()[0] == "eps telefono am. 1.5 sr. ñandu"
     assert extract_templates(df, "t", unify=True).select(F.size("applied_rules")).first()[0] >= 1
+
+
+def test_sql_functions(spark):
+    from smslens.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    r = spark.sql("SELECT normalize_message('  A \t B ') AS n, normalize_message(NULL) AS e, template_id('x') AS i").first()
+    assert (r.n, r.e, r.i) == ("a b", "", "9dd4e461268c8034")
