@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from checks.queries import ARBITER_SQL, JUDGE_SQL
 from checks.views import messages_sql
 from smslens.functions.vocabulary import (
@@ -19,21 +21,34 @@ def norm(c: str) -> str:
     return f"trim(regexp_replace(lower(coalesce({c}, '')), {q(SPACES)}, ' ', 'g'))"
 
 
+def guard(c: str) -> str:
+    """Each letter beyond ASCII between underscores: DuckDB's \b knows ASCII word characters only."""
+    return f"regexp_replace(regexp_replace({c}, '([^\\x00-\\x7F])', '_\\1_', 'g'), '_([^\\p{{L}}\\p{{M}}\\p{{Nd}}\\x00-\\x7F])_', '\\1', 'g')"
+
+
+def unguard(c: str) -> str:
+    return f"regexp_replace({c}, '_([^\\x00-\\x7F])_', '\\1', 'g')"
+
+
+def guarded_pattern(pattern: str) -> str:
+    return re.sub(r"\[([a-z])([^\x00-\x7f])\]", r"(?:\1|_\2_)", pattern)
+
+
 def chain(source: str, text: str, name: str) -> str:
     """CTEs ``name``: all columns of ``source`` plus template_text, template_id, rules (text), from raw text."""
     rules = sorted(PLACEHOLDER_TABLE, key=lambda r: r[1])
-    steps = [f"{name}_0 AS (SELECT *, {norm(text)} AS p0 FROM {source})"]
+    steps = [f"{name}_n AS (SELECT *, {norm(text)} AS c0 FROM {source})", f"{name}_0 AS (SELECT *, {guard('c0')} AS p0 FROM {name}_n)"]
     for i, (rule, _, token, pattern) in enumerate(rules):
-        new = f"regexp_replace(p{i}, {q(pattern)}, {q(token)}, 'gi')"
+        new = f"regexp_replace(p{i}, {q(guarded_pattern(pattern))}, {q(token)}, 'gi')"
         if rule == "otp":
-            new = f"CASE WHEN regexp_matches(p0, {q(OTP_TRIGGER)}, 'i') THEN {new} ELSE p{i} END"
+            new = f"CASE WHEN regexp_matches(c0, {q(OTP_TRIGGER)}, 'i') THEN {new} ELSE p{i} END"
         steps.append(f"{name}_{i + 1} AS (SELECT *, {new} AS p{i + 1} FROM {name}_{i})")
     n = len(rules)
     fired = ", ".join(f"CASE WHEN p{i} <> p{i + 1} THEN {q(r[0])} END" for i, r in enumerate(rules))
-    drop = ", ".join(f"p{i}" for i in range(n + 1))
+    drop = ", ".join(["c0", *(f"p{i}" for i in range(n + 1))])
     steps.append(
-        f"{name} AS (SELECT * EXCLUDE ({drop}), p0 AS cleaned_message, p{n} AS template_text, substr(md5(p{n}), 1, 16) AS template_id,"
-        f" concat_ws(',', {fired}) AS rules FROM {name}_{n})"
+        f"{name} AS (SELECT * EXCLUDE ({drop}), c0 AS cleaned_message, {unguard(f'p{n}')} AS template_text,"
+        f" substr(md5({unguard(f'p{n}')}), 1, 16) AS template_id, concat_ws(',', {fired}) AS rules FROM {name}_{n})"
     )
     return ",\n".join(steps)
 
