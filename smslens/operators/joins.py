@@ -11,8 +11,8 @@ HOT_SHARE = 1000
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether df has no more than ``rows`` rows; reads at most rows + 1 of them."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether df has no more than ``rows`` rows.  A plain count: tasks send one number each."""
+    return df.count() <= rows
 
 
 def lookup_join(
@@ -20,7 +20,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join to a side that is unique on ``on`` (or a filter list, for semi and anti joins).
 
-    With ``max_rows`` the right side is counted (up to that bound) and broadcast when it fits; the left
+    With ``max_rows`` the right side is counted and broadcast when it fits; the left
     side then does not move.  Otherwise, or with ``max_rows=None`` (no counting, for a right side that is
     costly to compute twice), both sides are shuffled with the key salted, so the rows of one key spread
     over ``salts`` tasks.  The salt is a hash of the row, so a recomputed task repeats it.
