@@ -339,4 +339,8 @@ c AS (SELECT g.label, g.s, count(st.step) AS predicted, count(st.step) FILTER (s
     "streamed_template_counts": w(TPL, "SELECT template_id, template_text, count(*) AS frequency, min(ArrivalDate) AS first_seen, max(ArrivalDate) AS last_seen FROM tpl GROUP BY 1, 2"),
     "streamed_first_sightings": w(TPL, "SELECT DISTINCT template_id, template_text FROM tpl"),
 }
+SQL["word_clusters"] = f"""WITH RECURSIVE {PARTS},
+near AS (SELECT template_id AS a, other AS b FROM pairs WHERE d = 1 AND n > 1),
+reach AS (SELECT DISTINCT a AS node, a AS seen FROM near UNION SELECT node, b FROM reach JOIN near ON seen = a)
+SELECT node AS template_id, min(seen) AS cluster_id FROM reach GROUP BY 1"""
 SQL["phone_profile_merged"] = SQL["phone_profile"]
