@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 
 from smslens.llm.common import small_batches, table
 from smslens.llm.exact_dedup import exact_groups
+from smslens.llm.language import fit_languages, predict_languages
+from smslens.llm.quality import quality_scores
 from smslens.llm.sharding import interleave_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by boosted trees over its statistics."""
+    small_batches(spark)
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("stats")
+
+
 def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """40 shards of equal row counts."""
     placed = interleave_shards(table(spark, sf_dir, "documents"), 40)
@@ -26,9 +34,18 @@ def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by its nearest centroid."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return predict_languages(docs, fit_languages(docs))
+
+
 LLM_QUERIES: dict[str, Query] = {
+    "op4_quality_trees": op4_quality_trees,
     "op5_interleaved_shards": op5_interleaved_shards,
     "op7_grace_dedup": op7_grace_dedup,
+    "op10_nearest_centroid": op10_nearest_centroid,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
