@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from smslens.llm.common import small_batches, table
 from smslens.llm.exact_dedup import exact_groups
+from smslens.llm.jaccard import jaccard_components
 from smslens.llm.language import fit_languages, predict_languages
 from smslens.llm.quality import quality_scores
 from smslens.llm.sharding import interleave_shards
@@ -34,6 +35,12 @@ def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_multi_order_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles agree to nine tenths."""
+    small_batches(spark)
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by its nearest centroid."""
     small_batches(spark)
@@ -45,6 +52,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op4_quality_trees": op4_quality_trees,
     "op5_interleaved_shards": op5_interleaved_shards,
     "op7_grace_dedup": op7_grace_dedup,
+    "op9_multi_order_jaccard": op9_multi_order_jaccard,
     "op10_nearest_centroid": op10_nearest_centroid,
 }
 
