@@ -208,3 +208,29 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     else:
         raise RuntimeError("components did not settle")
     return labels
+
+
+def group_links(posted: DataFrame, fits, check) -> tuple[DataFrame, DataFrame]:
+    """Links and their components among nodes that share a token, without listing all pairs of a token.
+
+    posted: (token, node, x), repeated rows allowed.  fits(x1, x2) tells from x whether two nodes can link at all; check(pairs)
+    returns those of the pairs (a, b) that do link.  First every node is held against the smallest node of its
+    group; then only pairs of a group that lie in different components are looked at.  The components are those
+    of all links, as a link inside a component changes nothing; links has the ones that were needed.
+    """
+    heads = posted.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("other")).where("head < other").drop("other")
+    shared = stored(posted.join(heads, "token").distinct())
+    star = stored(shared.where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
+    links = check(star)
+    found = components(links)
+    placed = shared.join(found, "node", "left").select("token", "node", "x", F.coalesce("component", "node").alias("component"))
+    split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    open_ = stored(placed.join(split, "token"))
+    other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "component")])
+    cross = open_.join(other, "token").where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & fits(F.col("x"), F.col("x2")))
+    cross = cross.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    more = check(stored(cross))
+    if not more.isEmpty():
+        links = stored(links.unionByName(more))
+        found = components(links)
+    return links, found

@@ -11,12 +11,18 @@ from smslens.llm.common import small_batches, table
 from smslens.llm.exact_dedup import exact_groups
 from smslens.llm.jaccard import jaccard_components
 from smslens.llm.language import fit_languages, predict_languages
+from smslens.llm.line_dedup import dedup_lines
 from smslens.llm.quality import quality_scores
 from smslens.llm.sharding import interleave_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that occur before, exactly or nearly."""
+    return dedup_lines(table(spark, sf_dir, "documents")).drop("rk")
+
+
 def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by boosted trees over its statistics."""
     small_batches(spark)
@@ -49,6 +55,7 @@ def op10_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_simhash_lines": op1_simhash_lines,
     "op4_quality_trees": op4_quality_trees,
     "op5_interleaved_shards": op5_interleaved_shards,
     "op7_grace_dedup": op7_grace_dedup,
