@@ -100,14 +100,20 @@ def edit_similar(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b, a_norm, b_norm) whose Levenshtein distance leaves the similarity; ends they share are cut off first."""
     longest = F.greatest(F.char_length("a_norm"), F.char_length("b_norm"))
     cut = pairs.withColumn("allowed", F.floor(longest * (1 - similarity) + 1e-9).cast("int")).where(F.abs(F.char_length("a_norm") - F.char_length("b_norm")) <= F.col("allowed"))
-    cut = cut.withColumn("p", shared_length("a_norm", "b_norm", "left"))
-    cut = cut.select("a", "b", "allowed", F.expr("substring(a_norm, p + 1)").alias("a_rest"), F.expr("substring(b_norm, p + 1)").alias("b_rest"))
-    cut = cut.withColumn("q", shared_length("a_rest", "b_rest", "right"))
+    cut = once(cut, ["a", "b", "allowed", "a_norm", "b_norm"], p=shared_length("a_norm", "b_norm", "left"))
+    cut = once(cut, ["a", "b", "allowed"], a_rest=F.expr("substring(a_norm, p + 1)"), b_rest=F.expr("substring(b_norm, p + 1)"))
+    cut = once(cut, ["a", "b", "allowed", "a_rest", "b_rest"], q=shared_length("a_rest", "b_rest", "right"))
     middle = lambda x: F.expr(f"left({x}, char_length({x}) - q)")
-    cut = cut.select("a", "b", "allowed", middle("a_rest").alias("a_mid"), middle("b_rest").alias("b_mid"))
+    cut = once(cut, ["a", "b", "allowed"], a_mid=middle("a_rest"), b_mid=middle("b_rest"))
     return cut.where(F.expr("levenshtein(a_mid, b_mid, allowed) >= 0")).select("a", "b")
 
 
+def once(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
+    """df's columns `keep` and the made ones, which later steps see as values: a plain projection would be merged
+    into the steps that use it, and each use would work it out anew."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in made.items()]))))
+
+
 def line_groups(rows: DataFrame) -> DataFrame:
     """(node, node2, keep_ord) of lines that occur again, exactly or nearly; keep_ord is the occurrence that stays."""
     lines = occurrences(rows).groupBy("norm").agg(F.min("ord").alias("first"), F.count("*").alias("n"))
