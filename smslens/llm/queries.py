@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from smslens.llm.exact_dedup import exact_groups
 from smslens.llm.jaccard import jaccard_components
 from smslens.llm.language import fit_languages, predict_languages
 from smslens.llm.line_dedup import dedup_lines
+from smslens.llm.packing import pack_documents
 from smslens.llm.quality import quality_scores
 from smslens.llm.sharding import interleave_shards
 
@@ -23,6 +25,12 @@ def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).drop("rk")
 
 
+def op3_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in windows of 2048, filled with related documents."""
+    small_batches(spark)
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
 def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by boosted trees over its statistics."""
     small_batches(spark)
@@ -56,6 +64,7 @@ def op10_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash_lines": op1_simhash_lines,
+    "op3_bm25_packing": op3_bm25_packing,
     "op4_quality_trees": op4_quality_trees,
     "op5_interleaved_shards": op5_interleaved_shards,
     "op7_grace_dedup": op7_grace_dedup,
