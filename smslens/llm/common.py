@@ -6,6 +6,7 @@ document offsets, so that numpy works on whole blocks and memory does not follow
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,6 +43,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner free the shuffle files of steps whose results are stored; it acts when the driver collects
+    garbage, which on a busy cluster may not happen before executors' disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a narrow table of unique keys to left.
 
@@ -104,9 +112,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and document numbers of the words of a block, and none that crosses documents."""
-    inside = ~SPACE[block.data]
+def words(block: Block, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and document numbers of the words of a block, and none that crosses documents; gap: bytes between words."""
+    inside = ~gap[block.data]
     n = len(inside)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -165,6 +173,14 @@ class RollingHash:
     def spans(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
+    def windows(self, values: np.ndarray, length: int) -> np.ndarray:
+        """Running hashes of every `length` consecutive values."""
+        self._grow(len(values) + 1)
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self.up[: len(values)], out=sums[1:])
+        n = max(0, len(values) - length + 1)
+        return mixed((sums[length : length + n] - sums[:n]) * self.down[:n])
+
 
 def shingles(word_hash: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of `length` consecutive words of a document, and their documents."""
@@ -220,8 +236,10 @@ def group_links(posted: DataFrame, fits, check) -> tuple[DataFrame, DataFrame]:
     """
     heads = posted.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("other")).where("head < other").drop("other")
     shared = stored(posted.join(heads, "token").distinct())
+    tidy(posted.sparkSession)
     star = stored(shared.where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
     links = check(star)
+    tidy(posted.sparkSession)
     found = components(links)
     placed = shared.join(found, "node", "left").select("token", "node", "x", F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
@@ -229,7 +247,9 @@ def group_links(posted: DataFrame, fits, check) -> tuple[DataFrame, DataFrame]:
     other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "component")])
     cross = open_.join(other, "token").where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & fits(F.col("x"), F.col("x2")))
     cross = cross.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = check(stored(cross))
+    cross = stored(cross)
+    tidy(posted.sparkSession)
+    more = check(cross)
     if not more.isEmpty():
         links = stored(links.unionByName(more))
         found = components(links)

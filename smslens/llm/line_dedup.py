@@ -34,7 +34,7 @@ def normal_line(line: Column) -> Column:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text and the key of a row: its id and a hash of the whole, so that an absent or repeated id is no matter."""
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return out.withColumn("id0", F.coalesce("doc_id", F.lit(0))).withColumn("rk", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
+    return out.withColumn("id0", F.coalesce("doc_id", F.lit(0))).withColumn("rk", row_hash(F.col("doc_id"), F.col("text")))
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
@@ -159,9 +159,39 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blanks are left.  An empty table gives no rows; other columns are not read.
     """
     rows = keyed(docs, id_col, text_col)
-    gone = removed_lines(rows)
-    all_ = rows.join(gone, ["id0", "rk"], "left").withColumn("lines", F.split("text", "\n"))
-    stay = F.array_except(F.expr("sequence(0, size(lines) - 1)"), F.col("gone"))
-    left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
-    out = all_.select("doc_id", "rk", F.size("lines").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"), left.alias("text"))
-    return out.withColumn("n_removed", F.greatest("n_removed", F.lit(0))).withColumn("emptied", (F.col("n_removed") > 0) & (F.trim(F.translate("text", "\n\r\t", "")) == ""))
+    out = rows.join(removed_lines(rows), ["id0", "rk"], "left")
+    n_removed = F.coalesce(F.array_size("gone"), F.lit(0)).alias("n_removed")
+    out = out.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), n_removed, what_is_left("text", "gone").alias("text"))
+    return out.withColumn("emptied", (F.col("n_removed") > 0) & blank("text"))
+
+
+def what_is_left(text_col: str, gone_col: str) -> Column:
+    """The text without the lines at the given places, itself where there are none."""
+    lines = F.split(text_col, "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone_col))
+    return F.when(F.col(gone_col).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+
+
+def blank(text_col: str) -> Column:
+    return F.trim(F.translate(text_col, "\n\r\t\u000b\f", "")) == ""
+
+
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """docs with all its columns, without lines that occur before and without documents of which only blanks are left.
+
+    length_col, where docs has it, becomes the length of what is left.
+    """
+    rows = keyed(docs, id_col, text_col)
+    gone = removed_lines(rows).select(F.col("id0").alias("_line_id0"), F.col("rk").alias("_line_rk"), F.col("gone").alias("_line_gone"))
+    text = text_or_empty(text_col)
+    own = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_line_id0"), row_hash(F.col(id_col).cast("long"), text).alias("_line_rk"))
+    left = own.join(gone, ["_line_id0", "_line_rk"], "left").withColumn(text_col, what_is_left(text_col, "_line_gone"))
+    left = left.where(F.col("_line_gone").isNull() | ~blank(text_col))
+    if length_col in docs.columns:
+        length = F.char_length(text_col).cast(docs.schema[length_col].dataType)
+        left = left.withColumn(length_col, F.when(F.col("_line_gone").isNull(), F.col(length_col)).otherwise(length))
+    return left.select(*docs.columns)
+
+
+def row_hash(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id, doc_id.isNull(), text)

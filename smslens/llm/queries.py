@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smslens.llm.common import small_batches, table
+from smslens.llm.decontamination import contaminated
 from smslens.llm.exact_dedup import exact_groups
 from smslens.llm.jaccard import jaccard_components
 from smslens.llm.language import fit_languages, predict_languages
@@ -22,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that occur before, exactly or nearly."""
-    return dedup_lines(table(spark, sf_dir, "documents")).drop("rk")
+    return dedup_lines(table(spark, sf_dir, "documents"))
 
 
 def op3_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +44,12 @@ def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source", "rank")
 
 
+def op6_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items whose words they cover."""
+    small_batches(spark)
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row of each that stays."""
     small_batches(spark)
@@ -67,6 +74,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op3_bm25_packing": op3_bm25_packing,
     "op4_quality_trees": op4_quality_trees,
     "op5_interleaved_shards": op5_interleaved_shards,
+    "op6_string_tiling": op6_string_tiling,
     "op7_grace_dedup": op7_grace_dedup,
     "op9_multi_order_jaccard": op9_multi_order_jaccard,
     "op10_nearest_centroid": op10_nearest_centroid,
