@@ -16,6 +16,7 @@ from smslens.llm.language import fit_languages, predict_languages
 from smslens.llm.line_dedup import dedup_lines
 from smslens.llm.packing import pack_documents
 from smslens.llm.quality import quality_scores
+from smslens.llm.secrets import scan_secrets
 from smslens.llm.sharding import interleave_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,11 @@ def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op2_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: patterns, and tokens that pass for random."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in windows of 2048, filled with related documents."""
     small_batches(spark)
@@ -71,6 +77,7 @@ def op10_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash_lines": op1_simhash_lines,
+    "op2_randomness_battery": op2_randomness_battery,
     "op3_bm25_packing": op3_bm25_packing,
     "op4_quality_trees": op4_quality_trees,
     "op5_interleaved_shards": op5_interleaved_shards,
