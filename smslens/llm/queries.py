@@ -16,6 +16,7 @@ from smslens.llm.language import fit_languages, predict_languages
 from smslens.llm.line_dedup import dedup_lines
 from smslens.llm.packing import pack_documents
 from smslens.llm.quality import quality_scores
+from smslens.llm.repeats import strip_repeats
 from smslens.llm.secrets import scan_secrets
 from smslens.llm.sharding import interleave_shards
 
@@ -62,6 +63,12 @@ def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 100-byte strings that start earlier in the corpus."""
+    small_batches(spark)
+    return strip_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_multi_order_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingles agree to nine tenths."""
     small_batches(spark)
@@ -83,6 +90,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_interleaved_shards": op5_interleaved_shards,
     "op6_string_tiling": op6_string_tiling,
     "op7_grace_dedup": op7_grace_dedup,
+    "op8_prefix_free_parsing": op8_prefix_free_parsing,
     "op9_multi_order_jaccard": op9_multi_order_jaccard,
     "op10_nearest_centroid": op10_nearest_centroid,
 }
