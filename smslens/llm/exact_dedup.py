@@ -72,15 +72,15 @@ SETTLED = "row string, doc_id long, h long, length long, keep_row string, keep_i
 
 def bucket_plan(sizes: DataFrame, limit: int) -> DataFrame:
     """(h, bucket, parts) of sizes (h, bytes): digits of h are added until a bucket fits or holds one hash value."""
-    open_, done = sizes.select("h", "bytes", F.lit("").alias("bucket")), None
-    for level in range(10):
+    digit = lambda level: F.shiftrightunsigned("h", level * DIGIT_BITS).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)).cast("string")
+    open_, done = sizes.select("h", "bytes", digit(0).alias("bucket")), None
+    for level in range(1, 11):
         totals = open_.groupBy("bucket").agg(F.sum("bytes").alias("total"), F.count("*").alias("hashes"))
         over = totals.where((F.col("total") > limit) & (F.col("hashes") > 1)).select("bucket", F.lit(True).alias("over"))
         marked = stored(open_.join(over, "bucket", "left"))
         fits = marked.where("over is null").drop("over")
         done = fits if done is None else done.unionByName(fits)
-        digit = F.shiftrightunsigned("h", level * DIGIT_BITS).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
-        open_ = marked.where("over").select("h", "bytes", F.concat("bucket", F.lit("."), digit.cast("string")).alias("bucket"))
+        open_ = marked.where("over").select("h", "bytes", F.concat("bucket", F.lit("."), digit(level)).alias("bucket"))
         if marked.where("over").isEmpty():
             break
     return stored(done.unionByName(open_).select("h", "bucket", F.ceil(F.col("bytes") / limit).cast("int").alias("parts")))
