@@ -188,7 +188,7 @@ SQL = {
     "tolerant_json": """WITH l AS (SELECT CASE event_type WHEN 'error' THEN regexp_replace(props, '\\}$', '') WHEN 'view' THEN '  ' ELSE props END AS v FROM events)
 SELECT (v->>'$.k')::BIGINT AS k, count(*) AS lines, 'record' AS kind FROM l WHERE trim(v) <> '' AND json_valid(v) GROUP BY 1
 UNION ALL SELECT NULL, count(*), 'rejected' FROM l WHERE trim(v) <> '' AND NOT json_valid(v)""",
-    "resume_pending": w(FREQ, "SELECT template_id, template_text, frequency FROM freq WHERE substr(template_id, 1, 1) >= '8'"),
+    "resume_pending": w(FREQ, "SELECT template_id, template_text, frequency FROM freq WHERE substr(template_id, 1, 1) >= '8' ORDER BY frequency DESC, template_id LIMIT 5"),
     "classification_lookup": w(TPL + ",\nseen AS (SELECT MTMessageId, template_id, template_text, ClientName AS client_name FROM tpl),\n" + classify_cte("cl", "seen"),
       """SELECT template_id, coalesce(nullif(trim(category), ''), 'unknown') AS categoria, coalesce(nullif(trim(subcategory), ''), 'unknown') AS subcategoria, label
   FROM (SELECT *, row_number() OVER (PARTITION BY template_id ORDER BY MTMessageId DESC) AS rn FROM cl) WHERE rn = 1"""),
@@ -284,7 +284,7 @@ p AS (SELECT template_id, max(label) FILTER (judge = 1) AS a, max(label) FILTER
     "taxonomy_violations": w(RES, f"SELECT label, count(*) AS rows FROM res WHERE label <> '' AND label NOT IN ('ABSTAIN', {', '.join(q(x) for x in TAXONOMY_LABELS)}) GROUP BY 1"),
     "extrapolated_shares": w(RES, """SELECT label, count(*) AS templates,
   round(round(100.0::DOUBLE * (count(*)::DOUBLE / (SELECT count(*) FROM res)) / 100.0::DOUBLE, 6) * 6700000.0::DOUBLE)::BIGINT AS expected_messages
-  FROM res GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
+  FROM res GROUP BY 1"""),
     "judged_templates": w(VOTE_CLS, """SELECT template_id, 1::INT AS judge, CASE WHEN length(template_text) % 5 = 4 THEN 'error' WHEN length(template_text) > 30 THEN 'utilities::water' ELSE 'government::dian' END AS label,
   CASE WHEN length(template_text) % 5 = 4 THEN 0.0 ELSE 0.75 END::DOUBLE AS confidence FROM cls_all WHERE level_used = 'pending'"""),
     "store_levels": w(RES, "SELECT level_used, count(*) AS templates, round(avg(confidence), 6) AS avg_confidence FROM res GROUP BY 1"),

@@ -36,7 +36,7 @@ def delivered(spark, d):
 
 def texts(spark, d):
     """Delivered messages ahead of the extraction rules."""
-    return src.spread_scan(delivered(spark, d))
+    return delivered(spark, d)
 
 
 def freq(spark, d, include_pure=False):
@@ -109,7 +109,7 @@ def lookup(spark, d):
 
 def cells(spark, d):
     """Counters of every phone over the look-back."""
-    rows = src.spread_scan(lake.lookback_filter(raw_messages(spark, d), AS_OF, 30))
+    rows = lake.lookback_filter(raw_messages(spark, d), AS_OF, 30)
     return scoring.phone_cells(scoring.categorise(rows, lookup(spark, d)))
 
 
@@ -180,7 +180,7 @@ def q_tolerant_json(spark, d):
 def q_resume_pending(spark, d):
     all_templates = stored(spark, freq(spark, d, include_pure=True))
     done = all_templates.where(F.substring("template_id", 1, 1) < "8")
-    return jsonl.not_processed(all_templates, jsonl.processed_ids(done), 1000).select("template_id", "template_text", "frequency")
+    return jsonl.not_processed(all_templates, jsonl.processed_ids(done), 5).select("template_id", "template_text", "frequency")
 
 
 def q_classification_lookup(spark, d):
@@ -235,7 +235,7 @@ def q_templates(spark, d):
 
 
 def _texts(rows, key):
-    t = extract_templates(src.spread_scan(rows).withColumn("cleaned_message", normalize_text("text")))
+    t = extract_templates(rows.withColumn("cleaned_message", normalize_text("text")))
     return t.select(*key, "template_id", fired(), F.length("template_text").alias("template_chars"))
 
 
@@ -416,7 +416,7 @@ def q_taxonomy_violations(spark, d):
 
 
 def q_extrapolated_shares(spark, d):
-    return votes.extrapolate_shares(votes.top_labels(resolved(spark, d)).withColumn("share", F.round(F.col("pct") / 100.0, 6)), "share", 6_700_000).select(
+    return votes.extrapolate_shares(votes.label_counts(resolved(spark, d)).withColumn("share", F.round(F.col("pct") / 100.0, 6)), "share", 6_700_000).select(
         "label", "templates", "expected_messages")
 
 
@@ -500,7 +500,7 @@ def q_phone_types(spark, d):
 
 
 def _documents(spark, d):
-    rows = src.spread_scan(lake.lookback_filter(raw_messages(spark, d), AS_OF, 30))
+    rows = lake.lookback_filter(raw_messages(spark, d), AS_OF, 30)
     c = scoring.categorise(rows, lookup(spark, d))
     return scoring.score_documents(requests(spark, d), c, GENERATED_AT, 30)
 
@@ -570,11 +570,11 @@ def q_word_clusters(spark, d):
 
 
 def q_minhash_links(spark, d):
-    return similarity.minhash_links(src.spread_scan(table(spark, d, "documents")), "doc_id", "text")
+    return similarity.minhash_links(table(spark, d, "documents"), "doc_id", "text")
 
 
 def q_minhash_clusters(spark, d):
-    return similarity.cluster_templates(similarity.minhash_links(src.spread_scan(table(spark, d, "documents")), "doc_id", "text"))
+    return similarity.cluster_templates(similarity.minhash_links(table(spark, d, "documents"), "doc_id", "text"))
 
 
 def q_embedding_links(spark, d):
@@ -582,10 +582,11 @@ def q_embedding_links(spark, d):
 
 
 def _quality(spark, d):
-    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    """Fitted on the labelled documents, applied to all; the label is null where none is known."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     rows = docs.select("doc_id", normalize_text("text").alias("template_text"),
-                       F.concat_ws("::", F.lit("text"), F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("bad"))).alias("label"))
-    return learn.predict_labels(learn.fit_text_classifier(rows, features=1 << 14), rows)
+                       F.when(F.col("quality") == 1, F.lit("text::good")).when(F.col("quality") == 0, F.lit("text::bad")).alias("label"))
+    return learn.predict_labels(learn.fit_text_classifier(rows.where("label is not null"), features=1 << 14), rows)
 
 
 def q_text_classifier(spark, d):

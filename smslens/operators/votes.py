@@ -125,10 +125,15 @@ def level_summary(results: DataFrame) -> DataFrame:
     return sums.select("*", *[(100.0 * F.col(lv) / base).cast("double").alias(f"{lv}_pct") for lv in LEVELS])
 
 
-def top_labels(results: DataFrame, column: str = "label", n: int = 10) -> DataFrame:
-    """The n most frequent labels (or categories) with their percentage of all templates."""
+def label_counts(results: DataFrame, column: str = "label") -> DataFrame:
+    """Every label (or category) with its templates and their percentage of all."""
     counts = results.groupBy(column).agg(F.count(F.lit(1)).alias("templates"))
-    return counts.withColumn("pct", 100.0 * share_of_listed("templates")).orderBy(F.desc("templates"), column).limit(n)
+    return counts.withColumn("pct", 100.0 * share_of_listed("templates"))
+
+
+def top_labels(results: DataFrame, column: str = "label", n: int = 10) -> DataFrame:
+    """The n most frequent of them."""
+    return label_counts(results, column).orderBy(F.desc("templates"), column).limit(n)
 
 
 def disagreements(results: DataFrame, n: int = 10) -> DataFrame:

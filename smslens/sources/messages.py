@@ -53,19 +53,12 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores, before work that is heavy per row.
-
-    A table of usual size has more splits than cores and is returned as it is, without a shuffle.  Only for
-    plans without a shuffle (asking such a plan for its splits runs nothing).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def delivered_only(df: DataFrame) -> DataFrame:
-    """Rows with the delivered status; null status is dropped."""
-    return df.where(F.col("StatusId") == DELIVERED_STATUS)
+    """Rows with the delivered status; a null status is dropped, and so is text that is no number."""
+    status = F.col("StatusId")
+    if isinstance(df.schema["StatusId"].dataType, T.StringType):
+        status = status.try_cast("double")
+    return df.where(status == DELIVERED_STATUS)
 
 
 def _typed(raw: str, kind: str, dtype: T.DataType | None) -> Column:

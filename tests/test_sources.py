@@ -129,3 +129,10 @@ def test_taxonomy_and_phones(spark, tmp_path):
     p.write_text("57301\n\n 57302 \n")
     got = lookups.phone_requests(spark, str(p), ["57303"]).orderBy("ordinal").collect()
     assert [r.phone_number for r in got] == ["57301", "57302", "57303"]
+
+
+def test_text_status_drops_rows_that_are_no_number(spark):
+    from smslens.sources.messages import delivered_only
+
+    rows = spark.createDataFrame([("3", 1), ("x", 2), (None, 3), ("3.0", 4), ("5", 5)], "StatusId string, k int")
+    assert sorted(r.k for r in delivered_only(rows).collect()) == [1, 4]
