@@ -2,11 +2,11 @@
 
 A set's prefix under an order is its first size - ceil(t * size) + 1 tokens; two sets at Jaccard t or more share a
 prefix token under every order.  So a pair is a candidate only where the prefixes meet under all of the orders:
-the first one joins, the others are checked on the joined pairs, and what is left is verified on the full sets.
+the first one joins, the others are checked on the joined pairs' sets, and only what is left is counted out.
 
-The first order puts rare tokens first: tokens in ascending hash order, but those seen in many prefixes last, the
-more frequent the later.  Any such order is right; the table of frequent tokens has a fixed greatest size and only
-decides how many pairs are looked at.
+The first order puts rare tokens first: tokens in ascending hash order, but those seen in several prefixes last,
+the more frequent the later.  Any such order is right; the table of repeated tokens has a fixed greatest size and
+only decides how many pairs are looked at.
 
 Equal sets are one class.  Inside a group of classes that share a prefix token not all pairs are listed.  First
 each class is held against one head of its group; the components of the links found so far are computed; then only
@@ -19,15 +19,16 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smslens.llm.common import LOWER, Block, RollingHash, attach, blocks, components, lists, mixed, shingles, stored, words
+from smslens.llm.common import LOWER, Block, RollingHash, attach, blocks, group_links, lists, mixed, shingles, stored, tidy, words
 
-#: Most tokens in the table of frequent tokens (16 bytes each), and the prefix count from which a token is frequent.
-FREQUENT, FREQUENT_FROM = 100_000, 16
+#: Most tokens in the table of repeated tokens (9 bytes each), and the count from which a token is in it.
+FREQUENT, FREQUENT_FROM = 2_000_000, 2
+#: Tokens are counted in prefixes this many times as long, so that those that move up are known as well.
+COUNTED = 2
 #: Orders besides the first.
 OTHER_ORDERS = 2
 HASH = RollingHash(9)
@@ -92,14 +93,14 @@ def shingle_prefixes(docs: DataFrame, length: int, percent: int) -> DataFrame:
 
     def make(block: Block) -> list[pa.Array]:
         token, counts = token_sets(block, length)
-        most = prefix_lengths(counts, percent)
+        most = np.minimum(COUNTED * prefix_lengths(counts, percent), counts)
         return [lists(signed(firsts(token, token, counts, most)), most, pa.int64())]
 
     return map_texts(docs, [], "prefix array<long>", make)
 
 
 def frequent_tokens(docs: DataFrame, length: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens in at least FREQUENT_FROM prefixes with their counts, by token.
+    """Tokens in at least FREQUENT_FROM prefixes with the binary logarithm of their counts, by token.
 
     Where that would be more than FREQUENT, the least count asked for is raised to the next power of two at which
     the table stays within its size; the tokens left out only come earlier in the order.
@@ -112,10 +113,10 @@ def frequent_tokens(docs: DataFrame, length: int, percent: int) -> tuple[np.ndar
         if r.tokens > room:
             break
         least, room = r.level, room - r.tokens
-    found = counted.where(F.floor(F.log2("n")) >= least).toPandas()
-    token, n = found["token"].to_numpy("int64").view(np.uint64), found["n"].to_numpy("int64")
+    found = counted.where(F.floor(F.log2("n")) >= least).select("token", F.floor(F.log2("n")).cast("byte").alias("level")).toPandas()
+    token, level = found["token"].to_numpy("int64").view(np.uint64), found["level"].to_numpy("int8")
     order = np.argsort(token)
-    return token[order], n[order]
+    return token[order], level[order]
 
 
 def set_names(token: np.ndarray, counts: np.ndarray) -> list[str | None]:
@@ -125,7 +126,7 @@ def set_names(token: np.ndarray, counts: np.ndarray) -> list[str | None]:
 
 
 def described(docs: DataFrame, length: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Second pass: docs (doc_id, text) as (doc_id, n, class, orders): prefixes under each of the orders."""
+    """Second pass: docs (doc_id, th, text) with the size and name of the set and its prefix under the first order."""
     known, weight = frequent
 
     def make(block: Block) -> list[pa.Array]:
@@ -136,22 +137,10 @@ def described(docs: DataFrame, length: int, percent: int, frequent: tuple[np.nda
         if len(known):
             at = np.minimum(np.searchsorted(known, token), len(known) - 1)
             late = np.where(known[at] == token, weight[at], 0)
-        ranks = [np.stack([token, late.astype(np.uint64)])] + [mixed(token + np.uint64(k + 1)) for k in range(OTHER_ORDERS)]
-        prefixes = [lists(signed(firsts(token, r, counts, most)), most, pa.int64()) for r in ranks]
-        return [pa.array(counts, pa.int64()), pa.array(names, pa.string()), *prefixes]
-
-    orders = ", ".join(f"order{k} array<long>" for k in range(OTHER_ORDERS + 1))
-    return map_texts(docs, ["doc_id"], f"n long, class string, {orders}", make)
-
-
-def full_sets(docs: DataFrame, length: int) -> DataFrame:
-    """Third pass, for documents that take part in a candidate pair: (class, tokens)."""
-
-    def make(block: Block) -> list[pa.Array]:
-        token, counts = token_sets(block, length)
-        return [pa.array(set_names(token, counts), pa.string()), lists(signed(token), counts, pa.int64())]
+        first = firsts(token, np.stack([token, late.astype(np.uint64)]), counts, most)
+        return [pa.array(counts, pa.int64()), pa.array(names, pa.string()), lists(signed(first), most, pa.int64())]
 
-    return map_texts(docs, [], "class string, tokens array<long>", make)
+    return map_texts(docs, ["doc_id", "th"], "n long, class string, prefix array<long>", make)
 
 
 def size_fits(a: Column, b: Column, percent: int) -> Column:
@@ -159,34 +148,44 @@ def size_fits(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def candidates(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of fitting sizes whose prefixes also meet under the other orders."""
-    orders = [f"order{k}" for k in range(1, OTHER_ORDERS + 1)]
-    side = lambda x: prefixes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), *[F.col(o).alias(f"{x}_{o}") for o in orders])
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(size_fits(F.col("a_n"), F.col("b_n"), percent))
-    for o in orders:
-        both = both.where(F.arrays_overlap(f"a_{o}", f"b_{o}"))
-    return stored(both.select("a", "b"))
+def meet(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets' prefixes share a token under each of the other orders."""
+    a, b = prefix_lengths(np.array([len(x), len(y)]), percent)
+    for k in range(OTHER_ORDERS):
+        rank_x, rank_y = mixed(x + np.uint64(k + 1)), mixed(y + np.uint64(k + 1))
+        if not np.isin(np.partition(rank_x, a - 1)[:a], np.partition(rank_y, b - 1)[:b]).any():
+            return False
+    return True
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with common and union counts that reach the threshold; nodes: (node, class, doc_id), stored."""
+    """Pairs (a, b) with common and union counts that reach the threshold; nodes: (node, doc_id, th, n), stored.
+
+    Pairs of fitting sizes go on; those whose prefixes meet under the other orders too are counted out.  Whole texts are fetched for the documents of the pairs and their sets are built where a pair is decided: texts
+    shuffle in a third of the bytes that sets of 64-bit tokens take.
+    """
+    size = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"))
+    pairs = pairs.join(size("a"), "a").join(size("b"), "b").where(size_fits(F.col("a_n"), F.col("b_n"), percent))
+    pairs = stored(pairs.select("a", "b"))
     involved = stored(nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"))
-    texts = attach(docs, involved.select("doc_id").distinct(), ["doc_id"], "left_semi")
-    # a repeated id may bring other texts along: the set's own name decides
-    sets = full_sets(texts, length).join(involved.select("class", "node"), "class").dropDuplicates(["node"])
-    sets = stored(sets.select("node", "tokens"))
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            common = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(pdf["a_tokens"], pdf["b_tokens"], strict=True)], np.int64)
-            total = pdf["a_tokens"].str.len().to_numpy(np.int64) + pdf["b_tokens"].str.len().to_numpy(np.int64)
-            yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "common": common, "together": total - common})
-
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens")
-    held = both.mapInPandas(count, "a long, b long, common long, together long")
+    texts = stored(attach(docs, involved, ["doc_id", "th"], "inner").select("node", "text").dropDuplicates(["node"]))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
+
+    def sets(column: pa.Array) -> Iterator[np.ndarray]:
+        for block in blocks(column):
+            token, counts = token_sets(block, length)
+            yield from np.split(token, np.cumsum(counts)[:-1])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [(len(np.intersect1d(x, y, assume_unique=True)) if meet(x, y, percent) else 0, len(x) + len(y)) for x, y in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True)]
+            common, both = np.array(each, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common), pa.array(both - common)], ["a", "b", "common", "together"])
+
+    tidy(docs.sparkSession)
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
+    held = both.mapInArrow(count, "a long, b long, common long, together long")
     return stored(held.where(F.col("common") * 100 >= F.col("together") * percent))
 
 
@@ -200,34 +199,20 @@ def jaccard_components(docs: DataFrame, length: int = 3, percent: int = 90, id_c
     id takes the component of the equal sets that have one; a set that only such rows have is not compared.
     Repeated rows are equal sets.  An empty table gives no rows; other columns are not read.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     rows = stored(described(base, length, percent, frequent_tokens(base, length, percent)))
     classes = stored(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least")))
     named = classes.where("least is not null").select("class", F.xxhash64("class").alias("node"), F.col("least").alias("doc_id"))
-    lead = stored(rows.join(named, ["class", "doc_id"]).dropDuplicates(["class"]))
-    nodes = lead.select("node", "class", "doc_id")
-
-    posted = lead.select("node", F.explode("order0").alias("token"))
-    heads = posted.groupBy("token").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
-    shared = stored(posted.join(heads, "token"))
-    star = shared.where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-    links = verified(candidates(star, lead, percent), nodes, base, length, percent)
-
-    # what the stars leave open: pairs of a group that lie in different components
-    found = components(links)
-    placed = shared.join(found, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-    split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    open_ = stored(placed.join(split, "token").join(lead.select("node", "n"), "node"))
-    other = open_.select("token", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    cross = open_.join(other, "token").where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & size_fits(F.col("n"), F.col("n2"), percent))
-    cross = cross.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = verified(candidates(cross, lead, percent), nodes, base, length, percent)
-    if not more.isEmpty():
-        links = stored(links.unionByName(more))
-        found = components(links)
+    nodes = stored(rows.select("class", "doc_id", "th", "n").join(named, ["class", "doc_id"]).dropDuplicates(["class"]))
+    posted = rows.where("class is not null").select(F.xxhash64("class").alias("node"), F.col("n").alias("x"), F.explode("prefix").alias("token"))
+    links, found = group_links(
+        posted,
+        lambda x, y: size_fits(x, y, percent),
+        lambda pairs: verified(pairs, nodes, base, length, percent),
+    )
 
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    linked = nodes.join(found, "node").join(ends, "node", "left")
+    linked = nodes.select("node", "class", "doc_id").join(found, "node").join(ends, "node", "left")
     least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = linked.join(least, "component").select("class", "component_id", "links")
     known = stored(classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links")))

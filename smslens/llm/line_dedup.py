@@ -1,13 +1,14 @@
 """Fuzzy line deduplication on DataFrame functions alone.
 
-Lines are normalised (lower case, runs of anything but letters and digits as one space); equal normal forms are
-one line.  Each distinct line of five words or more gets a 64-bit SimHash of its words.  Lines within three bits of
-each other agree on at least two of five blocks of the hash, so lines are joined on every pair of blocks, and what
-is within three bits and also close by edit distance is linked.  Of each connected group the first occurrence in
+Lines are normalised (trimmed, lower case); equal normal forms are one line.  Each distinct line of five words or
+more gets a 64-bit SimHash of its words.  Lines within two bits of each other agree on at least two of four blocks
+of the hash, so lines are joined on every pair of blocks (32 bits of the hash, so that unrelated lines seldom meet),
+and what is within two bits and also close by edit distance is linked.  Of each connected group the first occurrence in
 the table stays.
 
-SimHash on the JVM: a word's hash is split into bytes' worth of bits, and bits that are eight apart share a 64-bit
-sum as lanes of eight bits.  So a line of up to 127 words needs eight sums (no lane reaches the sign); longer lines use lanes of 32 bits.
+SimHash on the JVM: a word's hash is split into bits, and bits that are eight apart share a 64-bit sum as lanes of
+eight bits.  So 127 words need eight sums (no lane reaches the sign); a longer line is summed in such parts, whose
+lanes are then widened to 32 bits and added up.
 """
 
 from __future__ import annotations
@@ -17,18 +18,19 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smslens.llm.common import attach, group_links, stored, text_or_empty
+from smslens.llm.common import attach, group_links, once, stored, text_or_empty, tidy
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
 #: Bits that may differ; one more than this may share no block, so blocks number DISTANCE + BLOCKS_JOINED.
-DISTANCE, BLOCKS_JOINED = 3, 2
-BLOCK_BITS = (13, 13, 13, 13, 12)
-BYTE_LANES, WORD_LANES = 0x0101010101010101, 0x0000000100000001
+DISTANCE, BLOCKS_JOINED = 2, 2
+BLOCK_BITS = (16, 16, 16, 16)
+PART_WORDS = 127
+BIT_LANES, BYTE_LANES = 0x0101010101010101, 0x000000FF000000FF
 
 
 def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    return F.lower(F.trim(line))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -46,33 +48,27 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def n_words() -> Column:
-    """Words of a normal line, by its single spaces."""
+    """Words of a normal line, by its spaces."""
     return F.char_length("norm") - F.char_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1
 
 
-def hash_bits(lines: DataFrame, keys: list[str], lanes: int, width: int) -> DataFrame:
-    """simhash of lines (norm, keys, ...), its lane sums holding `width` bits each."""
-    words = lines.select(*keys, F.explode(F.split("norm", " ")).alias("word")).withColumn("wh", F.xxhash64("word"))
-    sums = [F.sum(F.shiftrightunsigned("wh", k).bitwiseAND(F.lit(lanes))).alias(f"s{k}") for k in range(width)]
-    summed = words.groupBy(*keys).agg(*sums, F.count("*").alias("words"))
-    bit = lambda k, i: F.when(F.shiftrightunsigned(f"s{k}", i * width).bitwiseAND(F.lit((1 << width) - 1)) * 2 > F.col("words"), F.shiftleft(F.lit(1).cast("long"), k + i * width)).otherwise(F.lit(0).cast("long"))
-    bits = None
-    for i in range(64 // width):
-        for k in range(width):
-            bits = bit(k, i) if bits is None else bits.bitwiseOR(bit(k, i))
-    return summed.select(*keys, bits.alias("simhash"))
-
-
 def sim_hashes(lines: DataFrame) -> DataFrame:
-    """(node, node2, first, n, simhash) of distinct lines.
+    """(node, node2, first, n, simhash) of distinct lines (norm, first, n).
 
-    Short lines are grouped by their text, by which they are dealt out already; long ones by their hashes, so that
-    a line's text is not carried along with each of its words.
+    A line goes by its hashes from here on, so that its text is not carried along with each of its words.
     """
-    names = [F.xxhash64("norm").alias("node"), F.xxhash64(F.lit(1), "norm").alias("node2"), "first", "n"]
-    short = hash_bits(lines.where(F.col("words") <= 127), ["norm", "first", "n"], BYTE_LANES, 8).select(*names, "simhash")
-    long = lines.where(F.col("words") > 127).select("norm", *names)
-    return short.unionByName(hash_bits(long, ["node", "node2", "first", "n"], WORD_LANES, 32))
+    keys = ["node", "node2", "first", "n"]
+    words = lines.select(F.xxhash64("norm").alias("node"), F.xxhash64(F.lit(1), "norm").alias("node2"), "first", "n", F.posexplode(F.split("norm", " ")).alias("at", "word"))
+    words = words.select(*keys, F.floor(F.col("at") / PART_WORDS).alias("part"), F.xxhash64("word").alias("wh"))
+    parts = words.groupBy(*keys, "part").agg(*[F.sum(F.shiftrightunsigned("wh", k).bitwiseAND(F.lit(BIT_LANES))).alias(f"s{k}") for k in range(8)], F.count("*").alias("words"))
+    wide = {(k, i): F.sum(F.shiftrightunsigned(f"s{k}", 8 * i).bitwiseAND(F.lit(BYTE_LANES))).alias(f"w{k}_{i}") for k in range(8) for i in range(4)}
+    summed = parts.groupBy(*keys).agg(*wide.values(), F.sum("words").alias("words"))
+    bits = F.lit(0).cast("long")
+    for k, i in wide:
+        for half in (0, 1):  # lane i + 4 * half of sum k: bit k + 8 * that lane
+            count = F.shiftrightunsigned(f"w{k}_{i}", 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
+            bits = bits.bitwiseOR(F.when(count * 2 > F.col("words"), F.shiftleft(F.lit(1).cast("long"), k + 8 * (i + 4 * half))).otherwise(F.lit(0).cast("long")))
+    return summed.select(*keys, bits.alias("simhash"))
 
 
 def block_keys() -> Column:
@@ -108,25 +104,22 @@ def edit_similar(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return cut.where(F.expr("levenshtein(a_mid, b_mid, allowed) >= 0")).select("a", "b")
 
 
-def once(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
-    """df's columns `keep` and the made ones, which later steps see as values: a plain projection would be merged
-    into the steps that use it, and each use would work it out anew."""
-    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in made.items()]))))
-
-
 def line_groups(rows: DataFrame) -> DataFrame:
     """(node, node2, keep_ord) of lines that occur again, exactly or nearly; keep_ord is the occurrence that stays."""
     lines = occurrences(rows).groupBy("norm").agg(F.min("ord").alias("first"), F.count("*").alias("n"))
     lines = lines.withColumn("words", n_words()).where(F.col("words") >= MIN_WORDS)
     lines = stored(sim_hashes(lines))
+    tidy(rows.sparkSession)
     posted = lines.select("node", F.col("simhash").alias("x"), F.explode(block_keys()).alias("token"))
     hashes = lines.select("node", "simhash")
 
     def check(pairs: DataFrame) -> DataFrame:
         near = pairs.join(hashes.select(F.col("node").alias("a"), F.col("simhash").alias("x")), "a").join(hashes.select(F.col("node").alias("b"), F.col("simhash").alias("y")), "b")
         near = stored(near.where(bits_apart(F.col("x"), F.col("y")) <= DISTANCE).select("a", "b"))
+        if near.isEmpty():
+            return near
         involved = stored(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        texts = stored(attach(occurrences(rows).select("node", "norm"), involved, ["node"], "left_semi").dropDuplicates(["node"]))
+        texts = stored(attach(occurrences(rows).select("node", "norm"), involved, ["node"], "left_semi").distinct())
         both = near.join(texts.select(F.col("node").alias("a"), F.col("norm").alias("a_norm")), "a").join(texts.select(F.col("node").alias("b"), F.col("norm").alias("b_norm")), "b")
         return stored(edit_similar(both))
 
@@ -145,8 +138,12 @@ def bits_apart(x: Column, y: Column) -> Column:
 
 def removed_lines(rows: DataFrame) -> DataFrame:
     """(id0, rk, gone): positions of the lines that go, for each row that loses some."""
-    found = attach(occurrences(rows).select("id0", "rk", "pos", "ord", "node", "node2"), line_groups(rows), ["node", "node2"], "inner")
-    return found.where("ord > keep_ord").groupBy("id0", "rk").agg(F.collect_set("pos").alias("gone"))
+    groups = line_groups(rows)
+    tidy(rows.sparkSession)
+    found = attach(occurrences(rows).select("id0", "rk", "pos", "ord", "node", "node2"), groups, ["node", "node2"], "inner")
+    gone = stored(found.where("ord > keep_ord").groupBy("id0", "rk").agg(F.collect_set("pos").alias("gone")))
+    tidy(rows.sparkSession)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
