@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smslens.llm.common import Block, RollingHash, blocks, stored, words
+from smslens.llm.common import LOWER, Block, RollingHash, blocks, stored, words
 
 WINDOW = 2048
 #: Documents of a shard on average.
@@ -44,15 +44,42 @@ def tokenizer(path: str) -> tuple:
     return TOKENIZERS[path]
 
 
+#: Marks that are split off a word's end, where a letter or digit stands before: there the tokenizer splits too.
+MARK = np.zeros(256, bool)
+MARK[[ord(c) for c in ".,;:!?*$&#%"]] = True
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+
+def pieces_of_words(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts, ends and documents of words without their closing marks, and of the marks.
+
+    A word's first ASCII letter is lower-cased, as the tokenizer would; both make more words alike.
+    """
+    starts, ends, doc = words(block)
+    if not len(starts):
+        return block.data, starts, ends, doc
+    lower = block.data.copy()
+    lower[starts] = LOWER[lower[starts]]
+    body = np.maximum.accumulate(np.where(MARK[lower], -1, np.arange(len(lower))))[ends - 1]
+    split = (body >= starts) & (body < ends - 1)
+    split[split] = ALNUM[lower[body[split]]]
+    cut = body[split] + 1
+    order = np.argsort(np.r_[starts, cut], kind="stable")
+    out_ends = ends.copy()
+    out_ends[split] = cut
+    return lower, np.r_[starts, cut][order], np.r_[out_ends, ends[split]][order], np.r_[doc, doc[split]][order]
+
+
 def block_ids(block: Block, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of the texts of a block, each closed by end_id, and their counts.
 
     The tokenizer drops ASCII white space and never joins across it, so each distinct word is encoded once.
     """
     encode, known = tokenizer(path)
-    starts, ends, doc = words(block)
-    _, first, which = np.unique(HASH.spans(HASH.sums(block.data), starts, ends), return_index=True, return_inverse=True)
-    data = block.data.tobytes()
+    lower, starts, ends, doc = pieces_of_words(block)
+    _, first, which = np.unique(HASH.spans(HASH.sums(lower), starts, ends), return_index=True, return_inverse=True)
+    data = lower.tobytes()
     distinct = [data[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
     new = [w for w in distinct if w not in known]
     if len(known) + len(new) > KEPT_WORDS:
