@@ -8,9 +8,8 @@ The first order puts rare tokens first: tokens in ascending hash order, but thos
 the more frequent the later.  Any such order is right; the table of repeated tokens has a fixed greatest size and
 only decides how many pairs are looked at.
 
-Equal sets are one class.  Inside a group of classes that share a prefix token not all pairs are listed.  First
-each class is held against one head of its group; the components of the links found so far are computed; then only
-pairs of a group that lie in different components are looked at.  Links inside a component would not change it.
+Equal sets are one class.  Inside a group of classes that share a prefix token not all pairs are listed: see
+prefix_links.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smslens.llm.common import LOWER, Block, RollingHash, attach, blocks, group_links, lists, mixed, shingles, stored, tidy, words
+from smslens.llm.common import LOWER, Block, RollingHash, attach, blocks, components, lists, mixed, shingles, stored, tidy, words
 
 #: Most tokens in the table of repeated tokens (9 bytes each), and the count from which a token is in it.
 FREQUENT, FREQUENT_FROM = 2_000_000, 2
@@ -158,11 +157,13 @@ def meet(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return True
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with common and union counts that reach the threshold; nodes: (node, doc_id, th, n), stored.
+def held(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int, every: bool) -> DataFrame:
+    """Pairs (a, b) of fitting sizes with `apart`, the tokens that one of the two sets has alone, and those tokens.
 
-    Pairs of fitting sizes go on; those whose prefixes meet under the other orders too are counted out.  Whole texts are fetched for the documents of the pairs and their sets are built where a pair is decided: texts
-    shuffle in a third of the bytes that sets of 64-bit tokens take.
+    With every=False only pairs that reach the threshold stay, and pairs whose prefixes do not meet under the other
+    orders are not counted out; with every=True all stay, and differences beyond three times what a link allows
+    are null.  Whole texts are fetched for the documents of the pairs and their sets are built where a pair is
+    decided: texts shuffle in a third of the bytes that sets of 64-bit tokens take.  nodes: (node, doc_id, th, n).
     """
     size = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"))
     pairs = pairs.join(size("a"), "a").join(size("b"), "b").where(size_fits(F.col("a_n"), F.col("b_n"), percent))
@@ -179,14 +180,79 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, p
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            each = [(len(np.intersect1d(x, y, assume_unique=True)) if meet(x, y, percent) else 0, len(x) + len(y)) for x, y in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True)]
-            common, both = np.array(each, np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common), pa.array(both - common)], ["a", "b", "common", "together"])
+            apart, diff = [], []
+            for x, y in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True):
+                if not every and not meet(x, y, percent):
+                    apart.append(len(x) + len(y))
+                    diff.append(None)
+                    continue
+                d = np.setxor1d(x, y, assume_unique=True)
+                apart.append(len(d))
+                diff.append(signed(d) if every and len(d) <= 3 * most_apart(len(x), percent) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart, pa.int64()), pa.array(diff, pa.list_(pa.int64()))], ["a", "b", "apart", "diff"])
 
     tidy(docs.sparkSession)
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
-    held = both.mapInArrow(count, "a long, b long, common long, together long")
-    return stored(held.where(F.col("common") * 100 >= F.col("together") * percent))
+    found = both.mapInArrow(count, "a long, b long, apart long, diff array<long>")
+    found = found.join(size("a"), "a").join(size("b"), "b")
+    return stored(found if every else found.where(links_at(F.col("apart"), F.col("a_n"), F.col("b_n"), percent)))
+
+
+def links_at(apart: Column, a: Column, b: Column, percent: int) -> Column:
+    """common * 100 >= union * percent, in terms of sizes and of the tokens that one set has alone."""
+    return (a + b - apart) * 100 >= (a + b + apart) * percent
+
+
+def most_apart(n: int, percent: int) -> int:
+    """Tokens in which a set of n tokens differs at most from any that it links with: sizes differ by the same share."""
+    return int(n * (1 + 100 / percent) * (100 - percent) / (100 + percent)) + 1
+
+
+def prefix_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) and their components among the nodes of posted (token, node, x), whose prefixes share a token.
+
+    Each node is held against the smallest node of its groups, its heads.  What is left are pairs of a group in
+    different components.  Sets that differ little from the same head are compared by their differences: two sets
+    differ where exactly one of the differences has the token.  Two that share no such token link only if both link
+    with the head, so they meet on these tokens, and a group of many copies just below the threshold is not
+    paired up.  A set close to the head and one far from it cannot link.  Other pairs are decided on their texts.
+    """
+    heads = posted.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("other")).where("head < other").drop("other")
+    shared = stored(posted.join(heads, "token").distinct())
+    tidy(posted.sparkSession)
+    star = stored(shared.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    measured = held(star, nodes, docs, length, percent, True)
+    links = stored(measured.where(links_at(F.col("apart"), F.col("a_n"), F.col("b_n"), percent)).select("a", "b"))
+    tidy(posted.sparkSession)
+    found = components(links)
+    place = lambda df: df.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    near = measured.where("diff is not null").select(F.col("a").alias("head"), F.col("b").alias("node"), F.col("b_n").alias("x"), "apart", "diff")
+    near = stored(place(near))
+    keyed = near.select("*", F.explode("diff").alias("d"))
+    other = keyed.select("head", "d", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "apart", "diff", "component")])
+    close = keyed.join(other, ["head", "d"]).where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")))
+    apart = F.col("apart") + F.col("apart2") - 2 * F.size(F.array_intersect("diff", "diff2"))
+    close = stored(close.where(links_at(apart, F.col("x"), F.col("x2"), percent)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
+
+    # 0 unknown (sizes too unlike to be held against the head), 1 close, 2 near, 3 far
+    limit = F.col("b_n") * (1 + 100 / percent) * (100 - percent) / (100 + percent) + 1
+    rank = F.when(F.col("diff").isNull(), 3).when(F.col("apart") <= limit, 1).otherwise(2)
+    ranks = stored(measured.select(F.col("a").alias("head"), F.col("b").alias("node"), rank.alias("rank")))
+    placed = place(shared)
+    split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    ranked = placed.join(split, "token").join(ranks, ["head", "node"], "left")
+    open_ = stored(ranked.withColumn("rank", F.when(F.col("node") == F.col("head"), 1).otherwise(F.coalesce("rank", F.lit(0)))))
+    other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "component", "rank")])
+    decided = (F.col("rank").isin(1, 2) & F.col("rank2").isin(1, 2)) | ((F.col("rank") == 1) & (F.col("rank2") == 3)) | ((F.col("rank") == 3) & (F.col("rank2") == 1))
+    cross = open_.join(other, "token").where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & ~decided & size_fits(F.col("x"), F.col("x2"), percent))
+    cross = stored(cross.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
+    tidy(posted.sparkSession)
+    more = close if cross.isEmpty() else stored(close.unionByName(held(cross, nodes, docs, length, percent, False).select("a", "b")))
+    if not more.isEmpty():
+        links = stored(links.unionByName(more))
+        found = components(links)
+    return links, found
 
 
 def jaccard_components(docs: DataFrame, length: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,11 +271,7 @@ def jaccard_components(docs: DataFrame, length: int = 3, percent: int = 90, id_c
     named = classes.where("least is not null").select("class", F.xxhash64("class").alias("node"), F.col("least").alias("doc_id"))
     nodes = stored(rows.select("class", "doc_id", "th", "n").join(named, ["class", "doc_id"]).dropDuplicates(["class"]))
     posted = rows.where("class is not null").select(F.xxhash64("class").alias("node"), F.col("n").alias("x"), F.explode("prefix").alias("token"))
-    links, found = group_links(
-        posted,
-        lambda x, y: size_fits(x, y, percent),
-        lambda pairs: verified(pairs, nodes, base, length, percent),
-    )
+    links, found = prefix_links(posted, nodes, base, length, percent)
 
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     linked = nodes.select("node", "class", "doc_id").join(found, "node").join(ends, "node", "left")
