@@ -56,9 +56,14 @@ def classification_lookup(rows: DataFrame, order_by: str | None = None) -> DataF
 
 
 def read_classification_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The exported CSV (any accent or case in its headers) as a lookup."""
+    """The exported CSV (any accent or case in its headers) as a lookup.
+
+    Of duplicates the last one wins, by file name and then place in the file; a file is read by one task, since its
+    values may hold line breaks.
+    """
     rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
-    return classification_lookup(rows)
+    place = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id().alias("row"))
+    return classification_lookup(rows.select("*", place.alias("_place")), "_place")
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:

@@ -136,3 +136,13 @@ def test_text_status_drops_rows_that_are_no_number(spark):
 
     rows = spark.createDataFrame([("3", 1), ("x", 2), (None, 3), ("3.0", 4), ("5", 5)], "StatusId string, k int")
     assert sorted(r.k for r in delivered_only(rows).collect()) == [1, 4]
+
+
+def test_last_duplicate_wins_by_file_name(spark, tmp_path):
+    from smslens.sources.lookups import read_classification_csv
+
+    head = "ID Plantilla,Categoria,Subcategoria,Etiqueta\n"
+    (tmp_path / "b.csv").write_text(head + "t1,banca,pagos,b\n")
+    (tmp_path / "a.csv").write_text(head + "t1,salud,citas,a\n" + "".join(f"x{i},c,s,l\n" for i in range(3000)))
+    got = read_classification_csv(spark, str(tmp_path))
+    assert [r.label for r in got.where("template_id = 't1'").collect()] == ["b"]
