@@ -1,7 +1,8 @@
 """Fuzzy line deduplication on DataFrame functions alone.
 
 Lines are normalised (trimmed, lower case); equal normal forms are one line.  Each distinct line of five words or
-more gets a 64-bit SimHash of its words.  Lines within two bits of each other agree on at least two of four blocks
+more gets a 64-bit SimHash of its distinct words (a mark that stands between all words of a table's rows would
+otherwise give them all one hash).  Lines within two bits of each other agree on at least two of four blocks
 of the hash, so lines are joined on every pair of blocks (32 bits of the hash, so that unrelated lines seldom meet),
 and what is within two bits and also close by edit distance is linked.  Of each connected group the first occurrence in
 the table stays.
@@ -58,7 +59,7 @@ def sim_hashes(lines: DataFrame) -> DataFrame:
     A line goes by its hashes from here on, so that its text is not carried along with each of its words.
     """
     keys = ["node", "node2", "first", "n"]
-    words = lines.select(F.xxhash64("norm").alias("node"), F.xxhash64(F.lit(1), "norm").alias("node2"), "first", "n", F.posexplode(F.split("norm", " ")).alias("at", "word"))
+    words = lines.select(F.xxhash64("norm").alias("node"), F.xxhash64(F.lit(1), "norm").alias("node2"), "first", "n", F.posexplode(F.array_distinct(F.split("norm", " "))).alias("at", "word"))
     words = words.select(*keys, F.floor(F.col("at") / PART_WORDS).alias("part"), F.xxhash64("word").alias("wh"))
     parts = words.groupBy(*keys, "part").agg(*[F.sum(F.shiftrightunsigned("wh", k).bitwiseAND(F.lit(BIT_LANES))).alias(f"s{k}") for k in range(8)], F.count("*").alias("words"))
     wide = {(k, i): F.sum(F.shiftrightunsigned(f"s{k}", 8 * i).bitwiseAND(F.lit(BYTE_LANES))).alias(f"w{k}_{i}") for k in range(8) for i in range(4)}

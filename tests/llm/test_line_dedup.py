@@ -13,7 +13,7 @@ def normal(line):
 
 
 def sim_hash(norm):
-    words = norm.split(" ")
+    words = set(norm.split(" "))
     hashes = np.array([xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words], np.uint64)
     return sum(1 << k for k in range(64) if 2 * int(((hashes >> np.uint64(k)) & np.uint64(1)).sum()) > len(words))
 
