@@ -28,23 +28,24 @@ from smslens.llm.common import Block, RollingHash, attach, blocks, mixed, stored
 LENGTH, GRAM, REACH = 100, 8, 69
 #: Strings of a range at each level of cutting.
 CUTS = (8, 1)
-#: A range is one number: its first string's place, its further strings, how far the last one starts before the
-#: trigger, and a hash that tells rows of one id apart.
-ROW_BITS, MORE_BITS, OFF_BITS = 16, 7, 7
+#: A range is one number: its first string's place, its further strings, and how far the last one starts before the
+#: trigger.
+MORE_BITS, OFF_BITS = 7, 7
 ONE, TWO = RollingHash(81), RollingHash(82)
 
 
-def packed(first: np.ndarray, more: np.ndarray, off: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return (((first.astype(np.int64) << MORE_BITS | more) << OFF_BITS | off) << ROW_BITS) | row
+def packed(first: np.ndarray, more: np.ndarray, off: np.ndarray) -> np.ndarray:
+    return (first.astype(np.int64) << MORE_BITS | more) << OFF_BITS | off
 
 
 def unpacked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    off, more = x >> ROW_BITS & ((1 << OFF_BITS) - 1), x >> (ROW_BITS + OFF_BITS) & ((1 << MORE_BITS) - 1)
-    return x >> (ROW_BITS + OFF_BITS + MORE_BITS), more, off
+    off, more = x & ((1 << OFF_BITS) - 1), x >> OFF_BITS & ((1 << MORE_BITS) - 1)
+    return x >> (OFF_BITS + MORE_BITS), more, off
 
 
 def row_key() -> Column:
-    return F.xxhash64("text").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("row")
+    """Tells rows of one id apart; all rows without an id share one, so this has to hold over a whole table."""
+    return F.xxhash64("text").alias("row")
 
 
 def trigger_ranges(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,14 +90,14 @@ def range_rows(block: Block, first: np.ndarray, more: np.ndarray, off: np.ndarra
     return phrase.view(np.int64), mixed(context + off.astype(np.uint64)).view(np.int64)
 
 
-ROWS = "phrase long, context long, doc_id long, range long"
+ROWS = "phrase long, context long, doc_id long, range long, row long"
 
 
 def emitted(block: Block, ranges: tuple[np.ndarray, ...], strings: int, ids: pa.Array, row: np.ndarray) -> pa.RecordBatch:
     first, more, off, doc = ranges
     phrase, context = range_rows(block, first, more, off, strings)
-    where = packed(first - block.offsets[doc], more, off, row[doc])
-    return pa.RecordBatch.from_arrays([pa.array(phrase), pa.array(context), ids.take(pa.array(doc)), pa.array(where)], ["phrase", "context", "doc_id", "range"])
+    where = packed(first - block.offsets[doc], more, off)
+    return pa.RecordBatch.from_arrays([pa.array(phrase), pa.array(context), ids.take(pa.array(doc)), pa.array(where), pa.array(row[doc])], ["phrase", "context", "doc_id", "range", "row"])
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -112,9 +113,8 @@ def parsed(docs: DataFrame) -> DataFrame:
 
 
 def cut_ranges(docs: DataFrame, ranges: DataFrame, strings: int) -> DataFrame:
-    """The parse of ranges (doc_id, range), each cut into pieces of so many strings."""
-    row = F.col("range").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("row")
-    listed = stored(ranges.groupBy("doc_id", row).agg(F.collect_list("range").alias("ranges")))
+    """The parse of ranges (doc_id, range, row), each cut into pieces of so many strings."""
+    listed = stored(ranges.groupBy("doc_id", "row").agg(F.collect_list("range").alias("ranges")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,14 +136,14 @@ def cut_ranges(docs: DataFrame, ranges: DataFrame, strings: int) -> DataFrame:
 
 
 def sorted_out(parse: DataFrame) -> DataFrame:
-    """(doc_id, range, repeated): ranges that repeat in full, and dictionary entries whose phrase has other contexts."""
+    """(doc_id, range, row, repeated): ranges that repeat in full, and dictionary entries whose phrase has other contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # phrase, context, doc, range of the last row; its entry if that still waits; whether the phrase has two contexts
+        last = None  # phrase, context, doc, range, row of the last row; its entry if that still waits; whether the phrase has two contexts
         for batch in batches:
             if not batch.num_rows:
                 continue
-            phrase, context, doc, where = [c.to_numpy() for c in batch.columns]
+            phrase, context, doc, where, row = [c.to_numpy() for c in batch.columns]
             before = lambda x, k: np.r_[x[0] if last is None else last[k], x[:-1]]
             new_phrase = before(phrase, 0) != phrase
             new = new_phrase | (before(context, 1) != context)
@@ -153,37 +153,40 @@ def sorted_out(parse: DataFrame) -> DataFrame:
             group = np.cumsum(new) - 1
             head_doc = np.r_[0 if last is None else last[2], doc[at]][group + 1]
             head_where = np.r_[0 if last is None else last[3], where[at]][group + 1]
-            again = ~new & ((head_doc != doc) | (head_where != where))  # not the same row once more
+            head_row = np.r_[0 if last is None else last[4], row[at]][group + 1]
+            again = ~new & ((head_doc != doc) | (head_where != where) | (head_row != row))  # not the same row once more
             # an entry is checked if a neighbour entry has the same phrase
             follows = ~new_phrase[at]
             leads = np.r_[follows[1:], False] if len(at) else follows
-            out_doc, out_where, repeated = [doc[again]], [where[again]], [np.ones(int(again.sum()), bool)]
-            waiting = last is not None and len(at) and follows[0] and not last[4]
+            out_doc, out_where, out_row, repeated = [doc[again]], [where[again]], [row[again]], [np.ones(int(again.sum()), bool)]
+            waiting = last is not None and len(at) and follows[0] and not last[5]
             checked = at[follows | leads]
             out_doc.append(doc[checked])
             out_where.append(where[checked])
+            out_row.append(row[checked])
             repeated.append(np.zeros(len(checked), bool))
             if waiting:
                 out_doc.append(np.array([last[2]]))
                 out_where.append(np.array([last[3]]))
+                out_row.append(np.array([last[4]]))
                 repeated.append(np.zeros(1, bool))
             if len(at):
-                last = (phrase[-1], context[-1], doc[at[-1]], where[at[-1]], bool(follows[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_doc)), pa.array(np.concatenate(out_where)), pa.array(np.concatenate(repeated))], ["doc_id", "range", "repeated"])
+                last = (phrase[-1], context[-1], doc[at[-1]], where[at[-1]], row[at[-1]], bool(follows[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_doc)), pa.array(np.concatenate(out_where)), pa.array(np.concatenate(out_row)), pa.array(np.concatenate(repeated))], ["doc_id", "range", "row", "repeated"])
 
-    dealt = parse.repartition("phrase").sortWithinPartitions("phrase", "context", "doc_id", "range")
-    return dealt.mapInArrow(run, "doc_id long, range long, repeated boolean")
+    dealt = parse.repartition("phrase").sortWithinPartitions("phrase", "context", "doc_id", "range", "row")
+    return dealt.mapInArrow(run, "doc_id long, range long, row long, repeated boolean")
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """(doc_id, range) of all strings of docs (doc_id, row, text) that also start earlier."""
+    """(doc_id, range, row) of all strings of docs (doc_id, row, text) that also start earlier."""
     found = stored(sorted_out(parsed(docs)))
     tidy(docs.sparkSession)
-    out = found.where("repeated").select("doc_id", "range")
+    out = found.where("repeated").select("doc_id", "range", "row")
     for strings in CUTS:
         found = stored(sorted_out(cut_ranges(docs, found.where("not repeated"), strings)))
         tidy(docs.sparkSession)
-        out = out.unionByName(found.where("repeated").select("doc_id", "range"))
+        out = out.unionByName(found.where("repeated").select("doc_id", "range", "row"))
     return out
 
 
@@ -201,8 +204,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), text_or_empty(text_col).alias("text")).select("doc_id", row_key(), "text")
     ranges = repeated_ranges(base)
-    row = F.col("range").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("row")
-    listed = stored(ranges.groupBy("doc_id", row).agg(F.collect_list("range").alias("ranges")))
+    listed = stored(ranges.groupBy("doc_id", "row").agg(F.collect_list("range").alias("ranges")))
     tidy(docs.sparkSession)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
 

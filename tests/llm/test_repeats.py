@@ -58,3 +58,21 @@ def test_repeats_edges(make):
     long = "".join(random.Random(5).choices("abcdefgh", k=300_000))
     got = repeats.strip_repeats(make([(1, long), (2, long[1000:])])).collect()
     assert sorted((r.n_removed, r.n_spans) for r in got) == [(0, 0), (299_000, 1)]
+
+
+def test_many_texts_without_id_keep_their_own_ranges(make):
+    rng = random.Random(6)
+    noise = lambda k: "".join(rng.choices("abcdefgh", k=k))
+    passage = noise(150)
+    texts = [noise(i) + passage + noise(60) for i in range(100, 1100)]  # the passage's place orders the rows
+    seen, gone = set(), [set() for _ in texts]
+    for at in range(max(map(len, texts)) - 99):
+        for text, lost in zip(texts, gone, strict=True):
+            s = text[at : at + 100]
+            if len(s) == 100:
+                if s in seen:
+                    lost.update(range(at, at + 100))
+                seen.add(s)
+    want = {text: "".join(c for i, c in enumerate(text) if i not in lost) for text, lost in zip(texts, gone, strict=True)}
+    got = repeats.strip_repeats(make([(None, text) for text in texts]), with_text=True).collect()
+    assert sorted((r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == sorted((len(t), len(t) - len(k), k.encode()) for t, k in want.items())
