@@ -1,7 +1,7 @@
 """Fuzzy line deduplication on DataFrame functions alone.
 
-Lines are normalised (trimmed, lower case); equal normal forms are one line.  Each distinct line of five words or
-more gets a 64-bit SimHash of its distinct words (a mark that stands between all words of a table's rows would
+Lines are normalised (lower case, runs of anything but letters and digits as one space); equal normal forms are one
+line.  Each distinct line of five words or more, or as long in a script or code without spaces, gets a 64-bit SimHash of its distinct words (a mark that stands between all words of a table's rows would
 otherwise give them all one hash).  Lines within two bits of each other agree on at least two of four blocks
 of the hash, so lines are joined on every pair of blocks (32 bits of the hash, so that unrelated lines seldom meet),
 and what is within two bits and also close by edit distance is linked.  Of each connected group the first occurrence in
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from smslens.llm.common import attach, group_links, once, stored, text_or_empty, tidy
 
 MIN_WORDS = 5
+#: A line of fewer words counts too if it is one word of so many characters, or has so many of a script without spaces.
+MIN_CHARS, MIN_SPACELESS = 25, 10
+SPACELESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 SIMILARITY = 0.8
 #: Bits that may differ; one more than this may share no block, so blocks number DISTANCE + BLOCKS_JOINED.
 DISTANCE, BLOCKS_JOINED = 2, 2
@@ -31,7 +34,7 @@ BIT_LANES, BYTE_LANES = 0x0101010101010101, 0x000000FF000000FF
 
 
 def normal_line(line: Column) -> Column:
-    return F.lower(F.trim(line))
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -49,10 +52,16 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def n_words() -> Column:
-    """Words of a normal line, by its spaces."""
+    """Words of a normal line, by its single spaces."""
     return F.char_length("norm") - F.char_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1
 
 
+def long_enough() -> Column:
+    """Whether a normal line (norm, words) is compared at all."""
+    in_one = (F.col("words") == 1) & (F.char_length("norm") >= MIN_CHARS)
+    return (F.col("words") >= MIN_WORDS) | in_one | (F.regexp_count("norm", F.lit(SPACELESS)) >= MIN_SPACELESS)
+
+
 def sim_hashes(lines: DataFrame) -> DataFrame:
     """(node, node2, first, n, simhash) of distinct lines (norm, first, n).
 
@@ -108,7 +117,7 @@ def edit_similar(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def line_groups(rows: DataFrame) -> DataFrame:
     """(node, node2, keep_ord) of lines that occur again, exactly or nearly; keep_ord is the occurrence that stays."""
     lines = occurrences(rows).groupBy("norm").agg(F.min("ord").alias("first"), F.count("*").alias("n"))
-    lines = lines.withColumn("words", n_words()).where(F.col("words") >= MIN_WORDS)
+    lines = lines.withColumn("words", n_words()).where(long_enough())
     lines = stored(sim_hashes(lines))
     tidy(rows.sparkSession)
     posted = lines.select("node", F.col("simhash").alias("x"), F.explode(block_keys()).alias("token"))
@@ -150,7 +159,8 @@ def removed_lines(rows: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, text (what is left), emptied.
 
-    Lines end at \\\\n.  Lines of fewer than five words, blank ones among them, always stay.  Of a group of equal or
+    Lines end at \\\\n.  Lines of fewer than five words, blank ones among them, always stay, but for one word of 25
+    characters or more and lines with ten characters or more of a script without spaces.  Of a group of equal or
     linked lines the occurrence with the smallest id, then place, stays; absent ids come last.  A null text counts
     as empty: one line, none removed.  Rows that agree in id and text are treated as one and get the same text; where
     rows share an id but not the text, equal lines at equal places of them all stay.  emptied: lines went and only

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import regex
 import xxhash
 
 from smslens.llm import line_dedup
@@ -9,7 +10,7 @@ from smslens.llm.queries import LLM_QUERIES
 
 
 def normal(line):
-    return line.strip(" ").lower()
+    return regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ")
 
 
 def sim_hash(norm):
@@ -111,3 +112,12 @@ def test_line_edges(make):
     hot = [(i, "hot line of five words\nonly number %d of the lines" % i) for i in range(200)]
     got = line_dedup.dedup_lines(make(hot)).collect()
     assert sum(r.n_removed for r in got) >= 199 and sum("hot line" in r.text for r in got) == 1
+
+
+def test_marks_tabs_and_scripts_without_spaces(make):
+    same = ["Five words\tstand in here", "five words stand, in here.", "five  words stand in here\r", "FIVE-words (stand) in here"]
+    table = "a1\tb2\tc3\td4\te5"
+    han, code = "我们今天去公园，天气很好。", "aGVsbG8gd29ybGQgYWdhaW4gYW5k"
+    rows = [(i, line) for i, line in enumerate([*same, table, table, han, han, code, code, "短い", "短い", "just four words here", "just four words here"])]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(make(rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == [0, 1, 1, 1, 0, 1, 0, 1, 0, 1, 0, 0, 0, 0]
