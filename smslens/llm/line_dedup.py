@@ -2,9 +2,9 @@
 
 Lines are normalised (lower case, runs of anything but letters and digits as one space); equal normal forms are one
 line.  Each distinct line of five words or more, or as long in a script or code without spaces, gets a 64-bit SimHash of its distinct words (a mark that stands between all words of a table's rows would
-otherwise give them all one hash).  Lines within two bits of each other agree on at least two of four blocks
-of the hash, so lines are joined on every pair of blocks (32 bits of the hash, so that unrelated lines seldom meet),
-and what is within two bits and also close by edit distance is linked.  Of each connected group the first occurrence in
+otherwise give them all one hash).  Lines within three bits of each other agree on at least two of five blocks
+of the hash, so lines are joined on every pair of blocks (25 or 26 bits of the hash),
+and what is within three bits and also close by edit distance is linked.  Of each connected group the first occurrence in
 the table stays.
 
 SimHash on the JVM: a word's hash is split into bits, and bits that are eight apart share a 64-bit sum as lanes of
@@ -27,8 +27,8 @@ MIN_CHARS, MIN_SPACELESS = 25, 10
 SPACELESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 SIMILARITY = 0.8
 #: Bits that may differ; one more than this may share no block, so blocks number DISTANCE + BLOCKS_JOINED.
-DISTANCE, BLOCKS_JOINED = 2, 2
-BLOCK_BITS = (16, 16, 16, 16)
+DISTANCE, BLOCKS_JOINED = 3, 2
+BLOCK_BITS = (13, 13, 13, 13, 12)
 PART_WORDS = 127
 BIT_LANES, BYTE_LANES = 0x0101010101010101, 0x000000FF000000FF
 
