@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from smslens.llm.common import attach, stored, text_or_empty
 
-#: Content bytes of one bucket: what a table holds.
-BUCKET_BYTES = 16 << 20
+#: Bytes of one bucket: what a table holds, contents and so many bytes for each record besides.
+BUCKET_BYTES, RECORD_BYTES = 16 << 20, 256
 #: Bits of the hash used by each level.
 DIGIT_BITS = 6
 SPACES = " \t\n\u000b\f\r"
@@ -94,7 +94,7 @@ def settle(records: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
     kept = out.where("content is not null").select("row", "doc_id", "h", "length", "weight", "content")
     if plan.where("parts > 1").isEmpty():
         return out
-    sizes = stored(kept.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.octet_length("content")).alias("bytes")))
+    sizes = stored(kept.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.octet_length("content") + RECORD_BYTES).alias("bytes")))
     before = out.join(plan.where("parts > 1"), "h", "left_semi").count()
     shrunk = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] < before
     upper = settle(kept, sizes, limit if shrunk else 1 << 62)
@@ -118,12 +118,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = base.withColumn("h", F.xxhash64("normal")).withColumn("length", F.char_length("original").cast("long"))
     key = [F.hex(F.xxhash64(F.lit(i), "doc_id", F.col("doc_id").isNull(), "original")) for i in (1, 2)]
     base = base.withColumn("row", F.concat(*key))
-    narrow = base.select("row", "doc_id", "h", "length", F.octet_length("normal").cast("long").alias("bytes"), F.sha2(F.col("normal").cast("binary"), 256).alias("text_sha256"))
+    narrow = base.select("row", "doc_id", "h", "length", (F.octet_length("normal").cast("long") + RECORD_BYTES).alias("bytes"), F.sha2(F.col("normal").cast("binary"), 256).alias("text_sha256"))
     # identical rows are one record with a weight
     narrow = stored(narrow.groupBy("row", "doc_id", "h", "length", "bytes", "text_sha256").agg(F.count("*").alias("copies")))
     sizes = stored(narrow.groupBy("h").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1").select("h", "bytes"))
-    records = base.select("row", "doc_id", "h", "length", F.col("normal").cast("binary").alias("content")).withColumn("weight", F.lit(1).cast("long"))
-    # of identical rows the table keeps one number, each adding its weight
+    # identical rows cannot be dealt apart: they are added up before they are dealt
+    several = attach(base, sizes.select("h"), ["h"], "left_semi")
+    records = several.groupBy("row", "doc_id", "h", "length", F.col("normal").cast("binary").alias("content")).agg(F.count("*").alias("weight"))
     settled = settle(records, sizes, limit)
     best = stored(settled.select("row", "keep_row", "keep_id", F.col("weight").alias("group_size")).dropDuplicates(["row"]))
     joined = narrow.join(best, "row", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

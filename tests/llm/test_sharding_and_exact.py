@@ -48,6 +48,20 @@ def test_exact_groups_on_documents_and_empty(spark, data, make):
     assert [r.doc_id for r in stays.collect()] == [1, 3]
 
 
+def test_hot_empty_texts_are_dealt_out(make, monkeypatch):
+    whole = exact_dedup.table_pass
+
+    def small(pdf):
+        assert len(pdf) <= 200
+        return whole(pdf)
+
+    monkeypatch.setattr(exact_dedup, "table_pass", small)
+    rows = [(i, ["", " \t", None][i % 3]) for i in range(1500)] + [(None, "")] * 1500 + [(2000, "other")]
+    got = exact_dedup.exact_groups(make(rows), limit=16 << 10).collect()
+    assert len(got) == len(rows) and [r.doc_id for r in got if r.kept and r.doc_id != 2000] == [1]
+    assert {(r.keep_id, r.group_size) for r in got if r.doc_id != 2000} == {(1, 3000)}
+
+
 def test_equal_hashes_are_told_apart_by_content():
     table = exact_dedup.OpenTable(4)
     assert [table.number(7, c) for c in (b"a", b"b", b"a", b"b", b"c")] == [0, 1, 0, 1, 2]
