@@ -14,6 +14,8 @@ from smslens.llm.exact_dedup import exact_groups
 from smslens.llm.jaccard import jaccard_components
 from smslens.llm.language import fit_languages, predict_languages
 from smslens.llm.line_dedup import dedup_lines
+from smslens.llm.mixing import mix_sources
+from smslens.llm.negatives import hard_negatives
 from smslens.llm.packing import pack_documents
 from smslens.llm.quality import quality_scores
 from smslens.llm.repeats import strip_repeats
@@ -82,6 +84,18 @@ def op10_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, fit_languages(docs))
 
 
+def op12_segment_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, some labels moved on by one."""
+    small_batches(spark)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it."""
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash_lines": op1_simhash_lines,
     "op2_randomness_battery": op2_randomness_battery,
@@ -93,7 +107,30 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_prefix_free_parsing": op8_prefix_free_parsing,
     "op9_multi_order_jaccard": op9_multi_order_jaccard,
     "op10_nearest_centroid": op10_nearest_centroid,
+    "op12_segment_summaries": op12_segment_summaries,
+    "op13_budget_mix": op13_budget_mix,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {
+    "op12_segment_summaries": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        ), positive AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+        FROM positive JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+        QUALIFY row_number() OVER w <= 3
+    """,
+}
