@@ -116,10 +116,10 @@ LLM_SQL: dict[str, str] = {
     "op12_segment_summaries": """
         WITH v AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                   list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
             FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), scored AS (
             SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
             FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
