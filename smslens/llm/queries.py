@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smslens.llm.alignment import align_documents
 from smslens.llm.common import small_batches, table
 from smslens.llm.decontamination import contaminated
 from smslens.llm.exact_dedup import exact_groups
@@ -84,6 +85,12 @@ def op10_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, fit_languages(docs))
 
 
+def op11_token_incidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, their overlaps and groups."""
+    small_batches(spark)
+    return align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_segment_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector, some labels moved on by one."""
     small_batches(spark)
@@ -107,6 +114,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_prefix_free_parsing": op8_prefix_free_parsing,
     "op9_multi_order_jaccard": op9_multi_order_jaccard,
     "op10_nearest_centroid": op10_nearest_centroid,
+    "op11_token_incidence": op11_token_incidence,
     "op12_segment_summaries": op12_segment_summaries,
     "op13_budget_mix": op13_budget_mix,
 }
