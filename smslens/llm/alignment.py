@@ -7,8 +7,8 @@ groups; the same product of the two group-token incidence matrices gives the lin
 
 Both tokenizers work the same on a text and on its units, which begin with a space after a character that is
 none: neither has a token across such a place.  So each distinct unit is tokenised and multiplied once, and a
-text's results are sums over its units, in both passes over the texts: the first counts every pair of ids in
-the corpus, the second looks the counts up.
+text's results are sums over its units.  The texts are read once; their links are stored as sorted and packed pairs
+of ids, in which a second step looks up the pairs' counts in the corpus.
 """
 
 from __future__ import annotations
@@ -17,18 +17,22 @@ import hashlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smslens.llm.common import blocks, stored
+from smslens.llm.common import blocks, lists, stored
 
 #: Pairs of ids sent to all tasks (17 bytes each); rarer ones meet the texts by a join.
 PAIRS = 2_000_000
 #: Bytes of units a worker remembers, counting this much for each besides its text.
-KEPT_BYTES, UNIT_COST = 48 << 20, 150
+KEPT_BYTES, UNIT_COST = 96 << 20, 150
+#: Bytes of units that are tokenised as one string.
+RUN_BYTES = 4 << 10
 #: Text bytes whose matrices are multiplied at once.
 ROW_BYTES = 1 << 20
 
@@ -140,27 +144,48 @@ class Tokenizers:
         self.length_a = np.array([len(t) for t in self.bytes_a])
         self.length_b = np.array([len(t) for t in self.bytes_b])
 
-    def align(self, texts: list[str]) -> Alignment:
-        """Tokens, links and groups of texts, each read after a space.  A text whose bytes the tokens don't give has none."""
-        whole = [" " + t for t in texts]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
-        exact = np.zeros(len(texts), bool)
-        for i, t in enumerate(whole):
+    def encoded(self, texts: list[str], runs: list[tuple[int, int]]) -> tuple[list, list, list[bool]]:
+        """Ids of both tokenizers of runs of texts, each run one string, and whether their bytes are the string's."""
+        runs_b = [" ".join(texts[first:last]) for first, last in runs]
+        runs_a = [" " + t for t in runs_b]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(runs_a, add_special_tokens=False)]
+        ids_b = self.b.encode(runs_b, num_threads=1)
+        exact = []
+        for t, x, y in zip(runs_a, ids_a, ids_b, strict=True):
             data = t.encode()
-            exact[i] = texts[i] != "" and b"".join([self.bytes_a[k] for k in ids_a[i]]) == data == b"".join([self.bytes_b[k] for k in ids_b[i]])
-            if not exact[i]:
-                ids_a[i] = ids_b[i] = []
-        text_a, text_b = (np.array([len(i) for i in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter((k for i in ids for k in i), np.int64) for ids in (ids_a, ids_b))
-        width_a, width_b = self.length_a[a] if len(a) else a, self.length_b[b] if len(b) else b
+            exact.append(len(data) > 1 and b"".join(map(self.bytes_a.__getitem__, x)) == data == b"".join(map(self.bytes_b.__getitem__, y)))
+        return ids_a, ids_b, exact
+
+    def align(self, texts: list[str], units: bool = False) -> Alignment:
+        """Tokens, links and groups of texts, each read after a space.  A text whose bytes the tokens don't give has none.
+
+        units: no token crosses from one text to the next, so many are read as one string.
+        """
+        size = np.array([1 + len(t.encode()) for t in texts], np.int64)
+        most = max(1, RUN_BYTES // max(1, int(size.max(initial=1)))) if units else 1
+        runs = [(i, min(i + most, len(texts))) for i in range(0, len(texts), most)]
+        ids_a, ids_b, exact = self.encoded(texts, runs)
+        again = [r for r, ok in zip(runs, exact, strict=True) if not ok and r[1] - r[0] > 1]
+        if again:  # some text of these is not exact: each for itself
+            single = [(i, i + 1) for first, last in again for i in range(first, last)]
+            by = dict(zip(single, zip(*self.encoded(texts, single), strict=True), strict=True))
+            by |= {r: x for r, x in zip(runs, zip(ids_a, ids_b, exact, strict=True), strict=True) if r not in set(again)}
+            runs = sorted(by)
+            ids_a, ids_b, exact = zip(*[by[r] for r in runs], strict=True)
+        kept = [(x, y) for x, y, ok in zip(ids_a, ids_b, exact, strict=True) if ok]
+        whole = np.zeros(len(texts), bool)
+        for (first, last), ok in zip(runs, exact, strict=True):
+            whole[first:last] = ok
+        a, b = (np.array(list(chain.from_iterable(k[side] for k in kept)), np.int64) for side in (0, 1))
+        width_a, width_b = self.length_a[a], self.length_b[b]
+        end_a, end_b, end_text = np.cumsum(width_a), np.cumsum(width_b), np.cumsum(np.where(whole, size, 0))
+        text_a, text_b = (np.bincount(np.searchsorted(end_text, end), minlength=len(texts)) for end in (end_a, end_b))
         by_byte, to_tokens = incidence(width_a), transpose(incidence(width_b))
         parts = [product(by_byte, to_tokens, *r) for r in row_blocks(by_byte, ROW_BYTES)] or [product(by_byte, to_tokens)]
         link_a, link_b, shared = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        end_a, end_b = np.cumsum(width_a), np.cumsum(width_b)
-        cuts = np.intersect1d(end_a, end_b)
+        cuts = end_a[end_b[np.searchsorted(end_b, end_a)] == end_a] if len(a) else end_a
         group_a, group_b = (np.searchsorted(cuts, end - width, "right") for end, width in ((end_a, width_a), (end_b, width_b)))
-        return Alignment(a, b, text_a, text_b, link_a, link_b, shared, group_a, group_b, exact)
+        return Alignment(a, b, text_a, text_b, link_a, link_b, shared, group_a, group_b, whole)
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -194,7 +219,9 @@ class Units:
 
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
-        self.decimal = [str(i).encode() for i in range(max(len(tokenizers.bytes_a), len(tokenizers.bytes_b)))]
+        ids = [str(i) for i in range(max(len(tokenizers.bytes_a), len(tokenizers.bytes_b)))]
+        self.digits = np.array([len(i) for i in ids])
+        self.decimal = [(mark + i).encode() for mark in ",;|" for i in ids]
         self.clear()
 
     def clear(self) -> None:
@@ -210,25 +237,25 @@ class Units:
         if self.size > KEPT_BYTES:
             self.clear()
         split = [t.split(" ") if t else [] for t in texts]
-        found = [[self.parts.get(p, -1) for p in parts] for parts in split]
-        new_parts = {p for parts, f in zip(split, found, strict=True) if -1 in f for p, k in zip(parts, f, strict=True) if k < 0 and p and p[0] > " " and closes(p)}
-        self.add(self.parts, sorted(new_parts))
-        for i, f in enumerate(found):
-            if -1 in f:
-                found[i] = [self.parts.get(p, -1) for p in split[i]]
-        glued = {i: units_of(split[i]) for i, f in enumerate(found) if -1 in f}
-        self.add(self.others, sorted({u for units in glued.values() for u in units if u not in self.parts and u not in self.others}))
+        found = [list(map(self.parts.get, parts, repeat(-1))) for parts in split]
+        open_ = [i for i, f in enumerate(found) if -1 in f]
+        new = set().union(*(split[i] for i in open_)).difference(self.parts)
+        self.add(self.parts, sorted([p for p in new if p and p[0] > " " and closes(p)], key=len), True)
+        for i in open_:
+            found[i] = list(map(self.parts.get, split[i], repeat(-1)))
+        glued = {i: units_of(split[i]) for i in open_ if -1 in found[i]}
+        self.add(self.others, sorted({u for units in glued.values() for u in units if u not in self.parts and u not in self.others}), False)
         for i, units in glued.items():
             found[i] = [self.parts[u] if u in self.parts else self.others[u] for u in units]
         counts = np.array([len(f) for f in found], np.int64)
-        return np.fromiter((k for f in found for k in f), np.int64, int(counts.sum())), counts
+        return np.array(list(chain.from_iterable(found)), np.int64), counts
 
-    def add(self, known: dict[str, int], units: list[str]) -> None:
+    def add(self, known: dict[str, int], units: list[str], alike: bool) -> None:
         if not units:
             return
         start = len(self.groups)
         known.update({u: start + k for k, u in enumerate(units)})
-        al = self.tokenizers.align(units)
+        al = self.tokenizers.align(units, alike)
         n = len(units)
         of_a, of_b = np.repeat(np.arange(n), al.text_a), np.repeat(np.arange(n), al.text_b)
         n_groups = 1 + int(al.group_a.max(initial=-1))
@@ -252,14 +279,13 @@ class Units:
     def written(self, al: Alignment, of_a: np.ndarray, of_b: np.ndarray, n: int) -> list[bytes]:
         """Each unit's groups as `a,a|b;a|b,b`."""
         new_a, new_b = np.diff(al.group_a, prepend=-1) != 0, np.diff(al.group_b, prepend=-1) != 0
-        ids = np.r_[al.a, al.b].tolist()
-        mark = np.r_[np.where(new_a, 1, 0), np.where(new_b, 2, 0)].tolist()
-        side = np.r_[np.zeros(len(al.a)), np.ones(len(al.b))]
-        order = np.lexsort((np.r_[np.arange(len(al.a)), np.arange(len(al.b))], side, np.r_[al.group_a, al.group_b])).tolist()
-        before = (b",", b";", b"|")
-        out = [before[mark[k]] + self.decimal[ids[k]] for k in order]
-        ends = np.cumsum(np.bincount(np.r_[of_a, of_b], minlength=n)).tolist()
-        return [b"".join(out[s:e])[1:] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+        ids = np.r_[al.a, al.b]
+        kind = np.r_[np.where(new_a, 1, 0), np.where(new_b, 2, 0)]
+        order = np.lexsort((np.r_[np.zeros(len(al.a)), np.ones(len(al.b))], np.r_[al.group_a, al.group_b]))
+        ids, kind, of = ids[order], kind[order], np.r_[of_a, of_b][order]
+        joined = b"".join(map(self.decimal.__getitem__, (kind * len(self.digits) + ids).tolist()))
+        ends = np.cumsum(np.bincount(of, self.digits[ids] + 1, n)).astype(np.int64).tolist()
+        return [joined[s + 1 : e] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 KNOWN: dict[tuple[str, str], Units] = {}
@@ -272,50 +298,101 @@ def known_units(path_a: str, path_b: str) -> Units:
     return KNOWN[path_a, path_b]
 
 
+def run_sums(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of rows, `counts` rows each."""
+    sums = np.concatenate([np.zeros((1, rows.shape[1]), rows.dtype), np.cumsum(rows, axis=0)])
+    ends = np.cumsum(counts)
+    return sums[ends] - sums[ends - counts]
+
+
 def text_totals(units: Units, unit: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the units' numbers of each text, and whether the text has tokens at all: all its units are exact."""
-    of = np.repeat(np.arange(len(counts)), counts)
-    sums = np.zeros((len(counts), units.numbers.shape[1]), np.int64)
-    np.add.at(sums, of, units.numbers[unit])
+    sums = run_sums(units.numbers[unit], counts)
     exact = (counts > 0) & (sums[:, 0] == counts)
     return np.where(exact[:, None], sums, 0), exact
 
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text") -> DataFrame:
-    """(a_id, b_id, links, best): how many links of all texts hold a pair of ids, and whether none of its b id has more.
+def packed(keys: np.ndarray) -> bytes:
+    """Ascending keys as compressed differences, byte place by byte place."""
+    return zstandard.compress(np.diff(keys, prepend=0).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
-    Texts that are null or empty, or whose bytes the tokens don't give, have no links.  Repeated rows count each time.
-    """
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
+
+#: What the first pass gives: a document's results and links, or some counted pairs of a task.
+FIELDS = ["doc_id long", "n_a long", "n_b long", "n_groups long", "n_links long", "n_shared long", "groups_sha256 string", "links binary", "pairs array<struct<key:long,links:long>>"]
+NAMES = [f.split(" ")[0] for f in FIELDS]
+PAIR = pa.list_(pa.struct([("key", pa.int64()), ("links", pa.int64())]))
+#: Packed links looked up at once.
+PACKED_BYTES = 1 << 19
+#: Counted pairs in one row.
+PAIR_ROWS = 10_000
+
+
+def measured(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """The first pass over docs (doc_id, text): FIELDS, with links where the row is a document's and pairs where it is not."""
+
+    def counted(units: Units, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        of = np.repeat(np.arange(len(seen)), np.diff(units.first[: len(seen) + 1]))
+        key, at = np.unique(units.keys[: len(of)], return_inverse=True)
+        n = np.zeros(len(key), np.int64)
+        np.add.at(n, at, units.times[: len(of)] * seen[of])
+        key, n = key[n > 0], n[n > 0]
+        for k in range(0, len(key), PAIR_ROWS):
+            part = pa.StructArray.from_arrays([pa.array(key[k : k + PAIR_ROWS]), pa.array(n[k : k + PAIR_ROWS])], ["key", "links"])
+            pairs = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part).cast(PAIR)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(6)), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()), pairs], NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = known_units(path_a, path_b)
         seen = np.zeros(0, np.int64)
-
-        def flush() -> pa.RecordBatch:
-            of = np.repeat(np.arange(len(seen)), np.diff(units.first[: len(seen) + 1]))
-            key, at = np.unique(units.keys[: len(of)], return_inverse=True)
-            n = np.zeros(len(key), np.int64)
-            np.add.at(n, at, units.times[: len(of)] * seen[of])
-            return pa.RecordBatch.from_arrays([pa.array(key[n > 0]), pa.array(n[n > 0])], ["key", "links"])
-
         for batch in batches:
-            for block in blocks(batch.column(0)):
-                if units.size > KEPT_BYTES and len(seen):  # the units are about to be forgotten
-                    yield flush()
+            for block in blocks(batch.column(1)):
+                if units.size > KEPT_BYTES:  # they are about to be forgotten
+                    yield from counted(units, seen)
                     seen = np.zeros(0, np.int64)
-                unit, counts = units.numbered(batch.column(0).slice(block.first, block.size).to_pylist())
-                _, exact = text_totals(units, unit, counts)
+                unit, counts = units.numbered(batch.column(1).slice(block.first, block.size).to_pylist())
+                totals, exact = text_totals(units, unit, counts)
+                unit, counts = unit[np.repeat(exact, counts)], np.where(exact, counts, 0)
                 seen = np.r_[seen, np.zeros(len(units.groups) - len(seen), np.int64)]
-                np.add.at(seen, unit[np.repeat(exact, counts)], 1)
-        if len(seen):
-            yield flush()
+                seen += np.bincount(unit, minlength=len(seen))
+                width = units.first[unit + 1] - units.first[unit]
+                at = ranges(units.first[unit], width)
+                key = np.repeat(units.keys[at], units.times[at])
+                of = np.repeat(np.arange(len(counts)), totals[:, 4])
+                key = key[np.lexsort((key, of))]
+                cut = np.r_[0, np.cumsum(totals[:, 4])].tolist()
+                links = [packed(key[s:e]) for s, e in zip(cut, cut[1:], strict=False)]
+                ends = np.cumsum(counts).tolist()
+                mine = [unit[e - n : e].tolist() for e, n in zip(ends, counts.tolist(), strict=True)]
+                digest = [hashlib.sha256(b";".join(map(units.groups.__getitem__, m))).hexdigest() if m else "" for m in mine]
+                numbers = [pa.array(np.ascontiguousarray(totals[:, k])) for k in range(1, 6)]
+                n = len(counts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, n), *numbers, pa.array(digest, pa.string()), pa.array(links, pa.binary()), pa.nulls(n, PAIR)], NAMES)
+        yield from counted(units, seen)
+
+    return stored(docs.mapInArrow(run, ", ".join(FIELDS)))
 
-    pairs = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, links long")
-    counted = stored(pairs.groupBy("key").agg(F.sum("links").alias("links")).select(F.expr("shiftright(key, 32)").alias("a_id"), F.expr("key & 4294967295").alias("b_id"), "links"))
+
+def counted_pairs(found: DataFrame) -> DataFrame:
+    pairs = found.where("pairs is not null").select(F.inline("pairs")).groupBy("key").agg(F.sum("links").alias("links"))
+    counted = stored(pairs.select(F.expr("shiftright(key, 32)").alias("a_id"), F.expr("key & 4294967295").alias("b_id"), "links"))
     most = counted.groupBy("b_id").agg(F.max("links").alias("most"))  # one row for each id of a vocabulary
     return stored(counted.join(F.broadcast(most), "b_id").select("a_id", "b_id", "links", (F.col("links") == F.col("most")).alias("best")))
 
 
+def pair_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text") -> DataFrame:
+    """(a_id, b_id, links, best): how many links of all texts hold a pair of ids, and whether none of its b id has more.
+
+    Texts that are null or empty, or whose bytes the tokens don't give, have no links.  Repeated rows count each time.
+    An empty table has no pairs.
+    """
+    return counted_pairs(measured(docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text_col).alias("text")), path_a, path_b))
+
+
 def frequent_pairs(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
     """Keys, counts and marks of the pairs of the highest counts, at most `most`, and whether these are all."""
     level = F.floor(F.log2("links"))
@@ -329,44 +406,6 @@ def frequent_pairs(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
     return found["key"].to_numpy("int64"), found["links"].to_numpy("int64"), found["best"].to_numpy(bool), min(levels, default=64) >= least
 
 
-class Costs:
-    """Per unit: the summed counts of its links and how many are best, as far as the sent pairs tell; the other pairs by unit."""
-
-    def __init__(self, pairs: tuple[np.ndarray, np.ndarray, np.ndarray]):
-        self.pairs = pairs
-        self.forget()
-
-    def forget(self) -> None:
-        self.sums, self.rare = np.zeros((0, 2), np.int64), {}
-
-    def update(self, units: Units) -> None:
-        start, stop = len(self.sums), len(units.groups)
-        if start > stop:
-            self.forget()
-            start = 0
-        if start == stop:
-            return
-        key, links, best = self.pairs
-        lo, hi = units.first[start], units.first[stop]
-        mine, times = units.keys[lo:hi], units.times[lo:hi]
-        of = np.repeat(np.arange(stop - start), np.diff(units.first[start : stop + 1]))
-        at = np.minimum(np.searchsorted(key, mine), max(len(key) - 1, 0))
-        sent = key[at] == mine if len(key) else np.zeros(len(mine), bool)
-        sums = np.zeros((stop - start, 2), np.int64)
-        np.add.at(sums[:, 0], of[sent], times[sent] * links[at[sent]])
-        np.add.at(sums[:, 1], of[sent], times[sent] * best[at[sent]])
-        self.sums = np.concatenate([self.sums, sums])
-        for u in np.unique(of[~sent]).tolist():
-            those = ~sent & (of == u) if stop - start < 64 else slice_of(of, sent, u)
-            self.rare[start + u] = (mine[those], times[those])
-
-
-def slice_of(of: np.ndarray, sent: np.ndarray, u: int) -> np.ndarray:
-    """Places of unit u (of is ascending) whose pair was not sent."""
-    lo, hi = np.searchsorted(of, [u, u + 1])
-    return lo + np.flatnonzero(~sent[lo:hi])
-
-
 def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", pairs: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, n_shared.
 
@@ -376,45 +415,34 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
     B id, ties included.  groups_sha256 hashes the ids by group.  Null and repeated ids are rows of their own; a
     repeated row counts each time.  An empty table gives no rows.  Other columns are not read.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counted = pair_counts(base, path_a, path_b)
+    found = measured(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), path_a, path_b)
+    counted = counted_pairs(found)
     *table, complete = frequent_pairs(counted, PAIRS if pairs is None else pairs)
-    sent = base.sparkSession.sparkContext.broadcast(tuple(table))
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared", "rare_key", "rare_n"]
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(table))
+    whole = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "groups_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, costs = known_units(path_a, path_b), Costs(sent.value)
-        held = units.groups
-        for batch in batches:
-            for block in blocks(batch.column(1)):
-                unit, counts = units.numbered(batch.column(1).slice(block.first, block.size).to_pylist())
-                if units.groups is not held:
-                    held = units.groups
-                    costs.forget()
-                costs.update(units)
-                totals, exact = text_totals(units, unit, counts)
-                sums = np.zeros((len(counts), 2), np.int64)
-                np.add.at(sums, np.repeat(np.arange(len(counts)), counts), costs.sums[unit])
-                sums[~exact] = 0
-                digest, key, times = [], [], []
-                ends = np.cumsum(counts).tolist()
-                for e, n, ok in zip(ends, counts.tolist(), exact.tolist(), strict=True):
-                    mine = unit[e - n : e].tolist() if ok else []
-                    digest.append(hashlib.sha256(b";".join([units.groups[k] for k in mine])).hexdigest() if ok else "")
-                    rare = [costs.rare[k] for k in mine if k in costs.rare] if costs.rare else []
-                    key.append(np.concatenate([r[0] for r in rare]).tolist() if rare else [])
-                    times.append(np.concatenate([r[1] for r in rare]).tolist() if rare else [])
-                columns = [*totals[:, 1:5].T, sums[:, 1], sums[:, 0]]
-                arrays = [batch.column(0).slice(block.first, block.size), *(pa.array(np.ascontiguousarray(c)) for c in columns), pa.array(digest, pa.string())]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.ascontiguousarray(totals[:, 5])), *(pa.array(x, pa.list_(pa.int64())) for x in (key, times))], names)
-
-    schema = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'array<long>' if c.startswith('rare') else 'long'}" for c in names)
-    found = base.mapInArrow(run, schema)
+        known, links, best = sent.value
+        for part in (b.slice(x.first, x.size) for b in batches for x in blocks(b.column(len(whole)), PACKED_BYTES)):
+            keys = [unpacked(d) for d in part.column(len(whole)).to_pylist()]
+            key, n = np.concatenate(keys) if keys else np.zeros(0, np.int64), np.array([len(k) for k in keys], np.int64)
+            at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+            there = known[at] == key if len(known) else np.zeros(len(key), bool)
+            costs = np.zeros((len(key), 2), np.int64)
+            costs[there] = np.stack([best[at[there]], links[at[there]]], 1)
+            sums = run_sums(costs, n)
+            rare = lists(key[~there], run_sums((~there)[:, None].astype(np.int64), n)[:, 0], pa.int64())
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(whole)], pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1])), rare], [*whole, "n_best", "count_sum", "rare"])
+
+    rows = found.where("links is not null").select(*whole, "links")
+    priced = rows.mapInArrow(run, ", ".join([*FIELDS[: len(whole)], "n_best long, count_sum long, rare array<long>"]))
+    out = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared"]
     if complete:
-        return found.drop("rare_key", "rare_n")
-    found = stored(found.withColumn("row", F.monotonically_increasing_id()))
-    rare = found.select("row", F.inline(F.arrays_zip("rare_key", "rare_n"))).groupBy("row", "rare_key").agg(F.sum("rare_n").alias("n"))
-    rare = rare.join(counted.withColumn("rare_key", F.expr("shiftleft(a_id, 32) | b_id")).select("rare_key", "links", "best"), "rare_key")
+        return priced.select(*out)
+    priced = stored(priced.withColumn("row", F.monotonically_increasing_id()))
+    rare = priced.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("n"))
+    rare = rare.join(counted.select(F.expr("shiftleft(a_id, 32) | b_id").alias("key"), "links", "best"), "key")
     more = rare.groupBy("row").agg(F.sum(F.col("n") * F.col("links")).alias("more_sum"), F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("more_best"))
-    whole = found.join(more, "row", "left").withColumn("n_best", F.col("n_best") + F.coalesce("more_best", F.lit(0))).withColumn("count_sum", F.col("count_sum") + F.coalesce("more_sum", F.lit(0)))
-    return whole.select(*names[:-2])
+    added = lambda c, more: (F.col(c) + F.coalesce(more, F.lit(0))).alias(c)
+    priced = priced.join(more, "row", "left")
+    return priced.withColumns({c: added(c, m) for c, m in (("n_best", "more_best"), ("count_sum", "more_sum"))}).select(*out)
