@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from checks.queries import ARBITER_SQL, JUDGE_SQL
+from checks.queries import ARBITER_SQL, JUDGE_SQL, PART_TEXT
 from checks.views import messages_sql
 from smslens.functions.vocabulary import (
     FREQUENCY_RANGES, LENGTH_RANGES, MESSAGE_TYPES, OTP_TRIGGER, PLACEHOLDER_TABLE, RULE_CATALOG, TAXONOMY_LABELS, WEEKDAYS,
@@ -168,11 +168,14 @@ PRED = """pred AS (SELECT CASE WHEN toxic = 1 THEN 'toxic::' ELSE 'clean::' END
   CASE WHEN toxic = 1 THEN 'toxic::' ELSE 'clean::' END || CASE WHEN n_chars % 3 > 0 THEN 'good' ELSE 'bad' END AS predicted_label,
   (n_chars % 100)::DOUBLE / 100.0::DOUBLE AS conf FROM documents JOIN labels USING (doc_id))"""
 
-PARTS = """pt AS (SELECT template_text, min(p_brand) AS sender, substr(md5(template_text), 1, 16) AS template_id, string_split(template_text, ' ') AS ws
-  FROM (SELECT p_name || ' de ' || p_type || ' talla ' || p_size AS template_text, p_brand FROM part) GROUP BY template_text),
-pairs AS (SELECT a.template_id, b.template_id AS other, len(a.ws) AS n,
-  len(list_filter(range(1, len(a.ws) + 1), lambda i: a.ws[i] <> b.ws[i])) AS d
-  FROM pt a JOIN pt b ON a.sender = b.sender AND len(a.ws) = len(b.ws) AND a.template_id <> b.template_id)"""
+# Every distinct word (under 90) becomes one byte, so that DuckDB's edit distance counts words.
+PARTS = f"""pt AS (SELECT template_text, min(p_brand) AS sender, substr(md5(template_text), 1, 16) AS template_id, string_split(template_text, ' ') AS ws
+  FROM (SELECT {PART_TEXT} AS template_text, p_brand FROM part) GROUP BY template_text),
+letters AS (SELECT w, chr((32 + row_number() OVER (ORDER BY w))::INT) AS c FROM (SELECT DISTINCT unnest(ws) AS w FROM pt)),
+spelled AS (SELECT template_id, any_value(sender) AS sender, any_value(ws) AS ws, string_agg(c, '' ORDER BY i) AS code
+  FROM (SELECT template_id, sender, ws, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM pt) JOIN letters USING (w) GROUP BY 1),
+pairs AS (SELECT a.template_id, b.template_id AS other, levenshtein(a.code, b.code) AS d
+  FROM spelled a JOIN spelled b ON a.sender = b.sender AND a.template_id <> b.template_id AND list_has_any(a.ws, b.ws))"""
 
 SQL = {
     "delivered_messages": w(DELIVERED, """SELECT MTMessageId AS mt_message_id, Message AS message, PhoneNumber AS phone_number, StatusId::INT AS status_id,
@@ -324,7 +327,7 @@ agg AS (SELECT phone_number, count(*) AS n, count(*) FILTER (kind = 'otp_2fa') A
   sum(frequency)::BIGINT AS messages, coalesce(sum(frequency) FILTER (known), 0)::DOUBLE / sum(frequency) AS known_share FROM r"""),
     "known_messages": w(CLS, "SELECT MTMessageId, template_id, template_id IN (SELECT template_id FROM cls WHERE level_used = 'rule') AS known FROM tpl"),
     "near_templates": w(PARTS, """SELECT template_id, other AS similar_id, d::INT AS words_changed FROM (
-  SELECT *, row_number() OVER (PARTITION BY template_id ORDER BY d, other) AS rn FROM pairs WHERE d BETWEEN 1 AND 2 AND n > d) WHERE rn = 1"""),
+  SELECT *, row_number() OVER (PARTITION BY template_id ORDER BY d, other) AS rn FROM pairs WHERE d BETWEEN 1 AND 2) WHERE rn = 1"""),
     "confusion": w(PRED, "SELECT label, predicted_label, count(*) AS rows FROM pred GROUP BY 1, 2"),
     "submodel_categories": w(PRED + ",\ns AS (SELECT split_part(label, '::', 1) AS category, count(*) AS rows, count(*) FILTER (label <> predicted_label AND split_part(label, '::', 1) = split_part(predicted_label, '::', 1)) AS confused_inside FROM pred GROUP BY 1)",
       "SELECT *, confused_inside::DOUBLE / rows AS confusion_rate, confused_inside::DOUBLE / rows >= 0.2::DOUBLE AS needs_submodel FROM s"),
@@ -340,7 +343,7 @@ c AS (SELECT g.label, g.s, count(st.step) AS predicted, count(st.step) FILTER (s
     "streamed_first_sightings": w(TPL, "SELECT DISTINCT template_id, template_text FROM tpl"),
 }
 SQL["word_clusters"] = f"""WITH RECURSIVE {PARTS},
-near AS (SELECT template_id AS a, other AS b FROM pairs WHERE d = 1 AND n > 1),
+near AS (SELECT template_id AS a, other AS b FROM pairs WHERE d = 1),
 reach AS (SELECT DISTINCT a AS node, a AS seen FROM near UNION SELECT node, b FROM reach JOIN near ON seen = a)
 SELECT node AS template_id, min(seen) AS cluster_id FROM reach GROUP BY 1"""
 SQL["phone_profile_merged"] = SQL["phone_profile"]

@@ -553,10 +553,14 @@ def q_known_messages(spark, d):
     return profiles.route_messages(rows, stored(spark, classified(spark, d).where("level_used = 'rule'").select("template_id")))
 
 
+#: Product texts with words changed, added and missing, down to one word (both engines).
+PART_TEXT = """CASE p_partkey % 9 WHEN 0 THEN p_name WHEN 1 THEN concat(p_name, ' de ', p_type) WHEN 2 THEN p_type WHEN 3 THEN concat(p_name, ' de ', p_type, ' talla ', p_size, ' hoy')
+  WHEN 4 THEN concat('oferta ', p_name, ' talla ', p_size) ELSE concat(p_name, ' de ', p_type, ' talla ', p_size) END"""
+
+
 def part_templates(spark, d):
     """Short product texts as templates; the sender is the first brand."""
-    text = F.concat_ws(" ", "p_name", F.lit("de"), "p_type", F.lit("talla"), F.col("p_size").cast("string"))
-    rows = table(spark, d, "part").select(text.alias("template_text"), F.col("p_brand").alias("sender"))
+    rows = table(spark, d, "part").select(F.expr(PART_TEXT).alias("template_text"), F.col("p_brand").alias("sender"))
     return rows.groupBy("template_text").agg(F.min("sender").alias("sender")).withColumn("template_id", template_id("template_text"))
 
 
