@@ -9,6 +9,7 @@ from checks.views import messages_sql
 from smslens.functions.vocabulary import (
     FREQUENCY_RANGES, LENGTH_RANGES, MESSAGE_TYPES, OTP_TRIGGER, PLACEHOLDER_TABLE, RULE_CATALOG, TAXONOMY_LABELS, WEEKDAYS,
 )
+from smslens.operators.similarity import minhash_factors
 
 SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
@@ -177,6 +178,19 @@ spelled AS (SELECT template_id, any_value(sender) AS sender, any_value(ws) AS ws
 pairs AS (SELECT a.template_id, b.template_id AS other, levenshtein(a.code, b.code) AS d
   FROM spelled a JOIN spelled b ON a.sender = b.sender AND a.template_id <> b.template_id AND list_has_any(a.ws, b.ws))"""
 
+GRAMS = f"""wd AS (SELECT doc_id AS id, string_split({norm('text')}, ' ') AS ws FROM documents WHERE doc_id IS NOT NULL),
+g AS (SELECT DISTINCT id, ('0x' || substr(md5(array_to_string(ws[i:i + 2], ' ')), 1, 15))::BIGINT AS g FROM (SELECT id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM wd)),
+sizes AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+sig AS (SELECT id, {', '.join(f"min(({a} * (g % 4294967296) + {b}) % 4294967291) AS m{k}" for k, (a, b) in enumerate(minhash_factors(32)))} FROM g GROUP BY 1),
+bk AS ({' UNION ALL '.join(f"SELECT id, concat_ws(',', {b}, {', '.join(f'm{k}' for k in range(4 * b, 4 * b + 4))}) AS bucket FROM sig" for b in range(8))})"""
+
+
+def alike(pairs: str) -> str:
+    """CTE sim: src, dst, similarity of the pairs, by counting shared n-grams."""
+    return f"""sh AS (SELECT src, dst, count(*) AS c FROM {pairs} JOIN g x ON x.id = src JOIN g y ON y.id = dst AND x.g = y.g GROUP BY 1, 2),
+sim AS (SELECT src, dst, c::DOUBLE / (a.n + b.n - c) AS similarity FROM sh JOIN sizes a ON a.id = src JOIN sizes b ON b.id = dst)"""
+
+
 SQL = {
     "delivered_messages": w(DELIVERED, """SELECT MTMessageId AS mt_message_id, Message AS message, PhoneNumber AS phone_number, StatusId::INT AS status_id,
   ClientId AS client_id, nullif(trim(ClientName), '') AS client_name, PriorityId AS priority_id, nullif(trim(PriorityDescription), '') AS priority_description,
@@ -328,6 +342,13 @@ agg AS (SELECT phone_number, count(*) AS n, count(*) FILTER (kind = 'otp_2fa') A
     "known_messages": w(CLS, "SELECT MTMessageId, template_id, template_id IN (SELECT template_id FROM cls WHERE level_used = 'rule') AS known FROM tpl"),
     "near_templates": w(PARTS, """SELECT template_id, other AS similar_id, d::INT AS words_changed FROM (
   SELECT *, row_number() OVER (PARTITION BY template_id ORDER BY d, other) AS rn FROM pairs WHERE d BETWEEN 1 AND 2) WHERE rn = 1"""),
+    "minhash_links": w(GRAMS + f""",
+lk AS (SELECT id AS src, least AS dst, count(*) AS bands FROM bk JOIN (SELECT bucket, min(id) AS least FROM bk GROUP BY 1) USING (bucket) WHERE id <> least GROUP BY 1, 2),
+{alike('lk')}""", "SELECT src, dst, bands, similarity FROM lk JOIN sim USING (src, dst) WHERE similarity >= 0.8"),
+    "embedding_links": """WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+f AS (SELECT v, min(id) AS id FROM e GROUP BY 1)
+SELECT a.id AS src, b.id AS dst, round(list_cosine_similarity(a.v, b.v), 5) AS cosine FROM f a JOIN f b ON a.id > b.id WHERE list_cosine_similarity(a.v, b.v) >= 0.4
+UNION ALL SELECT e.id, f.id, 1.0 FROM e JOIN f USING (v) WHERE e.id <> f.id""",
     "confusion": w(PRED, "SELECT label, predicted_label, count(*) AS rows FROM pred GROUP BY 1, 2"),
     "submodel_categories": w(PRED + ",\ns AS (SELECT split_part(label, '::', 1) AS category, count(*) AS rows, count(*) FILTER (label <> predicted_label AND split_part(label, '::', 1) = split_part(predicted_label, '::', 1)) AS confused_inside FROM pred GROUP BY 1)",
       "SELECT *, confused_inside::DOUBLE / rows AS confusion_rate, confused_inside::DOUBLE / rows >= 0.2::DOUBLE AS needs_submodel FROM s"),
@@ -346,4 +367,9 @@ SQL["word_clusters"] = f"""WITH RECURSIVE {PARTS},
 near AS (SELECT template_id AS a, other AS b FROM pairs WHERE d = 1),
 reach AS (SELECT DISTINCT a AS node, a AS seen FROM near UNION SELECT node, b FROM reach JOIN near ON seen = a)
 SELECT node AS template_id, min(seen) AS cluster_id FROM reach GROUP BY 1"""
+SQL["minhash_clusters"] = f"""WITH RECURSIVE {GRAMS},
+pr AS (SELECT DISTINCT a.id AS src, b.id AS dst FROM bk a JOIN bk b ON a.bucket = b.bucket AND a.id > b.id), {alike('pr')},
+near AS (SELECT src AS a, dst AS b FROM sim WHERE similarity >= 0.8 UNION ALL SELECT dst, src FROM sim WHERE similarity >= 0.8),
+reach AS (SELECT DISTINCT a AS node, a AS seen FROM near UNION SELECT node, b FROM reach JOIN near ON seen = a)
+SELECT node AS id, min(seen) AS component FROM reach GROUP BY 1"""
 SQL["phone_profile_merged"] = SQL["phone_profile"]

@@ -1,7 +1,8 @@
 import hashlib
 import random
 
-from pyspark.sql import functions as F
+import numpy as np
+import pytest
 
 from smslens.operators import similarity
 from tests import plain
@@ -70,38 +71,91 @@ def test_components_with_hub_and_chain(spark):
     assert got == plain.components(links)
 
 
-def test_minhash_finds_copies_without_pairs(spark):
+def gram_sets(rows):
+    out = {}
+    for i, t in rows:
+        w = " ".join((t or "").lower().split()).split(" ")
+        out[i] = frozenset(int(hashlib.md5(" ".join(w[k : k + 3]).encode()).hexdigest()[:15], 16) for k in range(max(1, len(w) - 2)))
+    return out
+
+
+def minima(grams):
+    return [min((a * (g % 2**32) + b) % 4294967291 for g in grams) for a, b in similarity.minhash_factors(32)]
+
+
+def jaccard(x, y):
+    return len(x & y) / len(x | y)
+
+
+def minhash_case():
     rnd = random.Random(1)
     base = [" ".join(rnd.choice("abcdefghijklmnop") * 3 for _ in range(40)) for _ in range(20)]
     rows = [(i, t) for i, t in enumerate(base)]
     rows += [(100 + i, base[3]) for i in range(400)]  # most rows are copies of one text
-    near = base[5].split(" ")
-    near[39] = "changed"
-    rows += [(900, " ".join(near)), (901, "short"), (902, "SHORT ")]
-    df = spark.createDataFrame(rows, "id bigint, t string")
-    links = similarity.minhash_links(df, "id", "t")
-    assert links.count() <= 8 * len(rows)
-    got = {r.id: r.component for r in similarity.cluster_templates(links).collect()}
-    assert all(got[100 + i] == 3 for i in range(400)) and got[900] == 5 and got[902] == 901
-    assert 7 not in got
-    # links are exactly those of equal bands
-    sig = similarity.minhash_signatures(df, "id", "t").collect()
-    seen, want = {}, set()
-    for r in sorted(sig, key=lambda r: r.id):
-        for b in range(8):
-            key = (b, *[r[f"m{k}"] for k in range(b * 4, b * 4 + 4)])
-            if key in seen:
-                want.add((r.id, seen[key]))
-            seen.setdefault(key, r.id)
-    assert {(r.src, r.dst) for r in links.collect()} == want
-
-
-def test_embedding_links(spark):
-    rnd = random.Random(2)
-    base = [[rnd.gauss(0, 1) for _ in range(16)] for _ in range(30)]
-    rows = [(i, v) for i, v in enumerate(base)] + [(100 + i, [x * 2 for x in base[4]]) for i in range(50)]
-    df = spark.createDataFrame(rows, "id bigint, v array<float>")
-    links = similarity.embedding_links(df, "id", "v", bucket_length=0.3)
-    copies = {r.src for r in links.where((F.col("dst") == 4) & (F.col("cosine") > 0.9999)).collect()}
-    assert copies >= set(range(100, 150))
-    assert links.where("src <= dst").count() == 0
+    for i, at in enumerate([39, 0, 20, 5]):  # a chain of small changes
+        words = rows[5][1].split(" ") if not i else rows[-1][1].split(" ")
+        words[at] = "changed"
+        rows.append((900 + i, " ".join(words)))
+    return rows + [(950, "short"), (951, "SHORT "), (952, ""), (953, None)]
+
+
+def test_minhash_links_are_verified(spark):
+    rows = minhash_case()
+    df = spark.createDataFrame([*rows, (None, "short")], "id bigint, t string")
+    sets = gram_sets(rows)
+    sig = {i: minima(s) for i, s in sets.items()}
+    bucket = {i: [(b, *sig[i][b * 4 : b * 4 + 4]) for b in range(8)] for i in sig}
+    least = {}
+    for i in sorted(bucket, reverse=True):
+        least.update({k: i for k in bucket[i]})
+    want = {}
+    for i, keys in bucket.items():
+        for head in {least[k] for k in keys} - {i}:
+            if jaccard(sets[i], sets[head]) >= 0.8:
+                want[i, head] = (sum(least[k] == head for k in keys), jaccard(sets[i], sets[head]))
+    got = {(r.src, r.dst): (r.bands, r.similarity) for r in similarity.minhash_links(df, "id", "t").collect()}
+    assert got == want and (951, 950) in got and (103, 3) in got
+
+
+def test_minhash_clusters_equal_all_verified_pairs(spark):
+    rows = [r for r in minhash_case() if not 120 <= r[0] < 900]
+    sets = gram_sets(rows)
+    sig = {i: minima(s) for i, s in sets.items()}
+    share = lambda i, j: any(sig[i][b * 4 : b * 4 + 4] == sig[j][b * 4 : b * 4 + 4] for b in range(8))
+    for floor in (0.8, 0.6):
+        pairs = [(i, j) for i in sets for j in sets if j < i and share(i, j) and jaccard(sets[i], sets[j]) >= floor]
+        got = similarity.minhash_clusters(spark.createDataFrame(rows, "id bigint, t string"), "id", "t", min_similarity=floor)
+        assert {r.id: r.component for r in got.collect()} == plain.components(pairs)
+    assert similarity.minhash_clusters(spark.createDataFrame([], "id bigint, t string"), "id", "t").count() == 0
+
+
+def vector_case(n, dims, seed):
+    """Planted groups around random directions, copies of one vector, and rows that have to be left out."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(n // 20, dims))
+    rows = [(i, (centre[i % len(centre)] + rng.normal(size=dims) * rng.choice([0.1, 0.4, 2.0])).tolist()) for i in range(n)]
+    rows += [(10 * n + i, [x * 2 for x in rows[4][1]]) for i in range(60)]
+    return rows, [(20 * n, None), (20 * n + 1, [0.0] * dims), (20 * n + 2, [float("nan")] * dims), (None, [1.0] * dims)]
+
+
+@pytest.mark.parametrize(("n", "cell_rows", "cosine"), [(300, 1_000, 0.8), (1_500, 60, 0.8), (300, 50, 0.3)])
+def test_embedding_links_equal_brute_force(spark, monkeypatch, n, cell_rows, cosine):
+    monkeypatch.setattr(similarity, "CELL_ROWS", cell_rows)
+    rows, odd = vector_case(n, 16, n)
+    links = similarity.embedding_links(spark.createDataFrame(rows + odd, "id bigint, v array<double>"), "id", "v", cosine)
+    rows_got = links.collect()
+    got = {(r.src, r.dst): r.cosine for r in rows_got}
+    assert len(got) == len(rows_got)
+    copies = {(i, 4) for i, _ in rows if i >= 10 * n}
+    x = np.array([v for _, v in rows[:n]])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    a, b = np.nonzero(np.tril(x @ x.T, -1) >= cosine)
+    want = {(int(i), int(j)) for i, j in zip(a, b)}
+    assert len(want) > 100 and set(got) == want | copies
+    assert all(abs(got[k] - x[k[0]] @ x[k[1]]) < 1e-9 for k in want)
+
+
+def test_embedding_links_of_few_rows(spark):
+    for rows in ([], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [2.0, 4.0])]):
+        links = similarity.embedding_links(spark.createDataFrame(rows, "id bigint, v array<double>"), "id", "v")
+        assert [(r.src, r.dst) for r in links.collect()] == ([(2, 1)] if len(rows) == 2 else [])
