@@ -178,6 +178,21 @@ spelled AS (SELECT template_id, any_value(sender) AS sender, any_value(ws) AS ws
 pairs AS (SELECT a.template_id, b.template_id AS other, levenshtein(a.code, b.code) AS d
   FROM spelled a JOIN spelled b ON a.sender = b.sender AND a.template_id <> b.template_id AND list_has_any(a.ws, b.ws))"""
 
+CURVE = PRED + """,
+st AS (SELECT *, least(floor(conf * 20), 19)::INT AS step FROM pred),
+g AS (SELECT DISTINCT predicted_label AS label, t.s FROM st, range(20) t(s)),
+act AS (SELECT label, count(*) AS a FROM pred GROUP BY 1),
+c AS (SELECT g.label, g.s, count(st.step) AS predicted, count(st.step) FILTER (st.label = g.label) AS correct FROM g LEFT JOIN st ON st.predicted_label = g.label AND st.step >= g.s GROUP BY 1, 2),
+curve AS (SELECT c.label, c.s::DOUBLE / 20.0::DOUBLE AS threshold, predicted, correct, CASE WHEN predicted > 0 THEN correct::DOUBLE / predicted END AS precision,
+  CASE WHEN a > 0 THEN correct::DOUBLE / a ELSE 0.0 END AS recall FROM c LEFT JOIN act ON act.label = c.label)"""
+CUTS = CURVE + """,
+cuts AS (SELECT label, min(threshold) AS cut, arg_min(precision, threshold) AS precision, arg_min(recall, threshold) AS recall FROM curve x
+  WHERE predicted >= 5 AND NOT EXISTS (SELECT 1 FROM curve y WHERE y.label = x.label AND y.threshold >= x.threshold AND y.predicted >= 5 AND y.precision < 0.45) GROUP BY 1)"""
+SIMILAR = PARTS + """,
+best AS (SELECT *, row_number() OVER (PARTITION BY template_id ORDER BY d, other) AS rn FROM pairs WHERE d BETWEEN 1 AND 2 AND substr(other, 1, 1) < '8'),
+done AS (SELECT pt.template_id, template_text, CASE WHEN other IS NULL THEN 'pending' ELSE 'similar' END AS level_used, 'part::' || substr(other, 1, 2) AS label,
+  CASE WHEN other IS NULL THEN 0.0 ELSE 0.9 END::DOUBLE AS confidence, other AS similar_id, d::DOUBLE AS similar_score
+  FROM pt LEFT JOIN best ON best.template_id = pt.template_id AND rn = 1 WHERE substr(pt.template_id, 1, 1) >= '8')"""
 GRAMS = f"""wd AS (SELECT doc_id AS id, string_split({norm('text')}, ' ') AS ws FROM documents WHERE doc_id IS NOT NULL),
 g AS (SELECT DISTINCT id, ('0x' || substr(md5(array_to_string(ws[i:i + 2], ' ')), 1, 15))::BIGINT AS g FROM (SELECT id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM wd)),
 sizes AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
@@ -342,6 +357,11 @@ agg AS (SELECT phone_number, count(*) AS n, count(*) FILTER (kind = 'otp_2fa') A
     "known_messages": w(CLS, "SELECT MTMessageId, template_id, template_id IN (SELECT template_id FROM cls WHERE level_used = 'rule') AS known FROM tpl"),
     "near_templates": w(PARTS, """SELECT template_id, other AS similar_id, d::INT AS words_changed FROM (
   SELECT *, row_number() OVER (PARTITION BY template_id ORDER BY d, other) AS rn FROM pairs WHERE d BETWEEN 1 AND 2) WHERE rn = 1"""),
+    "similar_levels": w(SIMILAR, "SELECT template_id, level_used, label, confidence, similar_id, similar_score FROM done"),
+    "similar_level_counts": w(SIMILAR, "SELECT level_used, count(*) AS templates, sum(length(template_text))::BIGINT AS messages FROM done GROUP BY 1"),
+    "label_cuts": w(CUTS, "SELECT label, cut, precision, recall FROM cuts"),
+    "accepted_by_cut": w(CUTS, """SELECT predicted_label, coalesce(least(floor(conf * 20), 19) / 20.0 >= cut, false) AS accepted, count(*) AS rows
+  FROM pred LEFT JOIN cuts ON cuts.label = predicted_label GROUP BY 1, 2"""),
     "minhash_links": w(GRAMS + f""",
 lk AS (SELECT id AS src, least AS dst, count(*) AS bands FROM bk JOIN (SELECT bucket, min(id) AS least FROM bk GROUP BY 1) USING (bucket) WHERE id <> least GROUP BY 1, 2),
 {alike('lk')}""", "SELECT src, dst, bands, similarity FROM lk JOIN sim USING (src, dst) WHERE similarity >= 0.8"),
@@ -352,13 +372,7 @@ UNION ALL SELECT e.id, f.id, 1.0 FROM e JOIN f USING (v) WHERE e.id <> f.id""",
     "confusion": w(PRED, "SELECT label, predicted_label, count(*) AS rows FROM pred GROUP BY 1, 2"),
     "submodel_categories": w(PRED + ",\ns AS (SELECT split_part(label, '::', 1) AS category, count(*) AS rows, count(*) FILTER (label <> predicted_label AND split_part(label, '::', 1) = split_part(predicted_label, '::', 1)) AS confused_inside FROM pred GROUP BY 1)",
       "SELECT *, confused_inside::DOUBLE / rows AS confusion_rate, confused_inside::DOUBLE / rows >= 0.2::DOUBLE AS needs_submodel FROM s"),
-    "threshold_curve": w(PRED + """,
-st AS (SELECT *, least(floor(conf * 20), 19)::INT AS step FROM pred),
-g AS (SELECT DISTINCT predicted_label AS label, t.s FROM st, range(20) t(s)),
-act AS (SELECT label, count(*) AS a FROM pred GROUP BY 1),
-c AS (SELECT g.label, g.s, count(st.step) AS predicted, count(st.step) FILTER (st.label = g.label) AS correct FROM g LEFT JOIN st ON st.predicted_label = g.label AND st.step >= g.s GROUP BY 1, 2)""",
-      """SELECT c.label, c.s::DOUBLE / 20.0::DOUBLE AS threshold, predicted, correct, CASE WHEN predicted > 0 THEN correct::DOUBLE / predicted END AS precision,
-  CASE WHEN a > 0 THEN correct::DOUBLE / a ELSE 0.0 END AS recall FROM c LEFT JOIN act ON act.label = c.label"""),
+    "threshold_curve": w(CURVE, "SELECT * FROM curve"),
     "training_readiness": w(SIGHT, "SELECT label, count(*) AS examples, count(*) >= 500 AS ready FROM si WHERE trim(label) <> '' AND confidence >= 0.9::DOUBLE GROUP BY 1"),
     "streamed_template_counts": w(TPL, "SELECT template_id, template_text, count(*) AS frequency, min(ArrivalDate) AS first_seen, max(ArrivalDate) AS last_seen FROM tpl GROUP BY 1, 2"),
     "streamed_first_sightings": w(TPL, "SELECT DISTINCT template_id, template_text FROM tpl"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.views import messages_sql
 from smslens.functions.text import normalize_text, template_id, unify_spelling
-from smslens.operators import classify, frequency, learn, profiles, reports, scoring, similarity, split, stats, store, votes
+from smslens.operators import cascade, classify, frequency, learn, profiles, reports, scoring, similarity, split, stats, store, votes
 from smslens.operators.extract import extract_templates
 from smslens.operators.normalize import changed_samples, normalization_report, with_normalized
 from smslens.plans.daily import classified_templates
@@ -573,6 +573,23 @@ def q_word_clusters(spark, d):
     return c.select(similarity.id_text("id").alias("template_id"), similarity.id_text("component").alias("cluster_id"))
 
 
+def _similar(spark, d):
+    """Half of the product texts are known and labelled; the others are classified, new ones by their neighbours."""
+    rows = stored(spark, part_templates(spark, d).withColumnsRenamed({"sender": "client_name"}))
+    is_known = F.substring("template_id", 1, 1) < "8"
+    known = rows.where(is_known).withColumns({"label": F.concat(F.lit("part::"), F.substring("template_id", 1, 2)), "confidence": F.lit(0.9)})
+    new = rows.where(~is_known).withColumns({"applied_rules": F.array().cast("array<string>"), "frequency": F.length("template_text").cast("bigint")})
+    return cascade.cascade(classify.classify_rules(new), known)
+
+
+def q_similar_levels(spark, d):
+    return _similar(spark, d).select("template_id", "level_used", "label", "confidence", "similar_id", "similar_score")
+
+
+def q_similar_level_counts(spark, d):
+    return cascade.level_counts(_similar(spark, d))
+
+
 def q_minhash_links(spark, d):
     return similarity.minhash_links(table(spark, d, "documents"), "doc_id", "text")
 
@@ -618,6 +635,29 @@ def q_threshold_curve(spark, d):
     return learn.threshold_curve(_predictions(spark, d))
 
 
+def q_label_cuts(spark, d):
+    """Half of the answers are right, so a cut for 0.45 of them."""
+    return learn.label_cuts(learn.threshold_curve(_predictions(spark, d)), 0.45, 5)
+
+
+def q_accepted_by_cut(spark, d):
+    p = _predictions(spark, d)
+    kept = learn.accept_by_cut(p, learn.label_cuts(learn.threshold_curve(p), 0.45, 5))
+    return kept.groupBy("predicted_label", "accepted").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_model_levels(spark, d):
+    """Levels 2 and 3 over all documents, fitted on two thirds of the labelled ones, cuts from the others."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    label = F.concat(F.when(F.col("toxic") == 1, F.lit("toxic::")).otherwise(F.lit("clean::")), F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("bad")))
+    rows = docs.select(F.col("doc_id").cast("string").alias("template_id"), normalize_text("text").alias("template_text"), F.when(F.col("quality").isNotNull(), label).alias("label"))
+    rows = stored(spark, rows)
+    known, held = rows.where("label is not null and crc32(template_id) % 3 > 0"), rows.where("label is not null and crc32(template_id) % 3 = 0")
+    model = learn.fit_cascade(known, held, min_precision=0.8, min_confusion=0.01, features=1 << 12)
+    done = model.predict(rows.select("template_id", "template_text"))
+    return done.select("template_id", "predicted_label", F.round("prediction_confidence", 4).alias("confidence"), "level", "accepted")
+
+
 def q_training_readiness(spark, d):
     rows = _sightings(spark, d)
     return learn.training_readiness(rows, 0.9, 500)

@@ -33,7 +33,7 @@ def resolve_votes(
 ) -> DataFrame:
     """Final result per template.
 
-    A rule match stands.  Otherwise equal labels whose lower confidence reaches the threshold are a
+    A result of an earlier level (a rule, a similar template, the text model: anything but ``pending``) stands.  Otherwise equal labels whose lower confidence reaches the threshold are a
     panel agreement; else the arbiter decides, ABSTAIN meaning human review.  A judge without a vote
     voted ``error`` with confidence 0.  A missing arbiter decision, or one with an error, is an error.
     ``partial_agreement`` also accepts two labels of one category, as that category.
@@ -52,29 +52,29 @@ def resolve_votes(
     j1, j2 = F.coalesce("panel_judge_1", F.lit("error")), F.coalesce("panel_judge_2", F.lit("error"))
     c1, c2 = F.coalesce("panel_judge_1_conf", F.lit(0.0)), F.coalesce("panel_judge_2_conf", F.lit(0.0))
     low = F.least(c1, c2)
-    by_rule = F.col("level_used") == "rule"
+    settled = F.coalesce(F.col("level_used") != "pending", F.lit(False))
     agree = (j1 == j2) & (low >= threshold)
     family = (label_category(j1) == label_category(j2)) & (low >= threshold) if partial_agreement else F.lit(False)
     failed = F.col("__a_label").isNull() | F.col("__a_error").isNotNull()
     abstained = F.col("__a_label") == ABSTAIN
     level = (
-        F.when(by_rule, F.lit("rule"))
+        F.when(settled, F.col("level_used"))
         .when(agree, F.lit("panel_agreement"))
         .when(family, F.lit("partial_agreement"))
         .when(failed, F.lit("error"))
         .when(abstained, F.lit("human_review"))
         .otherwise(F.lit("arbiter"))
     )
-    step = base.withColumn("__level", level)
-    lv = F.col("__level")
-    voted = ~lv.isin("rule", "error")
+    step = base.withColumn("__level", level).withColumn("__settled", settled)
+    lv, stands = F.col("__level"), F.col("__settled")
+    voted = ~stands & (lv != "error")
     decided = lv.isin("arbiter", "human_review")
     label = (
-        F.when(lv == "rule", F.col("label")).when(lv == "panel_agreement", j1).when(lv == "partial_agreement", label_category(j1))
+        F.when(stands, F.col("label")).when(lv == "panel_agreement", j1).when(lv == "partial_agreement", label_category(j1))
         .when(lv == "error", F.lit("ERROR")).otherwise(F.col("__a_label"))
     )
     confidence = (
-        F.when(lv == "rule", F.col("confidence")).when(lv.isin("panel_agreement", "partial_agreement"), low)
+        F.when(stands, F.col("confidence")).when(lv.isin("panel_agreement", "partial_agreement"), low)
         .when(lv == "error", F.lit(0.0)).otherwise(F.col("__a_conf"))
     )
     replaced = {
@@ -89,7 +89,7 @@ def resolve_votes(
         label_subcategory(label).alias("subcategory"),
         confidence.alias("confidence"),
         lv.alias("level_used"),
-        lv.isin("rule", "panel_agreement").alias("agreement"),
+        (stands | (lv == "panel_agreement")).alias("agreement"),
         F.when(voted, j1).alias("panel_judge_1"),
         F.when(voted, c1).alias("panel_judge_1_conf"),
         F.when(voted, j2).alias("panel_judge_2"),

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from smslens.operators.cascade import cascade
 from smslens.operators.classify import classify_rules
 from smslens.operators.frequency import template_frequency, templates_of
 from smslens.sources import outputs
@@ -36,9 +37,12 @@ def as_log_rows(classified: DataFrame) -> DataFrame:
     return named.select(*columns)
 
 
-def run_day(messages: DataFrame, paths: DayPaths, run_date: str, source: str = "", day: int | None = None, include_pure: bool = False, split: bool = True) -> DataFrame:
+def run_day(messages: DataFrame, paths: DayPaths, run_date: str, source: str = "", day: int | None = None, include_pure: bool = False, split: bool = True, known: DataFrame | None = None, model=None) -> DataFrame:
     """Write one run and return its metadata row.
 
+    ``known`` (classified templates) and ``model`` (a ``learn.CascadeModel``) add the levels between rules and judges to
+    the classifications written; the metadata counts the rules' results as before.
+
     The messages are read once for the counts (and once more when ``split`` keeps the message-level
     tables).  Everything later starts from the written counts.
     """
@@ -50,7 +54,8 @@ def run_day(messages: DataFrame, paths: DayPaths, run_date: str, source: str = "
     freq = read_unique_templates(spark, paths, run_date)
     chosen = freq if include_pure else freq.where(F.size("applied_rules") > 0)
     classified = classify_rules(chosen)
-    outputs.write_results(as_log_rows(classified), paths.of("rule_classifications"), run_date)
+    results = classified if known is None and model is None else cascade(classified, known, model=model)
+    outputs.write_results(as_log_rows(results), paths.of("rule_classifications"), run_date)
     metadata = outputs.run_metadata(freq, classified, run_date, source, day)
     outputs.write_metadata(metadata, paths.of("metadata"))
     return spark.read.schema(metadata.schema).json(paths.of("metadata")).where(F.col("run_date") == run_date)

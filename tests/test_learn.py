@@ -12,8 +12,6 @@ def test_classifier_and_reports(spark):
     ready = {r.label: r.ready for r in learn.training_readiness(df, 0.8, 40).collect()}
     assert ready == {"u::water": True, "b::otp": True, "b::balance": True}
     assert learn.training_rows(df, 0.95).count() == 0
-    sub = learn.fit_submodels(df, ["b"])
-    assert set(sub) == {"b"} and learn.predict_labels(sub["b"], df.where("label like 'b::%'")).where("label <> predicted_label").count() == 0
 
 
 def test_threshold_curve(spark):
