@@ -152,8 +152,11 @@ def q_filtered_clients(spark, d):
 
 
 def q_lake_scan(spark, d):
-    wanted = requests(spark, d)
-    rows = lake.scan_messages(raw_messages(spark, d), wanted, AS_OF, 14)
+    """From a lake of day folders written from the events table."""
+    root = f"{shared_folder(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+    dated = raw_messages(spark, d).selectExpr("*", "year(ArrivalDate) as year", "month(ArrivalDate) as month", "day(ArrivalDate) as day")
+    dated.repartition("year", "month", "day").write.partitionBy("year", "month", "day").parquet(root)
+    rows = lake.scan_messages(lake.open_lake(spark, root), requests(spark, d), AS_OF, 14)
     return rows.groupBy("PhoneNumber").agg(F.count(F.lit(1)).alias("messages"), F.min("ArrivalDate").alias("first_arrival"),
                                            F.max("ArrivalDate").alias("last_arrival"))
 

@@ -136,6 +136,22 @@ def with_rule_names(df: DataFrame, rules=None) -> DataFrame:
     return df.withColumn("applied_rules", F.expr(f"cast({listed} as array<string>)")).drop(*masks)
 
 
+def text_key(text: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a text in joins and groups."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("b"), text).alias("h2")]
+
+
+def distinct_templates(texts: DataFrame, text_col: str = "cleaned_message", rules=None) -> DataFrame:
+    """(h1, h2, template_id, template_text): the rules applied once to every distinct text.
+
+    The texts collapse next to their input and are spread by the shuffle, so the rules run on all cores whatever the
+    input's splits.  Join messages to it by ``text_key``: only hashes of theirs have to move.
+    """
+    once = texts.select(F.col(sql_name(text_col)).alias("cleaned_message")).groupBy("cleaned_message").agg(F.lit(1).alias("one"))
+    rows = rewrite_texts(once.drop("one"), rules=rules)
+    return rows.select(*text_key(F.col("cleaned_message")), template_id("template_text").alias("template_id"), "template_text")
+
+
 def extract_templates(df: DataFrame, text_col: str = "cleaned_message", rules=None, unify: bool = False) -> DataFrame:
     """Add ``template_text``, ``template_id``, ``applied_rules`` and ``has_placeholder``.
 

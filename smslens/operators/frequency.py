@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from smslens.functions.text import bucket_label, normalize_text, template_id
 from smslens.functions.vocabulary import DELIVERED_STATUS, FREQUENCY_RANGES
-from smslens.operators.extract import extract_templates, rewrite_texts, with_rule_names
+from smslens.operators.extract import distinct_templates, extract_templates, rewrite_texts, text_key, with_rule_names
 from smslens.operators.joins import facet_row, share_of_listed, share_of_total
 from smslens.operators.stats import message_report
+from smslens.session import shared_folder
 from smslens.sources.messages import delivered_only
 
 
@@ -95,13 +96,15 @@ def distinct_counts(messages: DataFrame, rules=None) -> DataFrame:
 def template_stats(messages: DataFrame, rules=None) -> DataFrame:
     """Full statistics per template: frequency, client names, priorities, operators, distinct phones, first / last seen.
 
-    Each message becomes one short row per facet after extraction.  They collapse to distinct
-    (template, facet, value) rows before the shuffle; phones are reduced to a count before any list is built.
+    Each message becomes one short row per facet, keyed by the hash of its text.  They collapse to distinct rows
+    before the shuffle, then take the template id of their text, for which the rules ran once.  Phones are reduced
+    to a count before any list is built, and the template's text is attached to the result.
     """
     base = messages.select(
         normalize_text("Message").alias("cleaned_message"), "ClientName", "PriorityId", "OperatorName", "PhoneNumber", "ArrivalDate"
     )
-    rows = rewrite_texts(base, rules=rules)
+    shared_folder(messages.sparkSession)
+    templates = distinct_templates(base, rules=rules).checkpoint()
     facets = F.array(
         facet_row("all", F.lit(None)),
         facet_row("client", F.col("ClientName")),
@@ -109,11 +112,16 @@ def template_stats(messages: DataFrame, rules=None) -> DataFrame:
         facet_row("operator", F.col("OperatorName")),
         facet_row("phone", F.col("PhoneNumber")),
     )
-    keys = ["template_text"]
+    keys = ["template_id"]
+    seen = (
+        base.select(*text_key(F.col("cleaned_message")), "ArrivalDate", F.inline(facets))
+        .groupBy("h1", "h2", "facet", "value")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("ArrivalDate").alias("lo"), F.max("ArrivalDate").alias("hi"))
+    )
     values = (
-        rows.select(*keys, "ArrivalDate", F.inline(facets))
+        seen.join(templates.drop("template_text"), ["h1", "h2"])
         .groupBy(*keys, "facet", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("ArrivalDate").alias("lo"), F.max("ArrivalDate").alias("hi"))
+        .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     )
     listed = F.when(F.col("facet") != "phone", F.col("value"))
     short = values.groupBy(*keys, "facet", listed.alias("value")).agg(
@@ -124,8 +132,8 @@ def template_stats(messages: DataFrame, rules=None) -> DataFrame:
         return F.sort_array(F.collect_set(F.when(F.col("facet") == facet, F.col("value")).cast(cast)))
 
     whole = F.col("facet") == "all"
-    return (
-        short.groupBy(template_id("template_text").alias("template_id"), "template_text")
+    found = (
+        short.groupBy("template_id")
         .agg(
             F.coalesce(F.sum(F.when(whole, F.col("n"))), F.lit(0)).alias("frequency"),
             names("client").alias("client_names"),
@@ -136,6 +144,8 @@ def template_stats(messages: DataFrame, rules=None) -> DataFrame:
             F.max(F.when(whole, F.col("hi"))).alias("last_seen"),
         )
     )
+    texts = templates.select("template_id", "template_text").dropDuplicates(["template_id"])
+    return texts.join(found, "template_id")
 
 
 def run_summary(raw: DataFrame, rules=None) -> DataFrame:

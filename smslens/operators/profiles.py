@@ -4,28 +4,31 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smslens.functions.text import normalize_text, template_id
+from smslens.functions.text import normalize_text
 from smslens.functions.vocabulary import HOT_MAX_IDLE_DAYS, HOT_MIN_FREQUENCY
-from smslens.operators.extract import rewrite_texts
+from smslens.operators.extract import distinct_templates, text_key
 from smslens.operators.joins import lookup_join
 
 PROFILE_KEYS = ("phone_number", "template_id", "sender")
 
 
 def phone_profile(messages: DataFrame, rules=None) -> DataFrame:
-    """Count, first and last day per phone, template and sender, over every message."""
+    """Count, first and last day per phone, template and sender, over every message.
+
+    Messages collapse by phone, sender and the hash of their text; the rules run once per distinct text.
+    """
     base = messages.select(
         F.col("PhoneNumber").alias("phone_number"), F.col("ClientName").alias("sender"), F.to_date("ArrivalDate").alias("day"),
         normalize_text("Message").alias("cleaned_message"),
     )
-    return (
-        rewrite_texts(base, rules=rules)
-        .withColumn("template_id", template_id("template_text"))
-        .groupBy(*PROFILE_KEYS)
-        .agg(F.count(F.lit(1)).alias("appearances"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    counts = base.groupBy("phone_number", "sender", *text_key(F.col("cleaned_message"))).agg(
+        F.count(F.lit(1)).alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day")
     )
+    # One row per text on the right: a text that went to very many phones can be split on the left.
+    joined = counts.join(distinct_templates(base, rules=rules).drop("template_text"), ["h1", "h2"])
+    return joined.groupBy(*PROFILE_KEYS).agg(F.sum("n").alias("appearances"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
 
 
 def merge_profiles(previous: DataFrame, today: DataFrame) -> DataFrame:
@@ -37,6 +40,40 @@ def merge_profiles(previous: DataFrame, today: DataFrame) -> DataFrame:
     )
 
 
+def write_profiles(profiles: DataFrame, path: str, ranges: int = 64) -> None:
+    """The snapshot, partitioned by a hash of the phone, so that a day's update touches the ranges it has phones in."""
+    keyed = profiles.withColumn("phone_range", F.pmod(F.xxhash64("phone_number"), F.lit(ranges)).cast("int"))
+    # Sender and template in the key: a phone with very many templates is split over tasks.
+    keyed.repartition("phone_range", F.pmod(F.xxhash64("phone_number", "template_id", "sender"), F.lit(4))).write.mode("overwrite").partitionBy("phone_range").parquet(path)
+
+
+def update_profiles(spark: SparkSession, path: str, today: DataFrame, work: str, ranges: int = 64) -> list[int]:
+    """Merge a day's profile into the snapshot at ``path``; returns the phone ranges rewritten, the others keep their files.
+
+    The merged ranges are written to ``work`` (a new folder that all executors share) before they replace those at
+    ``path`` by dynamic partition overwrite, so a run that dies while merging leaves the snapshot as it was.
+    ``ranges`` has to be that of ``write_profiles``; a day is merged once.
+    """
+    keyed = today.withColumn("phone_range", F.pmod(F.xxhash64("phone_number"), F.lit(ranges)).cast("int"))
+    keyed.write.mode("overwrite").partitionBy("phone_range").parquet(f"{work}/today")
+    fresh = spark.read.schema(keyed.schema).parquet(f"{work}/today")
+    touched = sorted(r.phone_range for r in fresh.select("phone_range").distinct().collect())  # `ranges` numbers
+    if not touched:
+        return []
+    before = spark.read.schema(keyed.schema).parquet(path).where(F.col("phone_range").isin(touched))
+    merged = merge_profiles(before.select(*today.columns), fresh.select(*today.columns))
+    merged = merged.withColumn("phone_range", F.pmod(F.xxhash64("phone_number"), F.lit(ranges)).cast("int"))
+    merged.write.mode("overwrite").partitionBy("phone_range").parquet(f"{work}/merged")
+    ready = spark.read.schema(merged.schema).parquet(f"{work}/merged")
+    ready.repartition("phone_range").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("phone_range").parquet(path)
+    return touched
+
+
+def read_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot without its range column."""
+    return spark.read.parquet(path).drop("phone_range")
+
+
 def hot_templates(
     freq: DataFrame, as_of: date, min_frequency: int = HOT_MIN_FREQUENCY, max_idle_days: int = HOT_MAX_IDLE_DAYS
 ) -> DataFrame:

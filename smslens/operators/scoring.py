@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from smslens.functions.labels import message_type
-from smslens.functions.text import normalize_text, template_id
+from smslens.functions.text import normalize_text
 from smslens.functions.vocabulary import DAYPARTS, MESSAGE_TYPES, OTHER_MESSAGE_TYPE, WEEKDAYS
-from smslens.operators.extract import rewrite_texts
+from smslens.operators.extract import distinct_templates, text_key
 from smslens.operators.joins import BROADCAST_ROWS, lookup_join
 
 TYPES = [*MESSAGE_TYPES, OTHER_MESSAGE_TYPE]
@@ -24,15 +24,18 @@ SHARE_SUFFIX = "_share_last_365d"
 def categorise(messages: DataFrame, lookup: DataFrame, rules=None, max_lookup_rows: int | None = BROADCAST_ROWS) -> DataFrame:
     """Messages (PhoneNumber, Message, ArrivalDate) with categoria and subcategoria of their template.
 
-    Only the phone, the arrival and the template id go into the join.  See ``lookup_join`` for
-    ``max_lookup_rows``.
+    The rules and the lookup see each distinct text once; of a message only the phone, the arrival and the hash
+    of its text go into a join.  See ``lookup_join`` for ``max_lookup_rows``.
     """
     base = messages.select(
         F.col("PhoneNumber").alias("phone_number"), "ArrivalDate", normalize_text("Message").alias("cleaned_message")
     )
-    keyed = rewrite_texts(base, rules=rules).select("phone_number", "ArrivalDate", template_id("template_text").alias("template_id"))
-    found = lookup_join(keyed, lookup.select("template_id", "categoria", "subcategoria"), "template_id", "left", max_lookup_rows)
-    return found.select(
+    texts = distinct_templates(base, rules=rules).drop("template_text")
+    found = lookup_join(texts, lookup.select("template_id", "categoria", "subcategoria"), "template_id", "left", max_lookup_rows)
+    known = found.where("categoria is not null or subcategoria is not null").select("h1", "h2", "categoria", "subcategoria")
+    # One row per text on the right: a text that went to very many phones can be split on the left.
+    rows = base.select("phone_number", "ArrivalDate", *text_key(F.col("cleaned_message"))).join(known, ["h1", "h2"], "left")
+    return rows.select(
         "phone_number", "ArrivalDate",
         F.coalesce("categoria", F.lit(UNKNOWN)).alias("category"),
         F.coalesce("subcategoria", F.lit(UNKNOWN)).alias("subcategory"),

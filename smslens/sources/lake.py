@@ -6,15 +6,28 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smslens.operators.joins import lookup_join
+from smslens.operators.joins import BROADCAST_ROWS, has_at_most
 from smslens.sources.messages import delivered_only
 
 SLICE_COLUMNS = ("PhoneNumber", "Message", "ArrivalDate", "StatusId", "ClientName", "OperatorName", "PriorityDescription")
 
 
-def open_lake(spark: SparkSession, root: str) -> DataFrame:
-    """All files below root, columns united by name, partition folders as columns."""
-    return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "false").parquet(root)
+#: What the scans need of a message, and the partition folders.  Columns that a file lacks are null.
+LAKE_SCHEMA = (
+    "MTMessageId bigint, PhoneNumber string, Message string, ArrivalDate timestamp_ntz, StatusId bigint, ClientId bigint, ClientName string,"
+    " OperatorName string, PriorityId bigint, PriorityDescription string, AccountName string, year int, month int, day int"
+)
+#: Phones that are listed in the scan's filter, where files and row groups are skipped by them.
+LISTED_PHONES = 500
+
+
+def open_lake(spark: SparkSession, root: str, schema: str = LAKE_SCHEMA) -> DataFrame:
+    """All files below root with a known schema, partition folders as columns.
+
+    No footer is opened before the partition filters have picked the files.  A lake with other or other typed columns
+    passes its own schema.
+    """
+    return spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(root)
 
 
 def lookback_filter(df: DataFrame, as_of: date, lookback_days: int = 365) -> DataFrame:
@@ -34,15 +47,34 @@ def lookback_filter(df: DataFrame, as_of: date, lookback_days: int = 365) -> Dat
     return delivered_only(df).where(F.col("ArrivalDate") >= first)
 
 
-def scan_messages(lake: DataFrame, phones: DataFrame, as_of: date, lookback_days: int = 365) -> DataFrame:
+def scan_messages(
+    lake: DataFrame, phones: DataFrame, as_of: date, lookback_days: int = 365, listed_phones: int = LISTED_PHONES, max_rows: int | None = BROADCAST_ROWS
+) -> DataFrame:
     """Phone, message and arrival of the requested phones within the look-back.
 
-    One scan serves any number of phones; ``phones`` has a column ``phone_number``.  Ordering is left to
-    the caller: see ``in_phone_order``.
+    One scan serves any number of phones; ``phones`` has a column ``phone_number``.  A few phones are listed in the
+    scan's filter; with more, their smallest and greatest are, and a join keeps the wanted ones.  Where that join is
+    shuffled, Spark puts a bloom filter of the phones ahead of the shuffle (``runtime_filters``).  Ordering is left
+    to the caller: see ``in_phone_order``.
     """
-    wanted = phones.select(F.col("phone_number").alias("PhoneNumber")).distinct()
+    wanted = phones.select(F.col("phone_number").alias("PhoneNumber")).where("PhoneNumber is not null").distinct()
     rows = lookback_filter(lake, as_of, lookback_days).select("PhoneNumber", "Message", "ArrivalDate")
-    return lookup_join(rows, wanted, "PhoneNumber", "left_semi")
+    listed = [r.PhoneNumber for r in wanted.limit(listed_phones + 1).collect()]
+    if len(listed) <= listed_phones:
+        return rows.where(F.col("PhoneNumber").isin(listed))
+    ends = wanted.agg(F.min("PhoneNumber").alias("lo"), F.max("PhoneNumber").alias("hi")).first()
+    between = F.col("PhoneNumber").between(ends.lo, ends.hi)
+    if max_rows is not None and has_at_most(wanted, max_rows):
+        return rows.where(between).join(F.broadcast(wanted), "PhoneNumber", "left_semi")
+    # Both sides shuffled.  The phones are one row each, so a phone with very many messages can be split.
+    return rows.where(between).join(wanted.hint("shuffle_merge"), "PhoneNumber", "left_semi")
+
+
+def runtime_filters(spark: SparkSession, scan_bytes: str = "1g", phones_bytes: str = "256m") -> None:
+    """Let Spark build a bloom filter of a shuffled join's smaller side and apply it to scans of at least ``scan_bytes``."""
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", scan_bytes)
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", phones_bytes)
 
 
 def in_phone_order(df: DataFrame) -> DataFrame:
