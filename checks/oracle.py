@@ -386,4 +386,22 @@ pr AS (SELECT DISTINCT a.id AS src, b.id AS dst FROM bk a JOIN bk b ON a.bucket
 near AS (SELECT src AS a, dst AS b FROM sim WHERE similarity >= 0.8 UNION ALL SELECT dst, src FROM sim WHERE similarity >= 0.8),
 reach AS (SELECT DISTINCT a AS node, a AS seen FROM near UNION SELECT node, b FROM reach JOIN near ON seen = a)
 SELECT node AS id, min(seen) AS component FROM reach GROUP BY 1"""
+SQL["written_first_sightings"] = SQL["streamed_first_sightings"]
+SQL["written_split"] = w(TPL, "SELECT rules <> '' AS has_placeholder, count(*) AS messages FROM tpl GROUP BY 1")
+SQL["written_template_log"] = w(TPL, """SELECT template_id, CASE WHEN rules <> '' THEN 'with_placeholders' ELSE 'pure_messages' END AS category, 2 * count(*) AS lines
+  FROM tpl GROUP BY 1, 2""")
+SQL["day_run"] = w(CLS, """SELECT freq.template_id, freq.template_text, freq.frequency, freq.first_seen, freq.last_seen, cls.label, cls.confidence, cls.level_used
+  FROM freq LEFT JOIN cls USING (template_id)""")
+SQL["stored_slice"] = w(DELIVERED, """SELECT year(ArrivalDate)::INT AS year, month(ArrivalDate)::INT AS month, PhoneNumber, count(*) AS messages
+  FROM delivered WHERE ArrivalDate >= TIMESTAMP '2024-01-17' GROUP BY ALL""")
+SQL["exported_table"] = w(RES, "SELECT level_used, label, count(*) AS templates, sum(frequency)::BIGINT AS messages FROM res GROUP BY 1, 2")
+SQL["scored_phones"] = w(DELIVERED + ",\n" + REQUESTS, """SELECT phone_number, count(PhoneNumber) AS messages, '2024-01-31T00:00:00Z' AS generated_at, 'ref' AS request_reference,
+  'standard' AS granularity, 30::BIGINT AS data_lookback_days, '1.0.0' AS version
+  FROM req LEFT JOIN (SELECT PhoneNumber FROM delivered WHERE ArrivalDate >= TIMESTAMP '2024-01-01') x ON PhoneNumber = phone_number GROUP BY ALL""")
+SQL["phone_profile_updated"] = SQL["phone_profile"]
+SQL["word_clusters_updated"] = SQL["word_clusters"]
+SQL["own_rules"] = w(FREQ, """SELECT template_id, label, rule_name, CASE rule_name WHEN 'pin' THEN 0.6 WHEN 'bank' THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence,
+  CASE WHEN rule_name IS NULL THEN 'pending' ELSE 'rule' END AS level_used FROM (SELECT *, CASE rule_name WHEN 'pin' THEN 'security::pin' WHEN 'bank' THEN 'banking::any' END AS label
+  FROM (SELECT *, CASE WHEN NOT contains(template_text, '[ENTIDAD_BANCARIA]') AND (contains(template_text, '[OTP]') OR contains(template_text, '[PHONE]')) THEN 'pin'
+    WHEN contains(template_text, '[ENTIDAD_BANCARIA]') THEN 'bank' END AS rule_name FROM freq))""")
 SQL["phone_profile_merged"] = SQL["phone_profile"]

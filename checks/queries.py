@@ -12,7 +12,8 @@ from smslens.functions.text import normalize_text, template_id, unify_spelling
 from smslens.operators import cascade, classify, frequency, learn, profiles, reports, scoring, similarity, split, stats, store, votes
 from smslens.operators.extract import extract_templates
 from smslens.operators.normalize import changed_samples, normalization_report, with_normalized
-from smslens.plans.daily import classified_templates
+from smslens.plans.daily import DayPaths, classified_templates, read_unique_templates, run_day
+from smslens.plans.scoring import score_phones
 from smslens.session import shared_folder
 from smslens.sources import jsonl, lake, lookups, messages as src, outputs
 from smslens.streaming import messages as stream
@@ -690,4 +691,95 @@ def q_streamed_first_sightings(spark, d):
     return spark.read.parquet(f"{out}/data")
 
 
+def q_written_first_sightings(spark, d):
+    """Each template with its first arrival, written batch by batch."""
+    out = _stream_folder(spark)
+    stream.write_first_sightings(stream.stream_templates(_stream_source(spark, d)), f"{out}/data", f"{out}/log", kept=2).awaitTermination()
+    return stream.known_sightings(spark, f"{out}/data").select("template_id", "template_text")
+
+
+# --- what is written out, read back -------------------------------------------------------------
+
+
+def q_written_split(spark, d):
+    """The split tables of a run, read back."""
+    out = _stream_folder(spark)
+    outputs.write_split(frequency.templates_of(texts(spark, d)).withColumnRenamed("Message", "original_message"), out, "2024-01-31")
+    back = spark.read.parquet(out).withColumn("has_placeholder", F.col("has_placeholder").cast("boolean"))
+    return back.groupBy("has_placeholder").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_written_template_log(spark, d):
+    """Two appended runs of the template log, read back."""
+    out = _stream_folder(spark)
+    rows = frequency.templates_of(texts(spark, d)).withColumnRenamed("Message", "original_message")
+    for _ in range(2):
+        outputs.append_template_log(rows, out)
+    return spark.read.json(out).groupBy("template_id", "category").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def q_day_run(spark, d):
+    """A whole daily run: the unique templates it wrote, with the result its log has of them."""
+    paths = DayPaths(_stream_folder(spark))
+    run_day(raw_messages(spark, d), paths, "2024-01-31", "events")
+    unique = read_unique_templates(spark, paths, "2024-01-31").select("template_id", "template_text", "frequency", "first_seen", "last_seen")
+    log = jsonl.read_results(spark, paths.of("rule_classifications")).select("template_id", "label", "confidence", "level_used")
+    return unique.join(log, "template_id", "left")
+
+
+def q_stored_slice(spark, d):
+    """The materialised look-back slice, read back."""
+    out = _stream_folder(spark)
+    lake.write_slice(raw_messages(spark, d), out, AS_OF, 14)
+    return spark.read.parquet(out).groupBy("year", "month", "PhoneNumber").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_exported_table(spark, d):
+    """The keyed table as CSV, read back as text."""
+    out = _stream_folder(spark)
+    store.export_csv(keyed_table(spark, d), out, 1 << 30)
+    back = spark.read.option("header", "true").csv(out)
+    return back.groupBy("level_used", F.coalesce("label", F.lit("")).alias("label")).agg(F.count(F.lit(1)).alias("templates"), F.sum(F.col("frequency").cast("bigint")).alias("messages"))
+
+
+def q_scored_phones(spark, d):
+    """From the messages to the written documents, read back: messages and metadata of every requested phone."""
+    out = _stream_folder(spark)
+    scoring.write_documents(score_phones(raw_messages(spark, d), requests(spark, d), lookup(spark, d), AS_OF, GENERATED_AT, 30, "ref"), out)
+    back = spark.read.json(out)
+    total = F.aggregate(F.transform("temporal_patterns.hourly_distribution", lambda x: x["messages_last_365d"]), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return back.select("phone_number", total.alias("messages"), F.col("metadata.generated_at").alias("generated_at"), F.col("metadata.request_reference").alias("request_reference"),
+                       F.col("metadata.granularity").alias("granularity"), F.col("metadata.data_lookback_days").alias("data_lookback_days"), F.col("metadata.version").alias("version"))
+
+
+def q_phone_profile_updated(spark, d):
+    """The first half of the month as a snapshot, the second merged into the phone ranges it touches."""
+    out = _stream_folder(spark)
+    m = texts(spark, d)
+    cut = F.col("ArrivalDate") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    profiles.write_profiles(profiles.phone_profile(m.where(cut)), f"{out}/snapshot", 8)
+    profiles.update_profiles(spark, f"{out}/snapshot", profiles.phone_profile(m.where(~cut)), f"{out}/work", 8)
+    return profiles.read_profiles(spark, f"{out}/snapshot")
+
+
+def q_word_clusters_updated(spark, d):
+    """Clusters of a third of the links, brought up to date twice."""
+    links = stored(spark, similarity.word_links(part_templates(spark, d), 1).withColumn("day", F.pmod(F.xxhash64("src", "dst"), F.lit(3))))
+    labels = similarity.connected_components(links.where("day = 0"))
+    for day in (1, 2):
+        labels = similarity.update_components(labels, links.where(F.col("day") == day))
+    return labels.select(similarity.id_text("id").alias("template_id"), similarity.id_text("component").alias("cluster_id"))
+
+
+def q_own_rules(spark, d):
+    """Rules given by the caller in place of the built-in ones, in their order."""
+    rules = [
+        classify.ClassificationRule("pin", "security::pin", required_any=frozenset({"OTP", "PHONE"}), forbidden=frozenset({"ENTIDAD_BANCARIA"}), confidence=0.6),
+        classify.ClassificationRule("bank", "banking::any", required_all=frozenset({"ENTIDAD_BANCARIA"}), confidence=0.5),
+        classify.ClassificationRule("late", "never::reached", required_all=frozenset({"ENTIDAD_BANCARIA", "OTP"})),
+    ]
+    done = classify.classify_rules(stored(spark, freq(spark, d, include_pure=True)), rules)
+    return done.select("template_id", "label", "rule_name", "confidence", "level_used")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")}

@@ -16,6 +16,10 @@ RESULT_SCHEMA = (
 )
 
 
+#: Without these Spark writes times to the millisecond; its default reader takes either.
+JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def parse_lines(lines: DataFrame, schema: str, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split text lines into (records, rejected lines) by a DDL schema.  Blank lines are neither."""
     with_corrupt = f"{schema}, {CORRUPT} string"
@@ -36,7 +40,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
 
 def append_results(results: DataFrame, path: str) -> None:
     """Append classification results to the log."""
-    results.write.mode("append").json(path)
+    results.write.mode("append").options(**JSON_TIMES).json(path)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:

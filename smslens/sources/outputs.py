@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from smslens.operators.split import split_templates
+from smslens.sources.jsonl import JSON_TIMES
 
 LOG_COLUMNS = (
     "template_id", "template_text", "original_message", "cleaned_message", "phone_number", "status_id", "client_name",
@@ -19,7 +20,7 @@ def _category() -> Column:
 def append_template_log(templated: DataFrame, path: str) -> None:
     """Append every templated message to the log of its group (JSON lines, one folder per group)."""
     present = [c for c in LOG_COLUMNS if c in templated.columns]
-    templated.select(*present, _category().alias("category")).write.mode("append").partitionBy("category").json(path)
+    templated.select(*present, _category().alias("category")).write.mode("append").partitionBy("category").options(**JSON_TIMES).json(path)
 
 
 def _replace_day(writer):
@@ -38,12 +39,12 @@ def write_split(templated: DataFrame, path: str, run_date: str) -> None:
 
 def write_unique_templates(freq: DataFrame, path: str, run_date: str) -> None:
     """Counted unique templates as JSON lines."""
-    _replace_day(freq.withColumn("run_date", F.lit(run_date)).write).partitionBy("run_date").json(path)
+    _replace_day(freq.withColumn("run_date", F.lit(run_date)).write).partitionBy("run_date").options(**JSON_TIMES).json(path)
 
 
 def write_results(results: DataFrame, path: str, run_date: str) -> None:
     """Classification results of a run as JSON lines."""
-    _replace_day(results.withColumn("run_date", F.lit(run_date)).write).partitionBy("run_date").json(path)
+    _replace_day(results.withColumn("run_date", F.lit(run_date)).write).partitionBy("run_date").options(**JSON_TIMES).json(path)
 
 
 def run_metadata(freq: DataFrame, classified: DataFrame, run_date: str, source: str, day: int | None = None) -> DataFrame:
@@ -72,7 +73,7 @@ def run_metadata(freq: DataFrame, classified: DataFrame, run_date: str, source:
 
 
 def write_metadata(row: DataFrame, path: str) -> None:
-    _replace_day(row.write).partitionBy("run_date").json(path)
+    _replace_day(row.write).partitionBy("run_date").options(**JSON_TIMES).json(path)
 
 
 def write_classification_csv(export: DataFrame, path: str) -> None:

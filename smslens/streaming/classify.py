@@ -9,6 +9,7 @@ from smslens.operators.cascade import cascade
 from smslens.operators.classify import classify_rules
 from smslens.operators.store import TemplateStore
 from smslens.operators.votes import DEFAULT_THRESHOLD, resolve_votes
+from smslens.sources.jsonl import JSON_TIMES
 
 
 def as_results(resolved: DataFrame, classified_at: str) -> DataFrame:
@@ -32,7 +33,7 @@ def classify_stream(
         known = store.table() if similar else None
         done = as_results(resolve_votes(cascade(classify_rules(batch, rules), known, model=model), votes, arbiter, threshold), classified_at)
         part = f"{log_path}/batch={batch_id:09d}"
-        done.write.mode("overwrite").json(part)
+        done.write.mode("overwrite").options(**JSON_TIMES).json(part)
         written = batch.sparkSession.read.schema(done.schema).json(part)
         store.insert(written, f"stream-{batch_id}")
 
