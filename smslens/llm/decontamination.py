@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,12 +138,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     if items is not None:
         found = rows.mapInArrow(run, f"doc_id long, {SCHEMA}")
     else:
-        found = shuffled_matches(rows, benchmark, coverage)
+        keyed = rows.select("doc_id", "text", *text_keys())
+        found = keyed.drop("text").join(shuffled_matches(keyed.drop("doc_id"), benchmark, coverage), ["k1", "k2"]).drop("k1", "k2")
     return found.withColumn("coverage", F.col("covered") / F.col("item_words"))
 
 
-def shuffled_matches(rows: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
-    """The same for items of any number: documents and items meet on shared seeds, then each pair is tiled."""
+def text_keys(column: str = "text") -> list[Column]:
+    """Two hashes that stand for a text: what an item covers depends on the text alone."""
+    return [F.xxhash64(column).alias("k1"), F.xxhash64(F.lit("b"), column).alias("k2")]
+
+
+def shuffled_matches(texts: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
+    """(k1, k2, item_id, tiles, covered, item_words) for items of any number: texts (k1, k2, text) and items meet on
+    shared seeds, then each pair is tiled.  Repeated texts are tiled once."""
 
     def seed_rows(df: DataFrame, keys: list[str]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,30 +162,38 @@ def shuffled_matches(rows: DataFrame, benchmark: DataFrame, coverage: float) ->
 
         return df.select(*keys, "text").mapInArrow(run, ", ".join([*[f"{k} long" for k in keys], "seed long"])).distinct()
 
-    rows = rows.where("text is not null").withColumn("row", F.xxhash64("doc_id", "text"))
+    texts = texts.where("text is not null")
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").withColumn("item", F.xxhash64("item_id", "text"))
-    pairs = stored(seed_rows(rows, ["row"]).join(seed_rows(items, ["item"]), "seed").select("row", "item").distinct())
-    both = rows.join(pairs, "row").join(items.withColumnRenamed("text", "item_text"), "item").select("doc_id", "text", "item_id", "item_text")
+    pairs = stored(seed_rows(texts, ["k1", "k2"]).join(seed_rows(items, ["item"]), "seed").select("k1", "k2", "item").distinct())
+    first = texts.join(pairs.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    both = first.join(pairs, ["k1", "k2"]).join(items.withColumnRenamed("text", "item_text"), "item").select("k1", "k2", "text", "item_id", "item_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                one = Items([batch.column(2)[k].as_py()], [batch.column(3)[k].as_py()])
-                for _, hashed, doc in word_hashes(batch.column(1).slice(k, 1)):
+                one = Items([batch.column(3)[k].as_py()], [batch.column(4)[k].as_py()])
+                for _, hashed, doc in word_hashes(batch.column(2).slice(k, 1)):
                     for _, _, t, c in one.matches(hashed, doc):
                         if c >= coverage * one.sizes[0]:
-                            values = [batch.column(0)[k].as_py(), one.item_ids[0], t, c, int(one.sizes[0])]
-                            yield pa.RecordBatch.from_pylist([dict(zip(["doc_id", *NAMES], values, strict=True))], pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), *[(n, pa.int32()) for n in NAMES[1:]]]))
+                            values = [batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), one.item_ids[0], t, c, int(one.sizes[0])]
+                            yield pa.RecordBatch.from_pylist([dict(zip(["k1", "k2", *NAMES], values, strict=True))], pa.schema([*[(n, pa.int64()) for n in ("k1", "k2", "item_id")], *[(n, pa.int32()) for n in NAMES[1:]]]))
 
-    return both.mapInArrow(run, f"doc_id long, {SCHEMA}")
+    return both.mapInArrow(run, f"k1 long, k2 long, {SCHEMA}")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """The documents that no item contaminates, with all their columns; a null text stays."""
+    """The documents that no item contaminates, with all their columns, whatever their names.
+
+    Each row is judged by its own text: a null or repeated id changes nothing, and repeated rows go or stay together.  Null
+    and empty texts stay.  Without documents or items all rows stay.  The index's size decides how texts and items
+    meet, not what goes.
+    """
     items = fitting_items(benchmark, index_bytes)
     if items is None:
-        found = shuffled_matches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, coverage)
-        return attach(docs, stored(found.select("doc_id").distinct()), ["doc_id"], "left_anti")
+        keys = dict(zip(("__contaminated_1", "__contaminated_2"), text_keys(), strict=True))
+        found = shuffled_matches(docs.select(*text_keys(), "text"), benchmark, coverage)
+        gone = stored(found.select(F.col("k1").alias("__contaminated_1"), F.col("k2").alias("__contaminated_2")).distinct())
+        return attach(docs.withColumns(keys), gone, list(keys), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -61,6 +61,17 @@ def test_matches_plain_tiling(spark, make, index_bytes):
     assert {r.doc_id for r in left.collect()} == {r[0] for r in rows} - {e[0] for e in expected} and "seed" in left.columns
 
 
+@pytest.mark.parametrize("index_bytes", [8 << 20, 0])
+def test_rows_are_judged_by_their_own_text(spark, make, index_bytes):
+    item, other = "one two three four five six", "a text that no item has in it at all"
+    benchmark = spark.createDataFrame([(1, item), (2, "seven eight nine ten eleven twelve")], "item_id long, text string")
+    rows = [(4, item), (4, other), (None, item), (None, other), (5, item), (5, item), (6, other), (6, other), (7, None), (8, "")]
+    left = decontamination.drop_contaminated(make(rows, ["k1", "k2", "seed", "row"]), benchmark, index_bytes=index_bytes).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left) == [(0, other), (4, other), (6, other), (6, other), (7, ""), (8, "")]
+    found = decontamination.contaminated(make(rows), benchmark, index_bytes=index_bytes).collect()
+    assert sorted((r.doc_id or 0, r.item_id) for r in found) == [(0, 1), (4, 1), (5, 1), (5, 1)]
+
+
 def test_query_finds_exactly_the_documents_with_passages(spark):
     d = "/root/testdata/sf0.01"
     got = {r.doc_id for r in LLM_QUERIES["op6_string_tiling"](spark, d).collect()}
