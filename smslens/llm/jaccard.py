@@ -31,6 +31,8 @@ COUNTED = 2
 #: Orders besides the first.
 OTHER_ORDERS = 2
 HASH = RollingHash(9)
+#: Stands for a missing id beside a mark.
+NO_ID = -1
 
 
 def token_sets(block: Block, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +127,7 @@ def set_names(token: np.ndarray, counts: np.ndarray) -> list[str | None]:
 
 
 def described(docs: DataFrame, length: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Second pass: docs (doc_id, th, text) with the size and name of the set and its prefix under the first order."""
+    """Second pass: docs (doc_id, th, th2, text) with the size and name of the set and its prefix under the first order."""
     known, weight = frequent
 
     def make(block: Block) -> list[pa.Array]:
@@ -139,7 +141,7 @@ def described(docs: DataFrame, length: int, percent: int, frequent: tuple[np.nda
         first = firsts(token, np.stack([token, late.astype(np.uint64)]), counts, most)
         return [pa.array(counts, pa.int64()), pa.array(names, pa.string()), lists(signed(first), most, pa.int64())]
 
-    return map_texts(docs, ["doc_id", "th"], "n long, class string, prefix array<long>", make)
+    return map_texts(docs, ["doc_id", "th", "th2"], "n long, class string, prefix array<long>", make)
 
 
 def size_fits(a: Column, b: Column, percent: int) -> Column:
@@ -265,7 +267,17 @@ def jaccard_components(docs: DataFrame, length: int = 3, percent: int = 90, id_c
     id takes the component of the equal sets that have one; a set that only such rows have is not compared.
     Repeated rows are equal sets.  An empty table gives no rows; other columns are not read.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
+    return placed_rows(docs, length, percent, id_col, text_col).drop("th", "th2")
+
+
+def row_key(id_col: str, text_col: str) -> dict[str, Column]:
+    """What tells rows apart: the id and two hashes of the text."""
+    return {"doc_id": F.col(id_col).cast("long"), "th": F.xxhash64(F.col(text_col)), "th2": F.xxhash64(F.lit("b"), F.col(text_col))}
+
+
+def placed_rows(docs: DataFrame, length: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """jaccard_components with th and th2, two hashes of the row's text."""
+    base = docs.select(*[c.alias(name) for name, c in row_key(id_col, text_col).items()], F.col(text_col).alias("text"))
     rows = stored(described(base, length, percent, frequent_tokens(base, length, percent)))
     classes = stored(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least")))
     named = classes.where("least is not null").select("class", F.xxhash64("class").alias("node"), F.col("least").alias("doc_id"))
@@ -278,16 +290,38 @@ def jaccard_components(docs: DataFrame, length: int = 3, percent: int = 90, id_c
     least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = linked.join(least, "component").select("class", "component_id", "links")
     known = stored(classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links")))
-    placed = rows.select("doc_id", "n", "class").join(known, "class", "left")
-    return placed.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "class", F.coalesce("links", F.lit(0)).alias("links"))
+    placed = rows.select("doc_id", "n", "class", "th", "th2").join(known, "class", "left")
+    return placed.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "class", F.coalesce("links", F.lit(0)).alias("links"), "th", "th2")
 
 
 def keep_one_of_each(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents whose component has a smaller id; all columns stay.
+    """docs with one row of each component; all columns stay, whatever their names.
 
-    Rows without id stay only if no row with an id is in their component; repeated rows of one id stay once.
+    The row with the smallest id stays; of several with that id the one whose text has the smallest hash.  Rows without id stay
+    only if no row with an id is in their component, one for each set.  Rows are told apart by id and
+    text: another text under the same id is decided by its own component, and repeated rows (same id and text) stay
+    once, any one of them.  Null texts and texts without words are in no component and all stay.  An empty table stays empty.
     """
-    found = jaccard_components(docs, length, percent, id_col, text_col)
-    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct())
-    left = attach(docs, gone, [id_col], "left_anti")
-    return left
+    mine = {"doc_id": "__near_id", "th": "__near_1", "th2": "__near_2"}
+    found = stored(placed_rows(docs, length, percent, id_col, text_col).where("class is not null").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("doc_id").isNull().alias("none"), "th", "th2",
+        F.coalesce(F.col("component_id").cast("string"), "class").alias("component"),
+    ))
+    keys = ["component", "none", "doc_id", "th", "th2"]
+    each = stored(found.groupBy(*keys).agg(F.count("*").alias("n")))
+    least = each.where("not none").groupBy("component").agg(F.min("doc_id").alias("least"))
+    led = each.join(least, "component", "left").where("least is null or (not none and doc_id = least)")
+    first = led.groupBy("component").agg(F.min("th").alias("th"))
+    kept = led.join(first, ["component", "th"], "left_semi").groupBy("component", "none", "doc_id", "th").agg(F.min("th2").alias("th2"))
+    named = lambda df: df.select("none", *[F.col(c).alias(new) for c, new in mine.items()])
+    gone = stored(named(each.join(kept, keys, "left_anti")))
+    again = stored(named(each.join(kept, keys, "left_semi").where("n > 1")))
+
+    marked = docs.withColumns({mine[name]: c for name, c in row_key(id_col, text_col).items()})
+    marked = marked.withColumn("__near_none", F.col("__near_id").isNull()).withColumn("__near_id", F.coalesce("__near_id", F.lit(NO_ID)))
+    on = ["__near_none", *mine.values()]
+    left = attach(marked, gone.withColumnRenamed("none", "__near_none"), on, "left_anti")
+    again = again.withColumnRenamed("none", "__near_none")
+    once = attach(left, again, on, "left_semi").dropDuplicates(on)
+    whole = attach(left, again, on, "left_anti").unionByName(once)
+    return whole.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -84,3 +84,14 @@ def test_edges(make):
     long = " ".join(f"w{i}" for i in range(30_000))
     kept = jaccard.keep_one_of_each(make([(1, long), (2, long + " w5"), (3, "a b c d e"), (9, "A b c d e"), (10, None)], ["node"]))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 10] and "node" in kept.columns
+
+
+def test_rows_are_kept_by_id_and_text(make):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    extra = ["__row", "none", "th", "component", "least"]
+    keep = lambda rows: sorted(((r.doc_id, r.text) for r in jaccard.keep_one_of_each(make(rows, extra)).collect()), key=str)
+    assert keep([(3, a), (5, a), (5, b), (None, a)]) == [(3, a), (5, b)]
+    assert keep([(3, a), (3, a), (3, b), (2, b), (2, None), (2, None), (2, "")]) == sorted([(2, ""), (2, None), (2, None), (2, b), (3, a)], key=str)
+    assert keep([(None, a), (None, a), (None, b), (-1, b)]) == sorted([(-1, b), (None, a)], key=str)
+    assert [t.lower() for _, t in keep([(4, a), (4, a.upper()), (4, a + " ")])] in ([a], [a + " "])
+    assert keep([(9, a + " x"), (9, a + " y")])[0][0] == 9
