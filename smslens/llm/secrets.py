@@ -149,7 +149,7 @@ def joined(pairs: list[tuple[str, Column]]) -> Column:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = FALSE_SHARE) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans.
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
     Assignments whose value has fewer than six characters are dropped.  Spans of different kinds may overlap, except
     that a random one overlaps none of the others.  A null text counts as empty; repeated rows and null ids are
@@ -161,5 +161,5 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = [(kind, F.col(kind)) for kind in KINDS[:3]]
     count = lambda kind: F.size(kind).cast("long").alias(f"n_{kind}")
     return found.select(
-        "doc_id", *[count(k) for k in KINDS], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined([*base, ("random", F.col("random"))]).alias("spans")
+        "doc_id", *[count(k) for k in KINDS[:3]], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined([*base, ("random", F.col("random"))]).alias("spans"), count("random")
     )
