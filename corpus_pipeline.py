@@ -1,7 +1,7 @@
 """Corpus pipeline: from raw documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept.  All but the last return the
-columns they were given.  Rows without id pass the stages that compare documents unless their text alone decides.
+columns they were given.  Rows are judged by their own text; null and repeated ids are told apart by it.
 """
 
 from __future__ import annotations
