@@ -115,13 +115,13 @@ def fill_budget(length: np.ndarray, n: np.ndarray, budget: int) -> np.ndarray:
     open_ = [i for i in order.tolist() if length[i] and free[i]]
     if not left or not open_:
         return take
-    shortest = int(length[open_[-1]])
-    unit = -(-(left + shortest) // CELLS)  # above 1 only where documents of over a million words are left
+    over = min(left, int(length[open_[0]]))  # beyond it, taking nothing is nearer
+    unit = -(-(left + over) // CELLS)  # above 1 only where documents of over a million words are left
     cells = np.maximum(1, (length[open_] + unit // 2) // unit)
     cells, which = np.unique(cells, return_inverse=True)
     room = np.zeros(len(cells), np.int64)
     np.add.at(room, which, free[open_])
-    chosen = knapsack(cells[::-1], room[::-1], -(-left // unit) if unit > 1 else left, (left + shortest) // unit)
+    chosen = knapsack(cells[::-1], room[::-1], -(-left // unit) if unit > 1 else left, (left + over) // unit)
     for j, i in enumerate(open_):
         k = min(int(free[i]), chosen.get(int(cells[which[j]]), 0))
         chosen[int(cells[which[j]])] = chosen.get(int(cells[which[j]]), 0) - k
