@@ -1,10 +1,16 @@
 """Packing documents into token windows by lexical retrieval.
 
-Texts are tokenised once, whole.  Documents are dealt into shards of some thousand, and each shard has its own BM25
-inverted index over token ids, weighted by document frequencies of the whole table.  A seed document opens a
-window; its index returns the unused neighbours by score, and they fill the window greedily.  The best one that
-does not fit is cut there, and what is left of it seeds the next window, so only a shard's last window is padded.
-What fills whole windows of a long document stands alone and is not indexed.
+Texts are tokenised once, whole.  Shards are lexical: a document is signed with a few of its rare terms, each the
+smallest of its terms under one weighted random order (min-hash, a term's chance grows with its rarity), the table is
+sorted by signature over all tasks, and consecutive documents form a shard.  So documents that share rare terms meet at
+any size of the table, a term that too many share is split by the next ones, and terms with few documents fill up
+a shard together.
+
+Each shard has its own BM25 inverted index over token ids, weighted by document frequencies of the whole table.  A
+seed document opens a window; its index scores all its terms and returns the unused neighbours by score, and they
+fill the window greedily.  The best one that does not fit is cut there, and what is left of it seeds the next
+window, so only a shard's last window is padded.  What fills whole windows of a long document stands alone and is
+not indexed.
 """
 
 from __future__ import annotations
@@ -12,35 +18,97 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from smslens.llm.alignment import ranges
 from smslens.llm.common import LOWER, Block, RollingHash, blocks, stored, words
 
 WINDOW = 2048
-#: Documents of a shard on average.
-SHARD_ROWS = 1_500
-#: Heaviest terms of a seed that are looked up, and the best neighbours tried before one is cut.
-QUERY_TERMS, NEIGHBOURS = 16, 48
+#: Most documents of a shard, and most ids (a longer document is a shard of its own).
+SHARD_ROWS, SHARD_IDS = 1_000, 4 << 20
+#: Terms of a signature.
+SIGNED = 4
+#: Best neighbours that are tried before the seed's scores are looked at again.
+NEIGHBOURS = 48
 K1, B = 1.2, 0.75
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 400_000
+#: Words whose ids a worker keeps, and words of one letter run that are encoded as one string.
+KEPT_WORDS, RUN_WORDS = 400_000, 256
 HASH = RollingHash(3)
-TOKENIZERS: dict[str, tuple] = {}
+TOKENIZERS: dict[str, WordIds] = {}
 
 
-def tokenizer(path: str) -> tuple:
-    """The worker's tokenizer and its ids of words seen before."""
-    if path not in TOKENIZERS:
+class WordIds:
+    """A tokenizer and the ids of words seen before: word k has ids[begin[k] : begin[k + 1]]."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        TOKENIZERS[path] = (Tokenizer.from_file(path), {})
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        if len(vocabulary) > 1 << 16:
+            raise ValueError("ids of more than 16 bits")
+        self.closes = np.zeros(1 << 16, bool)  # ids that end a run of letters
+        self.closes[[i for name, i in vocabulary.items() if name.endswith("</w>")]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.ids, self.begin = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and their counts."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
+
+    def learn(self, new: list[bytes]) -> None:
+        """Words of letters alone end in one closing id each, so many are encoded as one string and told apart by it.
+        A run in which that does not hold, and words with other characters, are encoded word by word."""
+        texts = [w.decode() for w in new]
+        plain = [k for k, t in enumerate(texts) if t.isalpha()]
+        other = [k for k, t in enumerate(texts) if not t.isalpha()]
+        runs = [plain[k : k + RUN_WORDS] for k in range(0, len(plain), RUN_WORDS)]
+        ids, counts = self.encoded([" ".join([texts[k] for k in run]) for run in runs])
+        parts, order, size, at = [], [], [], 0
+        for run, n in zip(runs, counts.tolist(), strict=True):
+            mine, at = ids[at : at + n], at + n
+            last = np.flatnonzero(self.closes[mine])
+            if len(last) == len(run) and last[-1] == n - 1:
+                parts.append(mine)
+                order += run
+                size.append(np.diff(last, prepend=-1))
+            else:
+                other += run
+        ids, counts = self.encoded([texts[k] for k in other])
+        begin, first = self.begin[-1][-1], sum(map(len, self.begin)) - 1
+        self.ids += [*parts, ids]
+        self.begin.append(begin + np.cumsum(np.concatenate([*size, counts])))
+        self.number.update(zip([new[k] for k in order + other], range(first, first + len(new)), strict=True))
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All kept ids, and where each of the words begins and ends there."""
+        new = [w for w in words if w not in self.number]
+        if len(self.number) + len(new) > KEPT_WORDS:
+            self.clear()
+            new = words
+        if new:
+            self.learn(new)
+        self.ids, self.begin = [np.concatenate(self.ids)], [np.concatenate(self.begin)]
+        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return self.ids[0], self.begin[0][which], self.begin[0][which + 1]
+
+
+def tokenizer(path: str) -> WordIds:
+    """The worker's tokenizer."""
+    if path not in TOKENIZERS:
+        TOKENIZERS[path] = WordIds(path)
     return TOKENIZERS[path]
 
 
@@ -54,13 +122,15 @@ ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 def pieces_of_words(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, starts, ends and documents of words without their closing marks, and of the marks.
 
-    A word's first ASCII letter is lower-cased, as the tokenizer would; both make more words alike.
+    A word's first ASCII letter is lower-cased, as the tokenizer would, unless a character that could join it
+    follows; both make more words alike.
     """
     starts, ends, doc = words(block)
     if not len(starts):
         return block.data, starts, ends, doc
     lower = block.data.copy()
-    lower[starts] = LOWER[lower[starts]]
+    first = starts[(ends - starts == 1) | (lower[np.minimum(starts + 1, len(lower) - 1)] < 128)]
+    lower[first] = LOWER[lower[first]]
     body = np.maximum.accumulate(np.where(MARK[lower], -1, np.arange(len(lower))))[ends - 1]
     split = (body >= starts) & (body < ends - 1)
     split[split] = ALNUM[lower[body[split]]]
@@ -76,20 +146,11 @@ def block_ids(block: Block, path: str, end_id: int) -> tuple[np.ndarray, np.ndar
 
     The tokenizer drops ASCII white space and never joins across it, so each distinct word is encoded once.
     """
-    encode, known = tokenizer(path)
     lower, starts, ends, doc = pieces_of_words(block)
     _, first, which = np.unique(HASH.spans(HASH.sums(lower), starts, ends), return_index=True, return_inverse=True)
     data = lower.tobytes()
-    distinct = [data[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-    new = [w for w in distinct if w not in known]
-    if len(known) + len(new) > KEPT_WORDS:
-        known.clear()
-        new = distinct
-    known.update(zip(new, (e.ids for e in encode.encode_batch([w.decode() for w in new], add_special_tokens=False)), strict=True))
-    ids = [known[w] for w in distinct]
-    length = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((x for i in ids for x in i), np.int64, int(length.sum()))
-    begin = np.cumsum(length) - length
+    flat, begin, end = tokenizer(path).look_up([data[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+    length = end - begin
     # every word's ids, with one place left at the end of each document
     taken = length[which] if len(which) else np.zeros(0, np.int64)
     counts = np.bincount(doc, taken, block.size).astype(np.int64) + 1
@@ -105,8 +166,6 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), 0
-        if tokenizer(path)[0].get_vocab_size() > 1 << 16:
-            raise ValueError("ids of more than 16 bits")
         for batch in batches:
             for block in blocks(batch.column(1)):
                 ids, counts = block_ids(block, path, end_id)
@@ -153,21 +212,21 @@ class InvertedIndex:
         self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.unit] / max(mean, 1)))
         terms, self.start = np.unique(term, return_index=True)
         self.end = np.r_[self.start[1:], len(term)]
-        # the heaviest terms of each unit that another unit shares
+        # the terms of each unit that another unit shares
         slot = np.searchsorted(terms, term)
         own = np.flatnonzero(self.end[slot] - self.start[slot] > 1)
-        own = own[np.lexsort((-self.weight[own], self.unit[own]))]
-        at = np.searchsorted(self.unit[own], np.arange(self.n + 1))
-        self.query = [slot[own[a : min(b, a + QUERY_TERMS)]] for a, b in zip(at, at[1:], strict=False)]
-
-    def neighbours(self, unit: int, unused: np.ndarray) -> np.ndarray:
-        """Unused units by falling score; units without a shared term are absent."""
-        slots = self.query[unit]
-        if not len(slots):
-            return slots
-        parts = [np.arange(a, b) for a, b in zip(self.start[slots].tolist(), self.end[slots].tolist(), strict=True)]
-        rows = np.concatenate(parts)
-        score = np.bincount(self.unit[rows], self.weight[rows], self.n) * unused
+        own = own[np.argsort(self.unit[own], kind="stable")]
+        self.slot, self.at = slot[own], np.searchsorted(self.unit[own], np.arange(self.n + 1))
+
+    def scores(self, unit: int) -> np.ndarray:
+        """Every unit's score for all terms of one unit."""
+        slots = self.slot[self.at[unit] : self.at[unit + 1]]
+        rows = ranges(self.start[slots], self.end[slots] - self.start[slots])
+        return np.bincount(self.unit[rows], self.weight[rows], self.n)
+
+    def neighbours(self, scores: np.ndarray, unused: np.ndarray) -> np.ndarray:
+        """The best unused units by falling score; units without a shared term are absent."""
+        score = scores * unused
         best = np.argpartition(-score, NEIGHBOURS)[:NEIGHBOURS] if self.n > NEIGHBOURS else np.arange(self.n)
         best = best[score[best] > 0]
         return best[np.lexsort((best, -score[best]))]
@@ -200,9 +259,9 @@ def pack_shard(doc_ids: list, tokens: list[np.ndarray], idf: np.ndarray, mean: f
             unused[seed] = False
         filled = length[seed] - taken
         pieces.append((rows[seed], begin[seed] + taken, filled, sequence, 0))
-        spare, seed_ = None, seed
+        spare, scores = None, index.scores(seed) if filled < window else None
         while filled < window:
-            near = index.neighbours(seed_, unused).tolist()
+            near = index.neighbours(scores, unused).tolist()
             fits = False
             for unit in near:
                 if length[unit] <= window - filled:
@@ -233,6 +292,35 @@ def pack_shard(doc_ids: list, tokens: list[np.ndarray], idf: np.ndarray, mean: f
         sequence += 1
 
 
+def term_orders(df: np.ndarray, idf: np.ndarray) -> list[np.ndarray]:
+    """Ranks of the terms under SIGNED random orders in which a term comes first with a chance in proportion to its idf.
+
+    Terms that fewer than two documents hold come last: no other document can share them.
+    """
+    rng = np.random.default_rng(5)
+    orders = []
+    for _ in range(SIGNED):
+        wait = np.where(df > 1, rng.exponential(size=len(df)) / np.maximum(idf, 1e-6), np.inf)
+        rank = np.empty(len(df), np.uint16)
+        rank[np.argsort(wait, kind="stable")] = np.arange(len(df))
+        orders.append(rank)
+    return orders
+
+
+def signed(tokens: DataFrame, orders: list[np.ndarray]) -> DataFrame:
+    """tokens (doc_id, spread, ids) with the smallest ranks s0, s1, ... of their terms; every document has a closing id."""
+    names = [f"s{k}" for k in range(len(orders))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = np.array([[order[ids].min() for order in orders] for ids in (np.frombuffer(x.as_buffer(), "<u2") for x in batch.column(2))], np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c) for c in found.T]], ["doc_id", "spread", "ids", *names])
+
+    return tokens.select("doc_id", "spread", "ids").mapInArrow(run, "doc_id long, spread long, ids binary, " + ", ".join(f"{s} int" for s in names))
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, shard, and ids if asked for.
 
@@ -240,25 +328,41 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, with_i
     without gaps.  A null text counts as empty and has its closing id only.  Repeated rows and null ids are packed
     row by row.  An empty table gives no rows; other columns are not read.
     """
+    spark = docs.sparkSession
     tokens = stored(tokenized(docs, tokenizer_path, end_id, id_col, text_col))
     df, rows, mean = token_frequencies(tokens)
     idf = np.log1p((rows - df + 0.5) / (df + 0.5)).astype(np.float32)
-    shards = max(1, -(-rows // shard_rows))
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (2 * shard_rows)))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, shard long"
     schema += ", ids array<int>" if with_ids else ""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("spread")
-        arrays = [np.frombuffer(x, "<u2") for x in pdf["ids"]]
-        shard = int(pdf["shard"].iloc[0])
-        pieces = pack_shard(pdf["doc_id"].tolist(), arrays, idf, mean)
+    def packed(doc_ids: list, arrays: list[np.ndarray], shard: int) -> pa.RecordBatch:
+        pieces = pack_shard(doc_ids, arrays, idf, mean)
         cut = [arrays[r][s : s + n].astype("<u4") for r, s, n, _, _ in pieces]
-        row = np.array([p[0] for p in pieces], np.int64)
-        out = pd.DataFrame({
-            "doc_id": pdf["doc_id"].array[row], "start": [p[1] for p in pieces], "length": [p[2] for p in pieces], "ids_crc32": [zlib.crc32(c.tobytes()) for c in cut],
-            "doc_tokens": np.array([len(a) for a in arrays], np.int64)[row], "sequence_id": [(shard << 32) + p[3] for p in pieces], "offset": [p[4] for p in pieces], "shard": shard,
-        })
-        return out.assign(ids=[c.astype(np.int32) for c in cut]) if with_ids else out
-
-    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("spread"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(pack, schema)
+        columns = [
+            pa.array([doc_ids[p[0]] for p in pieces], pa.int64()), pa.array([p[1] for p in pieces], pa.int64()), pa.array([p[2] for p in pieces], pa.int64()),
+            pa.array([zlib.crc32(c.tobytes()) for c in cut], pa.int64()), pa.array([len(arrays[p[0]]) for p in pieces], pa.int64()),
+            pa.array([(shard << 24) + p[3] for p in pieces], pa.int64()), pa.array([p[4] for p in pieces], pa.int64()), pa.array([shard] * len(pieces), pa.int64()),
+        ]
+        if with_ids:
+            columns.append(pa.array([c.astype(np.int32) for c in cut], pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, doc_ids, arrays, held = TaskContext.get().partitionId() << 20, [], [], 0
+        for batch in batches:
+            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                array = np.frombuffer(ids.as_py(), "<u2")
+                if arrays and (len(arrays) == shard_rows or held + len(array) > SHARD_IDS):
+                    yield packed(doc_ids, arrays, shard)
+                    shard, doc_ids, arrays, held = shard + 1, [], [], 0
+                doc_ids.append(doc_id)
+                arrays.append(array)
+                held += len(array)
+        if arrays:
+            yield packed(doc_ids, arrays, shard)
+
+    order = [*[f"s{k}" for k in range(SIGNED)], "spread"]
+    dealt = signed(tokens, term_orders(df, idf)).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return dealt.select("doc_id", "ids").mapInArrow(pack, schema)

@@ -61,11 +61,10 @@ def test_neighbours_match_plain_bm25():
     index = packing.InvertedIndex(units, idf, 20.0)
     weight = lambda t, u: idf[t] * (n := (units[u] == t).sum()) * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(units[u]) / 20))
     for seed in range(30):
-        shared = [t for t in set(units[seed].tolist()) if sum((u == t).any() for u in units) > 1]
-        query = sorted(shared, key=lambda t: -weight(t, seed))[: packing.QUERY_TERMS]
+        query = set(units[seed].tolist())
         unused = np.arange(30) != seed
         score = np.array([sum(weight(t, u) for t in query) if u != seed else 0 for u in range(30)])
-        got = index.neighbours(seed, unused)
+        got = index.neighbours(index.scores(seed), unused)
         assert np.allclose(score[got], np.sort(score)[::-1][: len(got)]) and len(got) == (score > 0).sum()
 
 
