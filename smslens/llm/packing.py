@@ -332,7 +332,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, with_i
     tokens = stored(tokenized(docs, tokenizer_path, end_id, id_col, text_col))
     df, rows, mean = token_frequencies(tokens)
     idf = np.log1p((rows - df + 0.5) / (df + 0.5)).astype(np.float32)
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (2 * shard_rows)))
+    # as many tasks as the session asks for, but more where a task would get more than 64 shards
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (2 * shard_rows)), rows // (64 * shard_rows))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, shard long"
     schema += ", ids array<int>" if with_ids else ""
     names = [f.split(" ")[0] for f in schema.split(", ")]
