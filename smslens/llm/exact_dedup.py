@@ -6,8 +6,11 @@ in memory.  A bucket that fits is read into an open-addressing table which compa
 
 Two kinds of bucket need no further splitting by hash.  A hash that one record has is settled where it is read:
 its content is not moved.  A single hash value whose records exceed the limit (many copies of one text) cannot
-be split by digits; its records are dealt by position, each part keeps one record per content, and the kept ones
-are deduplicated again as records of their own.
+be split by digits; its records are dealt at random, each part keeps one record per content, and the kept ones
+are deduplicated again as records of their own.  A part gets some eight records at least, however long they are, so
+that each round leaves an eighth of the copies of a text: a table never holds more than the limit or a few texts.
+
+The hash is one of the text's SHA-256, so that nobody can make many texts of one hash.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from smslens.llm.common import attach, stored, text_or_empty
 BUCKET_BYTES, RECORD_BYTES = 16 << 20, 256
 #: Bits of the hash used by each level.
 DIGIT_BITS = 6
+#: Records of one hash that meet in a table, whatever their length.
+TOGETHER = 8
 SPACES = " \t\n\u000b\f\r"
 
 
@@ -70,25 +75,29 @@ def table_pass(pdf: pd.DataFrame) -> pd.DataFrame:
 SETTLED = "row string, doc_id long, h long, length long, keep_row string, keep_id long, weight long, content binary"
 
 
-def bucket_plan(sizes: DataFrame, limit: int) -> DataFrame:
-    """(h, bucket, parts) of sizes (h, bytes): digits of h are added until a bucket fits or holds one hash value."""
+def bucket_plan(sizes: DataFrame, limit: int, together: int = TOGETHER) -> DataFrame:
+    """(h, bucket, parts) of sizes (h, n, bytes): digits of h are added until a bucket fits or holds one hash value.
+
+    A hash value above the limit gets parts of the limit's size, but none of fewer than `together` records on average.
+    """
     digit = lambda level: F.shiftrightunsigned("h", level * DIGIT_BITS).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)).cast("string")
-    open_, done = sizes.select("h", "bytes", digit(0).alias("bucket")), None
+    open_, done = sizes.select("h", "n", "bytes", digit(0).alias("bucket")), None
     for level in range(1, 11):
         totals = open_.groupBy("bucket").agg(F.sum("bytes").alias("total"), F.count("*").alias("hashes"))
         over = totals.where((F.col("total") > limit) & (F.col("hashes") > 1)).select("bucket", F.lit(True).alias("over"))
         marked = stored(open_.join(over, "bucket", "left"))
         fits = marked.where("over is null").drop("over")
         done = fits if done is None else done.unionByName(fits)
-        open_ = marked.where("over").select("h", "bytes", F.concat("bucket", F.lit("."), digit(level)).alias("bucket"))
+        open_ = marked.where("over").select("h", "n", "bytes", F.concat("bucket", F.lit("."), digit(level)).alias("bucket"))
         if marked.where("over").isEmpty():
             break
-    return stored(done.unionByName(open_).select("h", "bucket", F.ceil(F.col("bytes") / limit).cast("int").alias("parts")))
+    parts = F.least(F.ceil(F.col("bytes") / limit), F.ceil(F.col("n") / together)).cast("int")
+    return stored(done.unionByName(open_).select("h", "bucket", parts.alias("parts")))
 
 
-def settle(records: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
+def settle(records: DataFrame, sizes: DataFrame, limit: int, together: int = TOGETHER) -> DataFrame:
     """Records (row, doc_id, h, length, weight, content) with keep_row, keep_id and weight of their content."""
-    plan = bucket_plan(sizes, limit)
+    plan = bucket_plan(sizes, limit, together)
     dealt = attach(records, plan, ["h"], "inner").withColumn("part", F.pmod(F.xxhash64("row"), F.greatest("parts", F.lit(1))))
     out = stored(dealt.groupBy("bucket", "part").applyInPandas(table_pass, SETTLED))
     kept = out.where("content is not null").select("row", "doc_id", "h", "length", "weight", "content")
@@ -97,7 +106,8 @@ def settle(records: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
     sizes = stored(kept.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.octet_length("content") + RECORD_BYTES).alias("bytes")))
     before = out.join(plan.where("parts > 1"), "h", "left_semi").count()
     shrunk = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] < before
-    upper = settle(kept, sizes, limit if shrunk else 1 << 62)
+    # nothing found: a hash has many contents, twice as many records meet in the next round
+    upper = settle(kept, sizes, limit, together if shrunk else 2 * together)
     upper = stored(upper.select(F.col("row").alias("keep_row"), F.col("keep_row").alias("top"), F.col("keep_id").alias("top_id"), F.col("weight").alias("top_weight")))
     merged = attach(out, upper, ["keep_row"])
     merged = merged.withColumn("keep_id", F.when(F.col("top").isNull(), F.col("keep_id")).otherwise(F.col("top_id")))
@@ -115,13 +125,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     text = text_or_empty(text_col)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("original"), F.translate(text, SPACES, "").alias("normal"))
-    base = base.withColumn("h", F.xxhash64("normal")).withColumn("length", F.char_length("original").cast("long"))
+    base = base.withColumn("text_sha256", F.sha2(F.col("normal").cast("binary"), 256))
+    base = base.withColumn("h", F.xxhash64("text_sha256")).withColumn("length", F.char_length("original").cast("long"))
     key = [F.hex(F.xxhash64(F.lit(i), "doc_id", F.col("doc_id").isNull(), "original")) for i in (1, 2)]
     base = base.withColumn("row", F.concat(*key))
-    narrow = base.select("row", "doc_id", "h", "length", (F.octet_length("normal").cast("long") + RECORD_BYTES).alias("bytes"), F.sha2(F.col("normal").cast("binary"), 256).alias("text_sha256"))
+    narrow = base.select("row", "doc_id", "h", "length", (F.octet_length("normal").cast("long") + RECORD_BYTES).alias("bytes"), "text_sha256")
     # identical rows are one record with a weight
     narrow = stored(narrow.groupBy("row", "doc_id", "h", "length", "bytes", "text_sha256").agg(F.count("*").alias("copies")))
-    sizes = stored(narrow.groupBy("h").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1").select("h", "bytes"))
+    sizes = stored(narrow.groupBy("h").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1"))
     # identical rows cannot be dealt apart: they are added up before they are dealt
     several = attach(base, sizes.select("h"), ["h"], "left_semi")
     records = several.groupBy("row", "doc_id", "h", "length", F.col("normal").cast("binary").alias("content")).agg(F.count("*").alias("weight"))

@@ -121,6 +121,15 @@ LLM_QUERIES: dict[str, Query] = {
 
 #: DuckDB SQL of the queries that SQL can express.
 LLM_SQL: dict[str, str] = {
+    "op7_grace_dedup": r"""
+        WITH base AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents
+        ), ranked AS (
+            SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+                   row_number() OVER best AS place, first_value(doc_id) OVER best AS keep_id
+            FROM base WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)
+        )
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked""",
     "op12_segment_summaries": """
         WITH v AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -62,6 +62,27 @@ def test_hot_empty_texts_are_dealt_out(make, monkeypatch):
     assert {(r.keep_id, r.group_size) for r in got if r.doc_id != 2000} == {(1, 3000)}
 
 
+def test_tables_stay_small_where_texts_are_longer_than_the_limit(make, monkeypatch):
+    whole = exact_dedup.table_pass
+
+    def small(pdf):
+        assert len(pdf) <= 40  # eight on average
+        return whole(pdf)
+
+    monkeypatch.setattr(exact_dedup, "table_pass", small)
+    rows = [(i, f"{'long' if i % 3 else 'other'} " * 400 + " " * (i == 77)) for i in range(300)]
+    got = exact_dedup.exact_groups(make(rows), limit=500).collect()
+    assert {(r.keep_id, r.group_size) for r in got} == {(0, 100), (77, 200)} and sum(r.kept for r in got) == 2
+
+
+def test_many_contents_of_one_hash_end(spark):
+    rows = [(f"r{i:03}", i, 5, 4, 1, f"t{i % 40:03}".encode()) for i in range(120)]
+    records = spark.createDataFrame(rows, "row string, doc_id long, h long, length long, weight long, content binary")
+    sizes = spark.createDataFrame([(5, 120, 120 * 260)], "h long, n long, bytes long")
+    got = exact_dedup.settle(records, sizes, 300, together=2).select("row", "doc_id", "keep_id", "weight").collect()
+    assert len(got) == 120 and all(r.keep_id == r.doc_id % 40 and r.weight == 3 for r in got)
+
+
 def test_equal_hashes_are_told_apart_by_content():
     table = exact_dedup.OpenTable(4)
     assert [table.number(7, c) for c in (b"a", b"b", b"a", b"b", b"c")] == [0, 1, 0, 1, 2]
