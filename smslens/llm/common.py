@@ -19,8 +19,8 @@ from smslens.session import shared_folder
 
 #: Bytes of text worked on at once; one longer document is a block of its own.
 BLOCK_BYTES = 2 << 20
-#: Rows that a joined side may have to be broadcast (about 40 bytes a row are assumed in the callers).
-BROADCAST_ROWS = 200_000
+#: Rows and bytes that a joined side may have to be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 #: Rows in one Arrow batch: documents may be very long.
 ARROW_ROWS = "1000"
 
@@ -53,10 +53,16 @@ def tidy(spark: SparkSession) -> None:
 def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a narrow table of unique keys to left.
 
-    right should be stored: it is counted first and broadcast only up to max_rows rows.  Above that both sides are
-    shuffled, and adaptive execution may split a hot key on the left because right has one row for it.
+    right should be stored: its rows and bytes are counted first and it is broadcast only up to max_rows rows and
+    BROADCAST_BYTES.  Above that both sides are shuffled, and adaptive execution may split a hot key on the left
+    because right has one row for it.
     """
-    fits = right.count() <= max_rows
+    width = F.lit(0).cast("long")
+    for name, kind in right.dtypes:
+        long = F.size(name) * 8 if kind.startswith("array") else F.octet_length(name) if kind in ("string", "binary") else F.lit(0)
+        width += 8 + F.coalesce(long, F.lit(0))
+    rows, size = right.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    fits = rows <= max_rows and size <= BROADCAST_BYTES
     return left.join(F.broadcast(right) if fits else right.hint("shuffle_merge"), keys, how)
 
 

@@ -114,7 +114,7 @@ def parsed(docs: DataFrame) -> DataFrame:
 
 def cut_ranges(docs: DataFrame, ranges: DataFrame, strings: int) -> DataFrame:
     """The parse of ranges (doc_id, range, row), each cut into pieces of so many strings."""
-    listed = stored(ranges.groupBy("doc_id", "row").agg(F.collect_list("range").alias("ranges")))
+    listed = stored(ranges.groupBy("doc_id", "row").agg(F.collect_set("range").alias("ranges")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,7 +204,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), text_or_empty(text_col).alias("text")).select("doc_id", row_key(), "text")
     ranges = repeated_ranges(base)
-    listed = stored(ranges.groupBy("doc_id", "row").agg(F.collect_list("range").alias("ranges")))
+    listed = stored(ranges.groupBy("doc_id", "row").agg(F.collect_set("range").alias("ranges")))
     tidy(docs.sparkSession)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
 

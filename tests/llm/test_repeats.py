@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from smslens.llm import repeats
+from smslens.llm import common, repeats
 from smslens.llm.queries import LLM_QUERIES
 
 
@@ -76,3 +76,21 @@ def test_many_texts_without_id_keep_their_own_ranges(make):
     want = {text: "".join(c for i, c in enumerate(text) if i not in lost) for text, lost in zip(texts, gone, strict=True)}
     got = repeats.strip_repeats(make([(None, text) for text in texts]), with_text=True).collect()
     assert sorted((r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == sorted((len(t), len(t) - len(k), k.encode()) for t, k in want.items())
+
+
+def test_repeated_rows_share_one_list_of_ranges(make, monkeypatch):
+    text = "".join(random.Random(7).choices("abcdefgh", k=2000))
+    rows = [(1, text[500:1500])] + [(None, text)] * 200
+    base = make(rows).selectExpr("coalesce(cast(doc_id as long), 9) as doc_id", "xxhash64(text) as row", "text")
+    lists = repeats.repeated_ranges(base).groupBy("doc_id", "row").agg({"range": "count"}).collect()
+    assert len(lists) == 1  # the copies are one row
+    got = repeats.strip_repeats(make(rows)).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans) for r in got) == [(1000, 0, 0)] + [(2000, 1000, 1)] * 200
+
+
+def test_wide_rows_are_not_broadcast(make, monkeypatch):
+    left, right = make([(i, "x") for i in range(40)]), common.stored(make([(i, "y" * 500) for i in range(40)]).withColumnRenamed("text", "wide"))
+    plan = lambda: common.attach(left, right, ["doc_id"])._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 10_000)
+    assert "BroadcastHashJoin" not in plan() and common.attach(left, right, ["doc_id"]).where("wide is not null").count() == 40
