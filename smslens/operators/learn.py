@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, IndexToString, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
@@ -26,15 +26,17 @@ def training_readiness(classified: DataFrame, min_confidence: float = 0.8, min_e
 
 
 def fit_text_classifier(rows: DataFrame, text_col: str = "template_text", label_col: str = "label", features: int = 1 << 16) -> PipelineModel:
-    """Flat classifier over all labels: hashed words, inverse document frequency, logistic regression."""
-    stages = [
-        StringIndexer(inputCol=label_col, outputCol="label_index", stringOrderType="alphabetAsc"),
-        Tokenizer(inputCol=text_col, outputCol="words"),
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="label_index", maxIter=30, regParam=0.01),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    """Flat classifier over all labels: hashed words, inverse document frequency, logistic regression.
+
+    Every stage reads all rows, so the texts are hashed once and the stages are fitted on the stored word counts.
+    """
+    tokens, counts = Tokenizer(inputCol=text_col, outputCol="words"), HashingTF(inputCol="words", outputCol="tf", numFeatures=features)
+    shared_folder(rows.sparkSession)
+    hashed = counts.transform(tokens.transform(rows.select(label_col, text_col))).select(label_col, "tf").checkpoint()
+    index = StringIndexer(inputCol=label_col, outputCol="label_index", stringOrderType="alphabetAsc").fit(hashed)
+    idf = IDF(inputCol="tf", outputCol="features").fit(hashed)
+    fitted = LogisticRegression(featuresCol="features", labelCol="label_index", maxIter=30, regParam=0.01).fit(idf.transform(index.transform(hashed)))
+    return PipelineModel(stages=[index, tokens, counts, idf, fitted])
 
 
 def predict_labels(model: PipelineModel, rows: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -20,3 +20,18 @@ def test_threshold_curve(spark):
     got = {(r.label, round(r.threshold, 2)): (r.predicted, r.correct, r.precision, r.recall) for r in learn.threshold_curve(df, steps=10).collect()}
     assert got[("a", 0.0)] == (3, 2, 2 / 3, 2 / 3) and got[("a", 0.5)] == (3, 2, 2 / 3, 2 / 3) and got[("a", 0.6)] == (2, 2, 1.0, 2 / 3)
     assert got[("b", 0.3)] == (0, 0, None, 0.0) and len(got) == 20
+
+
+def test_fitting_reads_every_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for f in frames:
+            read.add(len(f))
+            yield f
+
+    df = spark.createDataFrame([(f"a::{i % 3}", f"word{i % 3} other{i} same") for i in range(60)], "label string, template_text string")
+    model = learn.fit_text_classifier(df.mapInPandas(seen, df.schema), features=1 << 10)
+    assert read.value == 60
+    got = learn.predict_labels(model, df).collect()
+    assert all(r.predicted_label == r.label for r in got)
