@@ -147,7 +147,9 @@ def block_ids(block: Block, path: str, end_id: int) -> tuple[np.ndarray, np.ndar
     The tokenizer drops ASCII white space and never joins across it, so each distinct word is encoded once.
     """
     lower, starts, ends, doc = pieces_of_words(block)
-    _, first, which = np.unique(HASH.spans(HASH.sums(lower), starts, ends), return_index=True, return_inverse=True)
+    distinct, which = np.unique(HASH.spans(HASH.sums(lower), starts, ends), return_inverse=True)
+    first = np.empty(len(distinct), np.int64)  # one place of each word; asking unique for the first would cost a slower sort
+    first[which] = np.arange(len(which))
     data = lower.tobytes()
     flat, begin, end = tokenizer(path).look_up([data[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
     length = end - begin
@@ -186,7 +188,7 @@ def token_frequencies(tokens: DataFrame) -> tuple[np.ndarray, int, float]:
         for batch in batches:
             for ids in batch.column(0):
                 each = np.frombuffer(ids.as_buffer(), "<u2")
-                df[np.unique(each)] += 1
+                df[each] += 1  # once for each id: repeated places are set to the same value
                 rows, length = rows + 1, length + len(each)
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[held, -1, -2]), pa.array(np.r_[df[held], rows, length])], ["id", "n"])

@@ -73,3 +73,9 @@ def test_related_documents_share_windows():
     pieces = packing.pack_shard(list(range(15)), units, np.ones(1 << 16), 401.0)
     first = {p[0] // 5 for p in pieces if p[3] == 0}
     assert len(first) <= 2 and sum(p[2] for p in pieces) == 15 * 401
+
+
+def test_an_id_counts_once_a_document(spark):
+    rows = [np.array(x, "<u2").tobytes() for x in ([5, 5, 7, 1], [5, 1], [9] * 50 + [1])]
+    df, n, mean = packing.token_frequencies(spark.createDataFrame([(bytearray(x),) for x in rows], "ids binary"))
+    assert [int(df[k]) for k in (1, 5, 7, 9)] == [3, 2, 1, 1] and df.sum() == 7 and n == 3 and mean == 57 / 3
