@@ -210,6 +210,22 @@ def most_apart(n: int, percent: int) -> int:
     return int(n * (1 + 100 / percent) * (100 - percent) / (100 + percent)) + 1
 
 
+def met_by_difference(differing: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of one head in different components, whose differences from it share a token.
+
+    differing: (head, node, component, diff), near: the same pairs with (x, apart).  Each token of a difference becomes
+    a row of fixed width; that two nodes share so many of them is a count, so no difference is carried along with its tokens.
+    """
+    keyed = differing.select("head", "node", "component", F.explode("diff").alias("d"))
+    other = keyed.select("head", "d", F.col("node").alias("node2"), F.col("component").alias("component2"))
+    met = keyed.join(other, ["head", "d"]).where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")))
+    met = met.groupBy("head", "node", "node2").agg(F.count("*").alias("common"))
+    side = near.select("head", "node", "x", "apart")
+    met = met.join(side, ["head", "node"]).join(side.withColumnsRenamed({"node": "node2", "x": "x2", "apart": "apart2"}), ["head", "node2"])
+    apart = F.col("apart") + F.col("apart2") - 2 * F.col("common")
+    return met.where(links_at(apart, F.col("x"), F.col("x2"), percent)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+
+
 def prefix_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) and their components among the nodes of posted (token, node, x), whose prefixes share a token.
 
@@ -229,21 +245,23 @@ def prefix_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: i
     found = components(links)
     place = lambda df: df.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    near = measured.where("diff is not null").select(F.col("a").alias("head"), F.col("b").alias("node"), F.col("b_n").alias("x"), "apart", "diff")
-    near = stored(place(near))
-    keyed = near.select("*", F.explode("diff").alias("d"))
-    other = keyed.select("head", "d", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "apart", "diff", "component")])
-    close = keyed.join(other, ["head", "d"]).where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")))
-    apart = F.col("apart") + F.col("apart2") - 2 * F.size(F.array_intersect("diff", "diff2"))
-    close = stored(close.where(links_at(apart, F.col("x"), F.col("x2"), percent)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
+    ends = lambda df: df.withColumnsRenamed({"a": "head", "b": "node", "b_n": "x"})
+    near = place(ends(measured.where("diff is not null").select("a", "b", "b_n", "apart")))
+    near = stored(near)
+    mixed_heads = near.groupBy("head").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("head")
+    near = stored(near.join(mixed_heads, "head"))  # the others have nothing left to decide
+    differing = ends(measured.select("a", "b", "diff"))
+    close = stored(met_by_difference(attach(differing, near, ["head", "node"], "inner"), near, percent))
 
     # 0 unknown (sizes too unlike to be held against the head), 1 close, 2 near, 3 far
     limit = F.col("b_n") * (1 + 100 / percent) * (100 - percent) / (100 + percent) + 1
     rank = F.when(F.col("diff").isNull(), 3).when(F.col("apart") <= limit, 1).otherwise(2)
     ranks = stored(measured.select(F.col("a").alias("head"), F.col("b").alias("node"), rank.alias("rank")))
-    placed = place(shared)
-    split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    ranked = placed.join(split, "token").join(ranks, ["head", "node"], "left")
+    tidy(posted.sparkSession)
+    split = place(shared.select("token", "node")).groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    split = stored(split)  # few groups are left, so that the other joins move little
+    tidy(posted.sparkSession)
+    ranked = place(attach(shared, split, ["token"], "left_semi")).join(ranks, ["head", "node"], "left")
     open_ = stored(ranked.withColumn("rank", F.when(F.col("node") == F.col("head"), 1).otherwise(F.coalesce("rank", F.lit(0)))))
     other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "component", "rank")])
     decided = (F.col("rank").isin(1, 2) & F.col("rank2").isin(1, 2)) | ((F.col("rank") == 1) & (F.col("rank2") == 3)) | ((F.col("rank") == 3) & (F.col("rank2") == 1))
@@ -278,7 +296,9 @@ def row_key(id_col: str, text_col: str) -> dict[str, Column]:
 def placed_rows(docs: DataFrame, length: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """jaccard_components with th and th2, two hashes of the row's text."""
     base = docs.select(*[c.alias(name) for name, c in row_key(id_col, text_col).items()], F.col(text_col).alias("text"))
-    rows = stored(described(base, length, percent, frequent_tokens(base, length, percent)))
+    frequent = frequent_tokens(base, length, percent)
+    tidy(docs.sparkSession)
+    rows = stored(described(base, length, percent, frequent))
     classes = stored(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least")))
     named = classes.where("least is not null").select("class", F.xxhash64("class").alias("node"), F.col("least").alias("doc_id"))
     nodes = stored(rows.select("class", "doc_id", "th", "n").join(named, ["class", "doc_id"]).dropDuplicates(["class"]))

@@ -95,3 +95,15 @@ def test_rows_are_kept_by_id_and_text(make):
     assert keep([(None, a), (None, a), (None, b), (-1, b)]) == sorted([(-1, b), (None, a)], key=str)
     assert [t.lower() for _, t in keep([(4, a), (4, a.upper()), (4, a + " ")])] in ([a], [a + " "])
     assert keep([(9, a + " x"), (9, a + " y")])[0][0] == 9
+
+
+def test_differences_are_not_carried_with_their_tokens(spark):
+    """A row of a difference goes to the join once for each of its tokens, so it must not hold the whole difference."""
+    schema = "head long, node long, component long, x long, apart long, diff array<long>"
+    rows = [(1, 10, 1, 100, 4, [1, 2, 3, 4]), (1, 11, 11, 100, 5, [1, 2, 3, 4, 5]), (1, 12, 12, 100, 40, list(range(4, 44))), (2, 10, 1, 100, 2, [8, 9]), (2, 11, 11, 100, 2, [6, 7])]
+    near = spark.createDataFrame(rows, schema)
+    got = jaccard.met_by_difference(near, near.drop("diff"), 90)
+    assert [(r.a, r.b) for r in got.collect()] == [(10, 11)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert all("diff" not in line for line in plan.splitlines() if "Join" in line or "Aggregate" in line)
+    assert "array_intersect" not in plan
