@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smslens.operators.similarity import connected_components
 from smslens.session import shared_folder
 
 #: Bytes of text worked on at once; one longer document is a block of its own.
@@ -213,52 +214,41 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListA
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
-    """Connected components of undirected links: (node, component), the component being its smallest node.
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Connected components of undirected links: (node, component), the component being its smallest node; stored.
 
-    Nodes without links are absent; null ends and loops are ignored.  Each round every node hooks to its smallest
-    neighbour, chains are halved, and the links are rewritten between what is left, so a chain shrinks
-    geometrically and a star ends in one round.  Labels and links are stored after each round.
+    Nodes without links are absent; null ends and loops are ignored.  See similarity.connected_components.
     """
-    ends = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b").distinct()
-    ends = stored(ends)
-    labels = stored(ends.select(F.col("a").alias("node")).union(ends.select(F.col("b"))).distinct().withColumn("component", F.col("node")))
-    for _ in range(max_rounds):
-        if ends.isEmpty():
-            break
-        both = ends.select("a", "b").union(ends.select(F.col("b"), F.col("a")))
-        hooks = stored(both.groupBy("a").agg(F.min("b").alias("to")).where("to < a").select(F.col("a").alias("from"), "to"))
-        onward = hooks.select(F.col("from").alias("to"), F.col("to").alias("next"))
-        hooks = stored(hooks.join(onward, "to", "left").select("from", F.coalesce("next", "to").alias("to")))
-        lead = lambda df, c: df.join(hooks.select(F.col("from").alias(c), "to"), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
-        labels = stored(lead(labels, "component"))
-        ends = stored(lead(lead(ends, "a"), "b").where("a <> b").distinct())
-    else:
-        raise RuntimeError("components did not settle")
-    return labels
+    ends = links.select(F.col(a).alias("src"), F.col(b).alias("dst")).where("src <> dst")
+    return stored(connected_components(ends).withColumnRenamed("id", "node"))
 
 
 def group_links(posted: DataFrame, fits, check) -> tuple[DataFrame, DataFrame]:
     """Links and their components among nodes that share a token, without listing all pairs of a token.
 
-    posted: (token, node, x), repeated rows allowed.  fits(x1, x2) tells from x whether two nodes can link at all; check(pairs)
-    returns those of the pairs (a, b) that do link.  First every node is held against the smallest node of its
-    group; then only pairs of a group that lie in different components are looked at.  The components are those
+    posted: (token, node, x), each token and node once; nodes of one x have the same tokens.  fits(x1, x2) tells from x
+    whether two nodes can link at all; check(pairs) returns those of the pairs (a, b), all of which fit, that do link.
+    First every node is held against the head of its group, the smallest node of the smallest x; then only pairs of a
+    group of three or more that lie in different components are looked at.  The components are those
     of all links, as a link inside a component changes nothing; links has the ones that were needed.
     """
-    heads = posted.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("other")).where("head < other").drop("other")
-    shared = stored(posted.join(heads, "token").distinct())
+    merged = lambda df: df.hint("shuffle_merge")  # nothing of these sizes passes the driver
+    heads = posted.groupBy("token").agg(F.min("x").alias("hx"), F.count("*").alias("n")).where("n > 1")
+    shared = stored(posted.join(merged(heads), "token"))
     tidy(posted.sparkSession)
-    star = stored(shared.where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
+    leads = shared.where("x = hx").groupBy("hx").agg(F.min("node").alias("head"))
+    star = shared.where(fits(F.col("x"), F.col("hx"))).select("node", "hx").distinct().join(merged(leads), "hx").where("node <> head")
+    star = stored(star.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
+    shared = shared.where("n > 2").drop("hx", "n")
     links = check(star)
     tidy(posted.sparkSession)
     found = components(links)
-    placed = shared.join(found, "node", "left").select("token", "node", "x", F.coalesce("component", "node").alias("component"))
+    placed = shared.join(merged(found), "node", "left").select("token", "node", "x", F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    open_ = stored(placed.join(split, "token"))
+    open_ = stored(placed.join(merged(split), "token"))
     other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "component")])
-    cross = open_.join(other, "token").where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & fits(F.col("x"), F.col("x2")))
-    cross = cross.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    cross = open_.join(merged(other), "token").where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & fits(F.col("x"), F.col("x2")))
+    cross = cross.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(merged(star), ["a", "b"], "left_anti")
     cross = stored(cross)
     tidy(posted.sparkSession)
     more = check(cross)

@@ -7,9 +7,9 @@ of the hash, so lines are joined on every pair of blocks (25 or 26 bits of the h
 and what is within three bits and also close by edit distance is linked.  Of each connected group the first occurrence in
 the table stays.
 
-SimHash on the JVM: a word's hash is split into bits, and bits that are eight apart share a 64-bit sum as lanes of
-eight bits.  So 127 words need eight sums (no lane reaches the sign); a longer line is summed in such parts, whose
-lanes are then widened to 32 bits and added up.
+SimHash on the JVM: a word's hash is split into bits, and bits that are sixteen apart share a 64-bit sum as lanes of
+sixteen bits.  So 32,767 distinct words need sixteen sums; a longer line is counted bit by bit within its row.
+Lines go by their hashes from there on; only those that may link nearly are read again.
 """
 
 from __future__ import annotations
@@ -26,11 +26,13 @@ MIN_WORDS = 5
 MIN_CHARS, MIN_SPACELESS = 25, 10
 SPACELESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 SIMILARITY = 0.8
+#: Characters from which the ends that two lines share are cut off before their distance is counted.
+CUT_FROM = 1_000
 #: Bits that may differ; one more than this may share no block, so blocks number DISTANCE + BLOCKS_JOINED.
 DISTANCE, BLOCKS_JOINED = 3, 2
 BLOCK_BITS = (13, 13, 13, 13, 12)
-PART_WORDS = 127
-BIT_LANES, BYTE_LANES = 0x0101010101010101, 0x000000FF000000FF
+#: Lanes of a sum, the lowest bit of each, and the most words that a lane counts.
+LANE_BITS, LANES, LANE_WORDS = 16, 0x0001000100010001, 0x7FFF
 
 
 def normal_line(line: Column) -> Column:
@@ -44,11 +46,10 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """Each line: id0, rk, pos, ord (its place in the table's order: by id, absent ids last), norm, node, node2."""
-    at = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("9223372036854775808").cast("decimal(20,0)"))
+    """Each line: doc_id, id0, rk, pos, norm, node, node2."""
     lines = rows.select("doc_id", "id0", "rk", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("id0", "rk", "pos", (at * F.lit(4294967296).cast("decimal(12,0)") + F.col("pos")).cast("decimal(38,0)").alias("ord"), normal_line(F.col("line")).alias("norm"))
-    return lines.where("norm <> ''").withColumn("node", F.xxhash64("norm")).withColumn("node2", F.xxhash64(F.lit(1), "norm"))
+    lines = once(lines, ["doc_id", "id0", "rk", "pos"], norm=normal_line(F.col("line"))).where("norm <> ''")
+    return lines.withColumn("node", F.xxhash64("norm")).withColumn("node2", F.xxhash64(F.lit(1), "norm"))
 
 
 def n_words() -> Column:
@@ -62,23 +63,38 @@ def long_enough() -> Column:
     return (F.col("words") >= MIN_WORDS) | in_one | (F.regexp_count("norm", F.lit(SPACELESS)) >= MIN_SPACELESS)
 
 
-def sim_hashes(lines: DataFrame) -> DataFrame:
-    """(node, node2, first, n, simhash) of distinct lines (norm, first, n).
+def huge_hash(hashes: Column) -> Column:
+    """The SimHash of a line by counting bit after bit, for the rare lines of more words than a lane holds."""
+    ones = lambda k: F.size(F.filter(hashes, lambda h: F.bit_get(h, k) == 1))
+    bit = lambda k: F.when(ones(k) * 2 > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(bit(k)))
+
 
-    A line goes by its hashes from here on, so that its text is not carried along with each of its words.
+def hashed_lines(rows: DataFrame) -> DataFrame:
+    """(doc_id, id0, rk, pos, node, node2, simhash) of every line that is compared.
+
+    Words become rows beside their line's keys and collapse to one row per line before the shuffle; no text is shuffled.
     """
-    keys = ["node", "node2", "first", "n"]
-    words = lines.select(F.xxhash64("norm").alias("node"), F.xxhash64(F.lit(1), "norm").alias("node2"), "first", "n", F.posexplode(F.array_distinct(F.split("norm", " "))).alias("at", "word"))
-    words = words.select(*keys, F.floor(F.col("at") / PART_WORDS).alias("part"), F.xxhash64("word").alias("wh"))
-    parts = words.groupBy(*keys, "part").agg(*[F.sum(F.shiftrightunsigned("wh", k).bitwiseAND(F.lit(BIT_LANES))).alias(f"s{k}") for k in range(8)], F.count("*").alias("words"))
-    wide = {(k, i): F.sum(F.shiftrightunsigned(f"s{k}", 8 * i).bitwiseAND(F.lit(BYTE_LANES))).alias(f"w{k}_{i}") for k in range(8) for i in range(4)}
-    summed = parts.groupBy(*keys).agg(*wide.values(), F.sum("words").alias("words"))
+    lines = occurrences(rows).withColumn("words", n_words()).where(long_enough())
+    keys = ["doc_id", "id0", "rk", "pos", "node", "node2"]
+    hashed = once(lines, keys, hashes=F.array_distinct(F.transform(F.split("norm", " "), lambda w: F.xxhash64(w))))
+    huge = F.size("hashes") > LANE_WORDS
+    hashed = hashed.select(*keys, F.monotonically_increasing_id().alias("line"), F.when(huge, huge_hash(F.col("hashes"))).alias("huge"), F.when(huge, F.slice("hashes", 1, 1)).otherwise(F.col("hashes")).alias("hashes"))
+    words = hashed.select("line", *keys, "huge", F.explode("hashes").alias("h"))
+    sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(LANES))).alias(f"s{k}") for k in range(LANE_BITS)]
+    summed = words.groupBy("line", *keys, "huge").agg(*sums, F.count("*").alias("words"))
     bits = F.lit(0).cast("long")
-    for k, i in wide:
-        for half in (0, 1):  # lane i + 4 * half of sum k: bit k + 8 * that lane
-            count = F.shiftrightunsigned(f"w{k}_{i}", 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
-            bits = bits.bitwiseOR(F.when(count * 2 > F.col("words"), F.shiftleft(F.lit(1).cast("long"), k + 8 * (i + 4 * half))).otherwise(F.lit(0).cast("long")))
-    return summed.select(*keys, bits.alias("simhash"))
+    for k in range(LANE_BITS):
+        for at in range(k, 64, LANE_BITS):  # the lane of sum k that counts bit `at`
+            count = F.shiftrightunsigned(f"s{k}", at - k).bitwiseAND(F.lit((1 << LANE_BITS) - 1))
+            bits = bits.bitwiseOR(F.when(count * 2 > F.col("words"), F.shiftleft(F.lit(1).cast("long"), at)).otherwise(F.lit(0).cast("long")))
+    return summed.select(*keys, F.coalesce("huge", bits).alias("simhash"))
+
+
+def place() -> Column:
+    """A line's place in the table's order: by id, absent ids last, then position."""
+    at = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("9223372036854775808").cast("decimal(20,0)"))
+    return (at * F.lit(4294967296).cast("decimal(12,0)") + F.col("pos")).cast("decimal(38,0)")
 
 
 def block_keys() -> Column:
@@ -103,35 +119,45 @@ def shared_length(a: str, b: str, side: str) -> Column:
 
 
 def edit_similar(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b, a_norm, b_norm) whose Levenshtein distance leaves the similarity; ends they share are cut off first."""
+    """Pairs (a, b, a_norm, b_norm) whose Levenshtein distance leaves the similarity.
+
+    Ends that long lines share are cut off first; short ones are compared sooner than their ends are found.
+    """
     longest = F.greatest(F.char_length("a_norm"), F.char_length("b_norm"))
     cut = pairs.withColumn("allowed", F.floor(longest * (1 - similarity) + 1e-9).cast("int")).where(F.abs(F.char_length("a_norm") - F.char_length("b_norm")) <= F.col("allowed"))
-    cut = once(cut, ["a", "b", "allowed", "a_norm", "b_norm"], p=shared_length("a_norm", "b_norm", "left"))
+    cut = once(cut, ["a", "b", "allowed", "a_norm", "b_norm"], p=F.when(longest > CUT_FROM, shared_length("a_norm", "b_norm", "left")).otherwise(0))
     cut = once(cut, ["a", "b", "allowed"], a_rest=F.expr("substring(a_norm, p + 1)"), b_rest=F.expr("substring(b_norm, p + 1)"))
-    cut = once(cut, ["a", "b", "allowed", "a_rest", "b_rest"], q=shared_length("a_rest", "b_rest", "right"))
+    cut = once(cut, ["a", "b", "allowed", "a_rest", "b_rest"], q=F.when(F.greatest(F.char_length("a_rest"), F.char_length("b_rest")) > CUT_FROM, shared_length("a_rest", "b_rest", "right")).otherwise(0))
     middle = lambda x: F.expr(f"left({x}, char_length({x}) - q)")
     cut = once(cut, ["a", "b", "allowed"], a_mid=middle("a_rest"), b_mid=middle("b_rest"))
     return cut.where(F.expr("levenshtein(a_mid, b_mid, allowed) >= 0")).select("a", "b")
 
 
-def line_groups(rows: DataFrame) -> DataFrame:
-    """(node, node2, keep_ord) of lines that occur again, exactly or nearly; keep_ord is the occurrence that stays."""
-    lines = occurrences(rows).groupBy("norm").agg(F.min("ord").alias("first"), F.count("*").alias("n"))
-    lines = lines.withColumn("words", n_words()).where(long_enough())
-    lines = stored(sim_hashes(lines))
+def texts_of(nodes: DataFrame, lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, norm) of some of the lines: one occurrence of each is looked up in its row."""
+    at = stored(attach(lines.select("node", "id0", "rk", "pos"), nodes, ["node"], "left_semi").dropDuplicates(["node"]))
+    wanted = stored(at.groupBy("id0", "rk").agg(F.collect_list(F.struct("pos", "node")).alias("wanted")))
+    held = once(attach(rows.select("id0", "rk", "text"), wanted, ["id0", "rk"], "inner"), ["wanted"], parts=F.split("text", "\n"))
+    found = held.select("parts", F.inline("wanted")).select("node", normal_line(F.get("parts", F.col("pos"))).alias("norm"))
+    return stored(found.dropDuplicates(["node"]))
+
+
+def line_groups(rows: DataFrame, found_lines: DataFrame) -> DataFrame:
+    """(node, node2, keep_ord) of lines that occur again, exactly or nearly; keep_ord is the occurrence that stays.
+
+    found_lines: hashed_lines(rows), stored.
+    """
+    lines = stored(found_lines.groupBy("node", "node2").agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.min("simhash").alias("simhash")))
     tidy(rows.sparkSession)
     posted = lines.select("node", F.col("simhash").alias("x"), F.explode(block_keys()).alias("token"))
-    hashes = lines.select("node", "simhash")
 
     def check(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(hashes.select(F.col("node").alias("a"), F.col("simhash").alias("x")), "a").join(hashes.select(F.col("node").alias("b"), F.col("simhash").alias("y")), "b")
-        near = stored(near.where(bits_apart(F.col("x"), F.col("y")) <= DISTANCE).select("a", "b"))
-        if near.isEmpty():
-            return near
-        involved = stored(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        texts = stored(attach(occurrences(rows).select("node", "norm"), involved, ["node"], "left_semi").distinct())
-        both = near.join(texts.select(F.col("node").alias("a"), F.col("norm").alias("a_norm")), "a").join(texts.select(F.col("node").alias("b"), F.col("norm").alias("b_norm")), "b")
-        return stored(edit_similar(both))
+        if pairs.isEmpty():
+            return pairs
+        involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        texts = texts_of(involved, found_lines, rows)
+        text = lambda x: texts.select(F.col("node").alias(x), F.col("norm").alias(f"{x}_norm")).hint("shuffle_merge")
+        return stored(edit_similar(pairs.join(text("a"), "a").join(text("b"), "b")))
 
     _, found = group_links(posted, lambda x, y: bits_apart(x, y) <= DISTANCE, check)
     placed = lines.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -148,9 +174,11 @@ def bits_apart(x: Column, y: Column) -> Column:
 
 def removed_lines(rows: DataFrame) -> DataFrame:
     """(id0, rk, gone): positions of the lines that go, for each row that loses some."""
-    groups = line_groups(rows)
+    lines = stored(hashed_lines(rows))
+    tidy(rows.sparkSession)
+    groups = line_groups(rows, lines)
     tidy(rows.sparkSession)
-    found = attach(occurrences(rows).select("id0", "rk", "pos", "ord", "node", "node2"), groups, ["node", "node2"], "inner")
+    found = attach(lines.select("id0", "rk", "pos", place().alias("ord"), "node", "node2"), groups, ["node", "node2"], "inner")
     gone = stored(found.where("ord > keep_ord").groupBy("id0", "rk").agg(F.collect_set("pos").alias("gone")))
     tidy(rows.sparkSession)
     return gone

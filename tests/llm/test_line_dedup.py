@@ -5,7 +5,7 @@ import numpy as np
 import regex
 import xxhash
 
-from smslens.llm import line_dedup
+from smslens.llm import common, line_dedup
 from smslens.llm.queries import LLM_QUERIES
 
 
@@ -121,3 +121,30 @@ def test_marks_tabs_and_scripts_without_spaces(make):
     rows = [(i, line) for i, line in enumerate([*same, table, table, han, han, code, code, "短い", "短い", "just four words here", "just four words here"])]
     got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(make(rows)).collect()}
     assert [got[i] for i in range(len(rows))] == [0, 1, 1, 1, 0, 1, 0, 1, 0, 1, 0, 0, 0, 0]
+
+
+def test_hashes_shuffle_no_text_and_long_lines_count_bit_by_bit(make, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, "\n".join(" ".join(rng.choices([f"w{k}" for k in range(90)], k=k)) for k in (5, 40, 300))) for i in range(4)]
+    read = lambda: line_dedup.hashed_lines(line_dedup.keyed(make(rows), "doc_id", "text"))
+    plan = read()._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 1 and "norm#" not in dealt[0] and "text#" not in dealt[0]
+    want = sorted(sim_hash(normal(line)) for _, text in rows for line in text.split("\n"))
+    hashes = lambda: sorted(r.simhash % (1 << 64) for r in read().collect())
+    assert hashes() == want
+    monkeypatch.setattr(line_dedup, "LANE_WORDS", 30)
+    assert hashes() == want
+
+
+def test_chance_meetings_are_not_checked(spark):
+    rows = [(t, 2 * t + i, (t + 1 << 16) + x) for t in range(500) for i, x in enumerate((0, 0xFF))] + [(999, 5_000 + i, i) for i in range(3)]
+    seen = []
+
+    def every(pairs):
+        seen.append(pairs.count())
+        return pairs
+
+    posted = spark.createDataFrame(rows, "token long, node long, x long")
+    _, found = common.group_links(posted, lambda x, y: line_dedup.bits_apart(x, y) <= 3, every)
+    assert seen == [2, 0] and {(r.node, r.component) for r in found.collect()} == {(5_000 + i, 5_000) for i in range(3)}
