@@ -1,15 +1,17 @@
-"""Similarity join of word-shingle sets by Jaccard, with prefix filters under several global token orders.
+"""Similarity join of word-shingle sets by Jaccard, from runs and prefixes under several global token orders.
 
-A set's prefix under an order is its first size - ceil(t * size) + 1 tokens; two sets at Jaccard t or more share a
-prefix token under every order.  So a pair is a candidate only where the prefixes meet under all of the orders:
-the first one joins, the others are checked on the joined pairs' sets, and only what is left is counted out.
+Lay the union of two sets out as a ring in a global order.  With t of it common and the rest not, the tokens that only
+one set has cut the common ones into as many stretches, and the longest has t / (1 - t) tokens at least.  So two
+sets at Jaccard t or more share a run: so many tokens (9 at 0.9, 4 at 0.8) that follow each other in both.  Each run is
+posted under its anchor, the few neighbouring tokens in it of the smallest hash, which many runs of a set share.  Pairs
+are looked for among sets that share an anchor and, where those are many, among sets that share the whole run.
 
-The first order puts rare tokens first: tokens in ascending hash order, but those seen in several prefixes last,
-the more frequent the later.  Any such order is right; the table of repeated tokens has a fixed greatest size and
-only decides how many pairs are looked at.
+A set's prefix under an order is its first size - ceil(t * size) + 1 tokens; two sets at Jaccard t or more share a
+prefix token under every order.  Pairs away from a group's head whose prefixes do not meet under the other orders
+are not counted out.
 
-Equal sets are one class.  Inside a group of classes that share a prefix token not all pairs are listed: see
-prefix_links.
+Equal sets are one class.  Inside a group of classes that share an anchor not all pairs are listed: see
+run_links.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from pyspark.sql import functions as F
 
 from smslens.llm.common import LOWER, Block, RollingHash, attach, blocks, components, lists, mixed, shingles, stored, tidy, words
 
-#: Most tokens in the table of repeated tokens (9 bytes each), and the count from which a token is in it.
-FREQUENT, FREQUENT_FROM = 2_000_000, 2
-#: Tokens are counted in prefixes this many times as long, so that those that move up are known as well.
-COUNTED = 2
+#: Members from which an anchor is frequent, so that its open pairs have to share a whole run.
+FREQUENT_FROM = 16
+#: A run longer than any set: sets that must not differ at all.
+NO_RUN = 1 << 40
 #: Orders besides the first.
 OTHER_ORDERS = 2
 HASH = RollingHash(9)
@@ -63,12 +65,53 @@ def prefix_lengths(sizes: np.ndarray, percent: int) -> np.ndarray:
     return np.where(sizes > 0, sizes - -(-sizes * percent // 100) + 1, 0)
 
 
-def firsts(token: np.ndarray, rank: np.ndarray, counts: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Of each text its `most` tokens of the smallest rank; rank is one or more keys, the last the weightiest."""
+def run_length(percent: int) -> int:
+    """Tokens in a row, on the ring of a global order, that two different sets of the threshold share at least."""
+    return -(-percent // (100 - percent)) if percent < 100 else NO_RUN
+
+
+def runs(token: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every token of each set the run that starts there: its anchor, its hash, and whether the set has so many tokens.
+
+    token: the sets' tokens ascending, one set after the other.  Runs go on at a set's first token after its last.
+    """
+    length = run_length(percent)
+    long = counts >= length
+    valid = np.repeat(long, counts)
+    if not valid.any():
+        return token, token, valid
+    gram = max(1, length // 2)
+    starts = (np.cumsum(counts) - counts)[long]
+    n = counts[long]
+    size = n + length - 1
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    ring = token[np.repeat(starts, size) + place % np.repeat(n, size)]
+    first = place < np.repeat(n, size)
+    acc = np.zeros(len(ring) - gram + 1, np.uint64)
+    for k in range(gram):
+        acc = acc * np.uint64(0x9E3779B97F4A7C15) + ring[k : k + len(acc)]
+    grams = mixed(acc)
+    many = len(ring) - length + 1
+    anchor, whole = grams[:many].copy(), np.zeros(many, np.uint64)
+    for k in range(1, length - gram + 1):
+        np.minimum(anchor, grams[k : k + many], out=anchor)
+    for k in sorted({*range(0, length - gram + 1, gram), length - gram}):
+        whole = whole * np.uint64(0x9E3779B97F4A7C15) + grams[k : k + many]
+    out = []
+    for found in (anchor, mixed(whole)):
+        full = np.zeros(len(token), np.uint64)
+        full[valid] = found[first[:many]]
+        out.append(full)
+    return out[0], out[1], valid
+
+
+def anchors(token: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of each set's runs, those of neighbouring runs once, and their number."""
+    anchor, _, valid = runs(token, counts, percent)
     of = np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((*np.atleast_2d(rank), of))
-    place = np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return token[order][place < np.repeat(most, counts)]
+    new = valid.copy()
+    new[1:] &= (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])
+    return anchor[new], np.bincount(of[new], minlength=len(counts))
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -89,59 +132,34 @@ def map_texts(docs: DataFrame, keep: list[str], schema: str, make) -> DataFrame:
     return docs.select(*keep, "text").mapInArrow(run, ", ".join([*kinds, schema]))
 
 
-def shingle_prefixes(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """First pass: the prefix tokens of every text in plain hash order, from which frequent tokens are counted."""
-
-    def make(block: Block) -> list[pa.Array]:
-        token, counts = token_sets(block, length)
-        most = np.minimum(COUNTED * prefix_lengths(counts, percent), counts)
-        return [lists(signed(firsts(token, token, counts, most)), most, pa.int64())]
-
-    return map_texts(docs, [], "prefix array<long>", make)
-
-
-def frequent_tokens(docs: DataFrame, length: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens in at least FREQUENT_FROM prefixes with the binary logarithm of their counts, by token.
-
-    Where that would be more than FREQUENT, the least count asked for is raised to the next power of two at which
-    the table stays within its size; the tokens left out only come earlier in the order.
-    """
-    token = shingle_prefixes(docs, length, percent).select(F.explode("prefix").alias("token"))
-    counted = stored(token.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT_FROM))
-    levels = counted.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count("*").alias("tokens")).collect()
-    least, room = 64, FREQUENT
-    for r in sorted(levels, key=lambda r: -r.level):
-        if r.tokens > room:
-            break
-        least, room = r.level, room - r.tokens
-    found = counted.where(F.floor(F.log2("n")) >= least).select("token", F.floor(F.log2("n")).cast("byte").alias("level")).toPandas()
-    token, level = found["token"].to_numpy("int64").view(np.uint64), found["level"].to_numpy("int8")
-    order = np.argsort(token)
-    return token[order], level[order]
-
-
 def set_names(token: np.ndarray, counts: np.ndarray) -> list[str | None]:
     """A 128-bit name of each set, none for an empty one."""
     data, ends = token.tobytes(), np.cumsum(counts)
     return [hashlib.md5(data[8 * (e - c) : 8 * e]).hexdigest() if c else None for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
 
 
-def described(docs: DataFrame, length: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Second pass: docs (doc_id, th, th2, text) with the size and name of the set and its prefix under the first order."""
-    known, weight = frequent
+def described(docs: DataFrame, length: int, percent: int) -> DataFrame:
+    """docs (doc_id, th, th2, text) with the size and name of the set and the anchors of its runs."""
+
+    def make(block: Block) -> list[pa.Array]:
+        token, counts = token_sets(block, length)
+        anchor, most = anchors(token, counts, percent)
+        return [pa.array(counts, pa.int64()), pa.array(set_names(token, counts), pa.string()), lists(signed(anchor), most, pa.int64())]
+
+    return map_texts(docs, ["doc_id", "th", "th2"], "n long, class string, anchors array<long>", make)
+
+
+def whole_runs(docs: DataFrame, length: int, percent: int) -> DataFrame:
+    """(node, token, run) of every run of docs (node, text), token being its anchor."""
 
     def make(block: Block) -> list[pa.Array]:
         token, counts = token_sets(block, length)
-        names = set_names(token, counts)
-        most = prefix_lengths(counts, percent)
-        late = np.zeros(len(token), np.int64)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, token), len(known) - 1)
-            late = np.where(known[at] == token, weight[at], 0)
-        first = firsts(token, np.stack([token, late.astype(np.uint64)]), counts, most)
-        return [pa.array(counts, pa.int64()), pa.array(names, pa.string()), lists(signed(first), most, pa.int64())]
+        anchor, run, valid = runs(token, counts, percent)
+        most = np.where(counts >= run_length(percent), counts, 0)
+        return [lists(signed(x[valid]), most, pa.int64()) for x in (anchor, run)]
 
-    return map_texts(docs, ["doc_id", "th", "th2"], "n long, class string, prefix array<long>", make)
+    found = map_texts(docs, ["node"], "token array<long>, run array<long>", make)
+    return found.select("node", F.inline(F.arrays_zip("token", "run")))
 
 
 def size_fits(a: Column, b: Column, percent: int) -> Column:
@@ -169,12 +187,14 @@ def held(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, perce
     """
     size = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"))
     pairs = pairs.join(size("a"), "a").join(size("b"), "b").where(size_fits(F.col("a_n"), F.col("b_n"), percent))
-    pairs = stored(pairs.select("a", "b"))
+    pairs = stored(pairs.select("a", "b", "a_n", "b_n"))
     involved = stored(nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"))
     texts = stored(attach(docs, involved, ["doc_id", "th"], "inner").select("node", "text").dropDuplicates(["node"]))
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
 
+    names = ["a", "b", "a_n", "b_n", "apart", "diff"]
+
     def sets(column: pa.Array) -> Iterator[np.ndarray]:
         for block in blocks(column):
             token, counts = token_sets(block, length)
@@ -183,7 +203,7 @@ def held(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, perce
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             apart, diff = [], []
-            for x, y in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True):
+            for x, y in zip(sets(batch.column(4)), sets(batch.column(5)), strict=True):
                 if not every and not meet(x, y, percent):
                     apart.append(len(x) + len(y))
                     diff.append(None)
@@ -191,12 +211,11 @@ def held(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, perce
                 d = np.setxor1d(x, y, assume_unique=True)
                 apart.append(len(d))
                 diff.append(signed(d) if every and len(d) <= 3 * most_apart(len(x), percent) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart, pa.int64()), pa.array(diff, pa.list_(pa.int64()))], ["a", "b", "apart", "diff"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(apart, pa.int64()), pa.array(diff, pa.list_(pa.int64()))], names)
 
     tidy(docs.sparkSession)
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
-    found = both.mapInArrow(count, "a long, b long, apart long, diff array<long>")
-    found = found.join(size("a"), "a").join(size("b"), "b")
+    both = pairs.join(left, "a").join(right, "b").select(*names[:4], "a_text", "b_text")
+    found = both.mapInArrow(count, "a long, b long, a_n long, b_n long, apart long, diff array<long>")
     return stored(found if every else found.where(links_at(F.col("apart"), F.col("a_n"), F.col("b_n"), percent)))
 
 
@@ -226,17 +245,20 @@ def met_by_difference(differing: DataFrame, near: DataFrame, percent: int) -> Da
     return met.where(links_at(apart, F.col("x"), F.col("x2"), percent)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
-def prefix_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) and their components among the nodes of posted (token, node, x), whose prefixes share a token.
+def run_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) and their components among the nodes of posted (token, node), which share an anchor.
 
     Each node is held against the smallest node of its groups, its heads.  What is left are pairs of a group in
     different components.  Sets that differ little from the same head are compared by their differences: two sets
     differ where exactly one of the differences has the token.  Two that share no such token link only if both link
     with the head, so they meet on these tokens, and a group of many copies just below the threshold is not
-    paired up.  A set close to the head and one far from it cannot link.  Other pairs are decided on their texts.
+    paired up.  A set close to the head and one far from it cannot link.  Of a frequent anchor's other pairs only those
+    that share a whole run are listed: sets that have nothing but the anchor in common are very many, and those
+    that link share a run whose anchor it is, or another run.  Other pairs are decided on their texts.
     """
-    heads = posted.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("other")).where("head < other").drop("other")
-    shared = stored(posted.join(heads, "token").distinct())
+    spread = posted.repartition("token")  # shuffled once, for the heads and for their members
+    heads = spread.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("other")).where("head < other").drop("other")
+    shared = stored(spread.join(heads.hint("shuffle_hash"), "token").distinct())
     tidy(posted.sparkSession)
     star = stored(shared.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     measured = held(star, nodes, docs, length, percent, True)
@@ -262,7 +284,12 @@ def prefix_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: i
     split = stored(split)  # few groups are left, so that the other joins move little
     tidy(posted.sparkSession)
     ranked = place(attach(shared, split, ["token"], "left_semi")).join(ranks, ["head", "node"], "left")
+    ranked = ranked.join(nodes.select("node", F.col("n").alias("x")), "node")
     open_ = stored(ranked.withColumn("rank", F.when(F.col("node") == F.col("head"), 1).otherwise(F.coalesce("rank", F.lit(0)))))
+    frequent = stored(open_.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") >= FREQUENT_FROM).select("token"))
+    in_runs = by_runs(attach(open_, frequent, ["token"], "left_semi"), nodes, docs, length, percent)
+    open_ = stored(attach(open_, frequent, ["token"], "left_anti").unionByName(in_runs))
+    tidy(posted.sparkSession)
     other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "x", "component", "rank")])
     decided = (F.col("rank").isin(1, 2) & F.col("rank2").isin(1, 2)) | ((F.col("rank") == 1) & (F.col("rank2") == 3)) | ((F.col("rank") == 3) & (F.col("rank2") == 1))
     cross = open_.join(other, "token").where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & ~decided & size_fits(F.col("x"), F.col("x2"), percent))
@@ -275,6 +302,23 @@ def prefix_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: i
     return links, found
 
 
+def by_runs(crowded: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
+    """crowded's rows (token, node, ...) once for every whole run of the node that has the token as its anchor, by the run.
+
+    Runs that no nodes of different components share are left out.
+    """
+    crowded = stored(crowded)
+    if crowded.isEmpty():
+        return crowded
+    involved = stored(nodes.join(crowded.select("node").distinct(), "node"))
+    texts = attach(docs, involved, ["doc_id", "th"], "inner").select("node", "text").dropDuplicates(["node"])
+    tokens = stored(crowded.select("token").distinct())
+    found = stored(attach(whole_runs(texts, length, percent), tokens, ["token"], "left_semi").distinct())
+    keyed = stored(found.join(crowded, ["token", "node"]).drop("token").withColumnRenamed("run", "token"))
+    split = keyed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    return stored(attach(keyed, stored(split), ["token"], "left_semi").select(*crowded.columns))
+
+
 def jaccard_components(docs: DataFrame, length: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class, links.
 
@@ -296,14 +340,12 @@ def row_key(id_col: str, text_col: str) -> dict[str, Column]:
 def placed_rows(docs: DataFrame, length: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """jaccard_components with th and th2, two hashes of the row's text."""
     base = docs.select(*[c.alias(name) for name, c in row_key(id_col, text_col).items()], F.col(text_col).alias("text"))
-    frequent = frequent_tokens(base, length, percent)
-    tidy(docs.sparkSession)
-    rows = stored(described(base, length, percent, frequent))
+    rows = stored(described(base, length, percent))
     classes = stored(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least")))
     named = classes.where("least is not null").select("class", F.xxhash64("class").alias("node"), F.col("least").alias("doc_id"))
     nodes = stored(rows.select("class", "doc_id", "th", "n").join(named, ["class", "doc_id"]).dropDuplicates(["class"]))
-    posted = rows.where("class is not null").select(F.xxhash64("class").alias("node"), F.col("n").alias("x"), F.explode("prefix").alias("token"))
-    links, found = prefix_links(posted, nodes, base, length, percent)
+    posted = rows.where("class is not null and doc_id is not null").select(F.xxhash64("class").alias("node"), F.explode("anchors").alias("token"))
+    links, found = run_links(posted, nodes, base, length, percent)
 
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     linked = nodes.select("node", "class", "doc_id").join(found, "node").join(ends, "node", "left")

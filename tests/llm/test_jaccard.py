@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from smslens.llm import jaccard
@@ -107,3 +108,47 @@ def test_differences_are_not_carried_with_their_tokens(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert all("diff" not in line for line in plan.splitlines() if "Join" in line or "Aggregate" in line)
     assert "array_intersect" not in plan
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_an_anchor_and_a_run(percent):
+    rng = random.Random(percent)
+    numbers = lambda tokens: np.array(sorted(tokens), np.uint64)
+    length, linked = jaccard.run_length(percent), 0
+    for _ in range(400):
+        base = {rng.getrandbits(64) for _ in range(rng.choice([length, length + 1, 2 * length, 40, 300]))}
+        x, y = set(base), set(base)
+        for _ in range(rng.randrange(1, 1 + max(1, len(base) // length))):
+            kind = rng.randrange(3)
+            (x if kind else y).add(rng.getrandbits(64))
+            if kind == 2 and len(y) > 1:
+                y.discard(rng.choice(sorted(y)))
+        if 100 * len(x & y) < percent * len(x | y):
+            continue
+        linked += 1
+        counts = np.array([len(x), len(y)])
+        token = np.r_[numbers(x), numbers(y)]
+        anchor, run, valid = jaccard.runs(token, counts, percent)
+        cut = lambda v: (set(v[: len(x)][valid[: len(x)]].tolist()), set(v[len(x) :][valid[len(x) :]].tolist()))
+        assert set.intersection(*cut(anchor)) and set.intersection(*cut(run))
+        found, most = jaccard.anchors(token, counts, percent)
+        assert (set(found[: most[0]].tolist()), set(found[most[0] :].tolist())) == cut(anchor)
+    assert linked > 50
+
+
+def test_sets_that_only_share_a_passage_are_not_paired_up(make, monkeypatch):
+    """Texts with half of their words in common are no candidates: pairs looked at grow with the rows, not with their square."""
+    looked_at = []
+    held = jaccard.held
+
+    def counted(pairs, *args):
+        looked_at.append(pairs.count())
+        return held(pairs, *args)
+
+    monkeypatch.setattr(jaccard, "held", counted)
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join([*passage, *[f"w{rng.randrange(10**9)}" for _ in range(30)]])) for i in range(150)]
+    rows += [(200, rows[4][1] + " x"), (201, rows[9][1] + " y z")]
+    check(rows, jaccard.jaccard_components(make(rows)).collect())
+    assert sum(looked_at) < 10 * len(rows)
