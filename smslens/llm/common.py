@@ -233,8 +233,10 @@ def group_links(posted: DataFrame, fits, check) -> tuple[DataFrame, DataFrame]:
     of all links, as a link inside a component changes nothing; links has the ones that were needed.
     """
     merged = lambda df: df.hint("shuffle_merge")  # nothing of these sizes passes the driver
-    heads = posted.groupBy("token").agg(F.min("x").alias("hx"), F.count("*").alias("n")).where("n > 1")
-    shared = stored(posted.join(merged(heads), "token"))
+    spread = posted.repartition("token")  # shuffled once, for the heads and for their members
+    heads = spread.groupBy("token").agg(F.min("x").alias("hx"), F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
+    heads = heads.where("low < high").drop("low", "high")
+    shared = stored(spread.join(heads.hint("shuffle_hash"), "token"))
     tidy(posted.sparkSession)
     leads = shared.where("x = hx").groupBy("hx").agg(F.min("node").alias("head"))
     star = shared.where(fits(F.col("x"), F.col("hx"))).select("node", "hx").distinct().join(merged(leads), "hx").where("node <> head")

@@ -2,13 +2,13 @@
 
 Lines are normalised (lower case, runs of anything but letters and digits as one space); equal normal forms are one
 line.  Each distinct line of five words or more, or as long in a script or code without spaces, gets a 64-bit SimHash of its distinct words (a mark that stands between all words of a table's rows would
-otherwise give them all one hash).  Lines within three bits of each other agree on at least two of five blocks
-of the hash, so lines are joined on every pair of blocks (25 or 26 bits of the hash),
-and what is within three bits and also close by edit distance is linked.  Of each connected group the first occurrence in
+otherwise give them all one hash).  Lines within three bits of each other agree on at least three of six blocks
+of the hash, so lines are joined on every three blocks (31 to 33 bits of the hash: two of five blocks, 25 bits, meet by
+chance too often in large tables), and what is within three bits and also close by edit distance is linked.  Of each connected group the first occurrence in
 the table stays.
 
 SimHash on the JVM: a word's hash is split into bits, and bits that are sixteen apart share a 64-bit sum as lanes of
-sixteen bits.  So 32,767 distinct words need sixteen sums; a longer line is counted bit by bit within its row.
+sixteen bits.  So 16,383 distinct words need sixteen sums, whose lanes are held against half of the words all at once; a longer line is counted bit by bit within its row.
 Lines go by their hashes from there on; only those that may link nearly are read again.
 """
 
@@ -27,12 +27,14 @@ MIN_CHARS, MIN_SPACELESS = 25, 10
 SPACELESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 SIMILARITY = 0.8
 #: Characters from which the ends that two lines share are cut off before their distance is counted.
-CUT_FROM = 1_000
+CUT_FROM = 100
+#: Distances that are tried before the one allowed: time grows with the distance tried.
+TRIED = (16, 64)
 #: Bits that may differ; one more than this may share no block, so blocks number DISTANCE + BLOCKS_JOINED.
-DISTANCE, BLOCKS_JOINED = 3, 2
-BLOCK_BITS = (13, 13, 13, 13, 12)
-#: Lanes of a sum, the lowest bit of each, and the most words that a lane counts.
-LANE_BITS, LANES, LANE_WORDS = 16, 0x0001000100010001, 0x7FFF
+DISTANCE, BLOCKS_JOINED = 3, 3
+BLOCK_BITS = (11, 11, 11, 11, 10, 10)
+#: Lanes of a sum, the lowest bit of each, and the most words that a lane counts (a lane's two upper bits stay free).
+LANE_BITS, LANES, LANE_WORDS = 16, 0x0001000100010001, 0x3FFF
 
 
 def normal_line(line: Column) -> Column:
@@ -83,11 +85,11 @@ def hashed_lines(rows: DataFrame) -> DataFrame:
     words = hashed.select("line", *keys, "huge", F.explode("hashes").alias("h"))
     sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(LANES))).alias(f"s{k}") for k in range(LANE_BITS)]
     summed = words.groupBy("line", *keys, "huge").agg(*sums, F.count("*").alias("words"))
+    over = (F.lit(0x3FFF).cast("long") - F.shiftright("words", 1)) * F.lit(LANES)  # lifts a lane to its bit 14 if it counts over half of the words
     bits = F.lit(0).cast("long")
     for k in range(LANE_BITS):
-        for at in range(k, 64, LANE_BITS):  # the lane of sum k that counts bit `at`
-            count = F.shiftrightunsigned(f"s{k}", at - k).bitwiseAND(F.lit((1 << LANE_BITS) - 1))
-            bits = bits.bitwiseOR(F.when(count * 2 > F.col("words"), F.shiftleft(F.lit(1).cast("long"), at)).otherwise(F.lit(0).cast("long")))
+        lifted = (F.col(f"s{k}") + over).bitwiseAND(F.lit(LANES << 14))
+        bits = bits.bitwiseOR(F.shiftrightunsigned(lifted, 14 - k) if k < LANE_BITS - 1 else F.shiftleft(lifted, 1))
     return summed.select(*keys, F.coalesce("huge", bits).alias("simhash"))
 
 
@@ -98,7 +100,7 @@ def place() -> Column:
 
 
 def block_keys() -> Column:
-    """One key for each pair of blocks: which pair, and the bits of both."""
+    """One key for every three blocks: which ones, and their bits."""
     starts = [sum(BLOCK_BITS[:i]) for i in range(len(BLOCK_BITS))]
     block = [F.shiftrightunsigned("simhash", s).bitwiseAND(F.lit((1 << b) - 1)) for s, b in zip(starts, BLOCK_BITS, strict=True)]
     keys = []
@@ -118,19 +120,32 @@ def shared_length(a: str, b: str, side: str) -> Column:
     return F.aggregate(steps, F.lit(0), lambda p, s: F.when((p + s <= most) & (end(F.col(a), p + s) == end(F.col(b), p + s)), p + s).otherwise(p))
 
 
+def words_apart(a: str, b: str) -> Column:
+    """At least the Levenshtein distance of two lines of as many words: the characters of the words that differ; null for other lines."""
+    differ = F.zip_with(a, b, lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.char_length(x), F.char_length(y))))
+    return F.when(F.size(a) == F.size(b), F.aggregate(differ, F.lit(0), lambda n, d: n + d))
+
+
 def edit_similar(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b, a_norm, b_norm) whose Levenshtein distance leaves the similarity.
 
-    Ends that long lines share are cut off first; short ones are compared sooner than their ends are found.
+    Pairs whose words differ place by place in no more than the distance allowed need no comparing.  Of the others the ends
+    that long lines share are cut off first; short ones are compared sooner than their ends are found.  What is left needs no
+    comparing if it is not longer than the distance allowed; small distances are tried first.
     """
     longest = F.greatest(F.char_length("a_norm"), F.char_length("b_norm"))
     cut = pairs.withColumn("allowed", F.floor(longest * (1 - similarity) + 1e-9).cast("int")).where(F.abs(F.char_length("a_norm") - F.char_length("b_norm")) <= F.col("allowed"))
-    cut = once(cut, ["a", "b", "allowed", "a_norm", "b_norm"], p=F.when(longest > CUT_FROM, shared_length("a_norm", "b_norm", "left")).otherwise(0))
-    cut = once(cut, ["a", "b", "allowed"], a_rest=F.expr("substring(a_norm, p + 1)"), b_rest=F.expr("substring(b_norm, p + 1)"))
-    cut = once(cut, ["a", "b", "allowed", "a_rest", "b_rest"], q=F.when(F.greatest(F.char_length("a_rest"), F.char_length("b_rest")) > CUT_FROM, shared_length("a_rest", "b_rest", "right")).otherwise(0))
+    cut = once(cut, ["a", "b", "allowed", "a_norm", "b_norm"], a_words=F.split("a_norm", " "), b_words=F.split("b_norm", " "))
+    cut = once(cut, ["a", "b", "allowed", "a_norm", "b_norm"], near=F.coalesce(words_apart("a_words", "b_words") <= F.col("allowed"), F.lit(False)))
+    undecided = lambda x: F.when(F.col("near"), F.lit("")).otherwise(F.col(x))
+    cut = once(cut, ["a", "b", "allowed", "near"], a_norm=undecided("a_norm"), b_norm=undecided("b_norm"))
+    cut = once(cut, ["a", "b", "allowed", "near", "a_norm", "b_norm"], p=F.when(longest > CUT_FROM, shared_length("a_norm", "b_norm", "left")).otherwise(0))
+    cut = once(cut, ["a", "b", "allowed", "near"], a_rest=F.expr("substring(a_norm, p + 1)"), b_rest=F.expr("substring(b_norm, p + 1)"))
+    cut = once(cut, ["a", "b", "allowed", "near", "a_rest", "b_rest"], q=F.when(F.greatest(F.char_length("a_rest"), F.char_length("b_rest")) > CUT_FROM, shared_length("a_rest", "b_rest", "right")).otherwise(0))
     middle = lambda x: F.expr(f"left({x}, char_length({x}) - q)")
-    cut = once(cut, ["a", "b", "allowed"], a_mid=middle("a_rest"), b_mid=middle("b_rest"))
-    return cut.where(F.expr("levenshtein(a_mid, b_mid, allowed) >= 0")).select("a", "b")
+    cut = once(cut, ["a", "b", "allowed", "near"], a_mid=middle("a_rest"), b_mid=middle("b_rest"))
+    tried = " or ".join(f"levenshtein(a_mid, b_mid, {d}) >= 0" for d in (*[f"least(allowed, {t})" for t in TRIED], "allowed"))
+    return cut.where(F.expr(f"near or greatest(char_length(a_mid), char_length(b_mid)) <= allowed or {tried}")).select("a", "b")
 
 
 def texts_of(nodes: DataFrame, lines: DataFrame, rows: DataFrame) -> DataFrame:
@@ -195,17 +210,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blanks are left.  An empty table gives no rows; other columns are not read.
     """
     rows = keyed(docs, id_col, text_col)
-    out = rows.join(removed_lines(rows), ["id0", "rk"], "left")
-    n_removed = F.coalesce(F.array_size("gone"), F.lit(0)).alias("n_removed")
-    out = out.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), n_removed, what_is_left("text", "gone").alias("text"))
+    out = once(rows.join(removed_lines(rows), ["id0", "rk"], "left"), ["doc_id", "text", "gone"], lines=F.split("text", "\n"))
+    n_removed = F.coalesce(F.array_size("gone"), F.lit(0))
+    out = once(out, ["doc_id"], n_lines=F.size("lines"), n_removed=n_removed, text=what_is_left("text", "lines", "gone"))
     return out.withColumn("emptied", (F.col("n_removed") > 0) & blank("text"))
 
 
-def what_is_left(text_col: str, gone_col: str) -> Column:
-    """The text without the lines at the given places, itself where there are none."""
-    lines = F.split(text_col, "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone_col))
-    return F.when(F.col(gone_col).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+def what_is_left(text_col: str, lines_col: str, gone_col: str) -> Column:
+    """The text without the lines at the given places, itself where there are none.
+
+    lines_col holds the text's lines as a value: split inside the function over places, the text would be cut once for every line.
+    """
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines_col) - 1), F.col(gone_col))
+    return F.when(F.col(gone_col).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(F.col(lines_col), i)), "\n"))
 
 
 def blank(text_col: str) -> Column:
@@ -221,7 +238,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gone = removed_lines(rows).select(F.col("id0").alias("_line_id0"), F.col("rk").alias("_line_rk"), F.col("gone").alias("_line_gone"))
     text = text_or_empty(text_col)
     own = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_line_id0"), row_hash(F.col(id_col).cast("long"), text).alias("_line_rk"))
-    left = own.join(gone, ["_line_id0", "_line_rk"], "left").withColumn(text_col, what_is_left(text_col, "_line_gone"))
+    own = own.join(gone, ["_line_id0", "_line_rk"], "left")
+    own = once(own, [*docs.columns, "_line_gone"], _line_parts=F.when(F.col("_line_gone").isNotNull(), F.split(text, "\n")))
+    left = once(own, [*[c for c in docs.columns if c != text_col], "_line_gone"], **{text_col: what_is_left(text_col, "_line_parts", "_line_gone")})
     left = left.where(F.col("_line_gone").isNull() | ~blank(text_col))
     if length_col in docs.columns:
         length = F.char_length(text_col).cast(docs.schema[length_col].dataType)

@@ -1,9 +1,11 @@
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 from smslens.llm import common, line_dedup
 from smslens.llm.queries import LLM_QUERIES
@@ -148,3 +150,38 @@ def test_chance_meetings_are_not_checked(spark):
     posted = spark.createDataFrame(rows, "token long, node long, x long")
     _, found = common.group_links(posted, lambda x, y: line_dedup.bits_apart(x, y) <= 3, every)
     assert seen == [2, 0] and {(r.node, r.component) for r in found.collect()} == {(5_000 + i, 5_000) for i in range(3)}
+
+
+def test_lines_within_three_bits_share_blocks_and_chance_meets_less(spark):
+    rng = random.Random(4)
+    near = [x := rng.getrandbits(63)] + [x ^ sum(1 << k for k in rng.sample(range(63), 3)) for _ in range(200)]
+    keys = [set(r[0]) for r in spark.createDataFrame([(x,) for x in near], "simhash long").select(line_dedup.block_keys()).collect()]
+    assert all(keys[0] & k for k in keys)
+    chance = spark.createDataFrame([(rng.getrandbits(63),) for _ in range(30_000)], "simhash long")
+    met = chance.select(F.explode(line_dedup.block_keys()).alias("token")).groupBy("token").count().where("count > 1").count()
+    assert met < 20  # two of five blocks: over a hundred
+
+
+def test_edit_similarity_decided_early_equals_the_distance(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" * rng.randrange(1, 4) for i in range(60)]
+    rows = []
+    for n in range(160):
+        a = rng.choices(vocabulary, k=rng.choice([5, 12, 60, 90]))
+        b = list(a)
+        for _ in range(rng.choice([1, 2, len(a) // 3, 2 * len(a)])):
+            at = rng.randrange(len(b))
+            b[at : at + 1] = rng.choice([[rng.choice(vocabulary)], [], [b[at], "new"], [b[at][:-1] + "y"]])
+        rows.append((n, 1000 + n, " ".join(a), " ".join(b)))
+    got = {r.a for r in line_dedup.edit_similar(spark.createDataFrame(rows, "a long, b long, a_norm string, b_norm string")).collect()}
+    assert got == {n for n, _, a, b in rows if distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)} and 20 < len(got) < 150
+
+
+def test_a_text_is_cut_into_lines_once(make):
+    """Split inside the function over places, a text would be cut once for each of its lines."""
+    lines = [f"line {i} of a text that has very many of them" for i in range(60)]
+    same = "the same line stands in both texts here"
+    left = line_dedup.drop_repeated_lines(make([(1, same), (2, "\n".join([*lines, same]))]))
+    assert not re.search(r"lambdafunction\((get|element_at)?\(?split\(", left._jdf.queryExecution().optimizedPlan().toString())
+    got = {r.doc_id: r.text for r in left.select("doc_id", "text").collect()}
+    assert got[1] == same and same not in got[2]
