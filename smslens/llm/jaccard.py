@@ -10,6 +10,9 @@ A set's prefix under an order is its first size - ceil(t * size) + 1 tokens; two
 prefix token under every order.  Pairs away from a group's head whose prefixes do not meet under the other orders
 are not counted out.
 
+A set's sketch is a bit map in which every token turns one bit over.  Tokens that two sets have in common cancel out, so the
+bits in which their sketches differ are no more than the tokens in which they do: pairs that this settles need no text.
+
 Equal sets are one class.  Inside a group of classes that share an anchor not all pairs are listed: see
 run_links.
 """
@@ -21,15 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smslens.llm.common import LOWER, Block, RollingHash, attach, blocks, components, lists, mixed, shingles, stored, tidy, words
+from smslens.llm.common import LOWER, Block, RollingHash, attach, blocks, components, lists, mixed, once, shingles, stored, tidy, words
 
 #: Members from which an anchor is frequent, so that its open pairs have to share a whole run.
 FREQUENT_FROM = 16
 #: A run longer than any set: sets that must not differ at all.
 NO_RUN = 1 << 40
+#: Bits of a sketch for each token at least.
+SKETCH_BITS = 2
 #: Orders besides the first.
 OTHER_ORDERS = 2
 HASH = RollingHash(9)
@@ -114,6 +119,26 @@ def anchors(token: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.nda
     return anchor[new], np.bincount(of[new], minlength=len(counts))
 
 
+def sketches(token: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sketch of each set as 64-bit words, a power of two of them, and their number; none for an empty set."""
+    words_of = np.where(counts > 0, 1 << np.ceil(np.log2(np.maximum(counts * SKETCH_BITS, 64) / 64)).astype(np.int64), 0)
+    starts = (np.cumsum(words_of) - words_of) * 64
+    last = np.repeat(np.maximum(words_of * 64, 1) - 1, counts).astype(np.uint64)
+    at = np.repeat(starts, counts) + (token & last).astype(np.int64)
+    odd = np.bincount(at, minlength=int(words_of.sum()) * 64).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.uint64), words_of
+
+
+def surely_apart(x: str, y: str) -> Column:
+    """Bits in which two sketches differ, the longer one folded: the sets differ in as many tokens at least."""
+    ones = lambda bits: F.aggregate(bits, F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w))
+    size = F.least(F.size(x), F.size(y))
+    folded = lambda c, i: F.aggregate(F.sequence(i, F.size(c) - 1, size), F.lit(0).cast("long"), lambda w, k: w.bitwiseXOR(F.get(F.col(c), k)))
+    unlike = F.transform(F.sequence(F.lit(0), size - 1), lambda i: folded(x, i).bitwiseXOR(folded(y, i)))
+    alike = F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b))
+    return F.when(F.size(x) == F.size(y), ones(alike)).otherwise(ones(unlike))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -139,14 +164,15 @@ def set_names(token: np.ndarray, counts: np.ndarray) -> list[str | None]:
 
 
 def described(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """docs (doc_id, th, th2, text) with the size and name of the set and the anchors of its runs."""
+    """docs (doc_id, th, th2, text) with the size and name of the set, the anchors of its runs and its sketch."""
 
     def make(block: Block) -> list[pa.Array]:
         token, counts = token_sets(block, length)
         anchor, most = anchors(token, counts, percent)
-        return [pa.array(counts, pa.int64()), pa.array(set_names(token, counts), pa.string()), lists(signed(anchor), most, pa.int64())]
+        bits, n_words = sketches(token, counts)
+        return [pa.array(counts, pa.int64()), pa.array(set_names(token, counts), pa.string()), lists(signed(anchor), most, pa.int64()), lists(signed(bits), n_words, pa.int64())]
 
-    return map_texts(docs, ["doc_id", "th", "th2"], "n long, class string, anchors array<long>", make)
+    return map_texts(docs, ["doc_id", "th", "th2"], "n long, class string, anchors array<long>, sketch array<long>", make)
 
 
 def whole_runs(docs: DataFrame, length: int, percent: int) -> DataFrame:
@@ -182,12 +208,17 @@ def held(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, perce
 
     With every=False only pairs that reach the threshold stay, and pairs whose prefixes do not meet under the other
     orders are not counted out; with every=True all stay, and differences beyond three times what a link allows
-    are null.  Whole texts are fetched for the documents of the pairs and their sets are built where a pair is
-    decided: texts shuffle in a third of the bytes that sets of 64-bit tokens take.  nodes: (node, doc_id, th, n).
+    are null.  Pairs that the sketches settle (no link; with every=True beyond three times) are not looked up, `apart` being
+    what the sketches show.  For the others whole texts are fetched and their sets are built where a pair is
+    decided: texts shuffle in a third of the bytes that sets of 64-bit tokens take.  nodes: (node, doc_id, th, n, sketch).
     """
-    size = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"))
+    size = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
     pairs = pairs.join(size("a"), "a").join(size("b"), "b").where(size_fits(F.col("a_n"), F.col("b_n"), percent))
-    pairs = stored(pairs.select("a", "b", "a_n", "b_n"))
+    pairs = stored(once(pairs, ["a", "b", "a_n", "b_n"], apart=surely_apart("a_sketch", "b_sketch")))
+    settled = F.col("apart") > 3 * most_apart(F.col("a_n"), percent) if every else ~links_at(F.col("apart"), F.col("a_n"), F.col("b_n"), percent)
+    far = pairs.where(settled).withColumn("diff", F.lit(None).cast("array<long>"))
+    pairs = pairs.where(~settled).drop("apart")
+    nodes = nodes.drop("sketch")
     involved = stored(nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"))
     texts = stored(attach(docs, involved, ["doc_id", "th"], "inner").select("node", "text").dropDuplicates(["node"]))
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
@@ -216,7 +247,7 @@ def held(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, perce
     tidy(docs.sparkSession)
     both = pairs.join(left, "a").join(right, "b").select(*names[:4], "a_text", "b_text")
     found = both.mapInArrow(count, "a long, b long, a_n long, b_n long, apart long, diff array<long>")
-    return stored(found if every else found.where(links_at(F.col("apart"), F.col("a_n"), F.col("b_n"), percent)))
+    return stored(found.unionByName(far) if every else found.where(links_at(F.col("apart"), F.col("a_n"), F.col("b_n"), percent)))
 
 
 def links_at(apart: Column, a: Column, b: Column, percent: int) -> Column:
@@ -224,25 +255,40 @@ def links_at(apart: Column, a: Column, b: Column, percent: int) -> Column:
     return (a + b - apart) * 100 >= (a + b + apart) * percent
 
 
-def most_apart(n: int, percent: int) -> int:
+def most_apart(n: int | Column, percent: int) -> int | Column:
     """Tokens in which a set of n tokens differs at most from any that it links with: sizes differ by the same share."""
-    return int(n * (1 + 100 / percent) * (100 - percent) / (100 + percent)) + 1
+    most = n * (1 + 100 / percent) * (100 - percent) / (100 + percent)
+    return F.floor(most).cast("long") + 1 if isinstance(n, Column) else int(most) + 1
 
 
 def met_by_difference(differing: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between nodes of one head in different components, whose differences from it share a token.
 
-    differing: (head, node, component, diff), near: the same pairs with (x, apart).  Each token of a difference becomes
+    differing: (head, node, component, x, apart, diff), near: the same pairs without diff.  Each token of a difference becomes
     a row of fixed width; that two nodes share so many of them is a count, so no difference is carried along with its tokens.
+
+    A token that no other difference of the head has sets its node apart from all others, so `spare`, what a link allows
+    beyond those, bounds how many of the other tokens a partner may lack: it has one of the spare + 1 rarest.  Nodes meet on
+    those alone, and only if what follows in both can still be enough; copies of a head that each have edits of their
+    own do not meet.
     """
-    keyed = differing.select("head", "node", "component", F.explode("diff").alias("d"))
-    other = keyed.select("head", "d", F.col("node").alias("node2"), F.col("component").alias("component2"))
-    met = keyed.join(other, ["head", "d"]).where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")))
-    met = met.groupBy("head", "node", "node2").agg(F.count("*").alias("common"))
-    side = near.select("head", "node", "x", "apart")
-    met = met.join(side, ["head", "node"]).join(side.withColumnsRenamed({"node": "node2", "x": "x2", "apart": "apart2"}), ["head", "node2"])
-    apart = F.col("apart") + F.col("apart2") - 2 * F.col("common")
-    return met.where(links_at(apart, F.col("x"), F.col("x2"), percent)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+    node = ["head", "node"]
+    keyed = differing.select(*node, F.explode("diff").alias("d"))
+    held_by = keyed.groupBy("head", "d").agg(F.count("*").alias("holders")).where("holders > 1")
+    common = stored(keyed.join(held_by, ["head", "d"]))
+    side = near.select(*node, "component", "x", "apart").join(common.groupBy(*node).agg(F.count("*").alias("u")), node)
+    side = side.withColumn("spare", most_apart(F.col("x"), percent) - (F.col("apart") - F.col("u"))).where("spare >= 0")
+    order = Window.partitionBy(*node).orderBy("holders", "d")
+    first = common.withColumn("at", F.row_number().over(order)).join(side, node).where("at <= spare + 1").drop("holders", "spare")
+    other = first.withColumnsRenamed({c: f"{c}2" for c in first.columns if c not in ("head", "d")})
+    rest = F.least(F.col("u") - F.col("at"), F.col("u2") - F.col("at2"))  # tokens that both may have after this one
+    apart = F.col("apart") + F.col("apart2") - 2 * (rest + 1)
+    met = first.join(other, ["head", "d"]).where((F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2")) & links_at(apart, F.col("x"), F.col("x2"), percent))
+    met = stored(met.select(*node, "node2", "x", "x2", "apart", "apart2").distinct())
+    shared = met.join(common.select(*node, "d"), node).join(common.select("head", F.col("node").alias("node2"), "d"), ["head", "node2", "d"])
+    shared = shared.groupBy(*node, "node2", "x", "x2", "apart", "apart2").agg(F.count("*").alias("n"))
+    apart = F.col("apart") + F.col("apart2") - 2 * F.col("n")
+    return shared.where(links_at(apart, F.col("x"), F.col("x2"), percent)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
 def run_links(posted: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -310,7 +356,7 @@ def by_runs(crowded: DataFrame, nodes: DataFrame, docs: DataFrame, length: int,
     crowded = stored(crowded)
     if crowded.isEmpty():
         return crowded
-    involved = stored(nodes.join(crowded.select("node").distinct(), "node"))
+    involved = stored(nodes.drop("sketch").join(crowded.select("node").distinct(), "node"))
     texts = attach(docs, involved, ["doc_id", "th"], "inner").select("node", "text").dropDuplicates(["node"])
     tokens = stored(crowded.select("token").distinct())
     found = stored(attach(whole_runs(texts, length, percent), tokens, ["token"], "left_semi").distinct())
@@ -343,7 +389,7 @@ def placed_rows(docs: DataFrame, length: int, percent: int, id_col: str, text_co
     rows = stored(described(base, length, percent))
     classes = stored(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least")))
     named = classes.where("least is not null").select("class", F.xxhash64("class").alias("node"), F.col("least").alias("doc_id"))
-    nodes = stored(rows.select("class", "doc_id", "th", "n").join(named, ["class", "doc_id"]).dropDuplicates(["class"]))
+    nodes = stored(rows.select("class", "doc_id", "th", "n", "sketch").join(named, ["class", "doc_id"]).dropDuplicates(["class"]))
     posted = rows.where("class is not null and doc_id is not null").select(F.xxhash64("class").alias("node"), F.explode("anchors").alias("token"))
     links, found = run_links(posted, nodes, base, length, percent)
 

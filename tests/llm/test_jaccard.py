@@ -152,3 +152,68 @@ def test_sets_that_only_share_a_passage_are_not_paired_up(make, monkeypatch):
     rows += [(200, rows[4][1] + " x"), (201, rows[9][1] + " y z")]
     check(rows, jaccard.jaccard_components(make(rows)).collect())
     assert sum(looked_at) < 10 * len(rows)
+
+
+def test_sketches_bound_the_difference_from_below(spark):
+    rng = random.Random(2)
+    rows, want = [], []
+    for n in (1, 3, 40, 200, 900):
+        for share in (0.5, 0.9, 1.0):
+            x = {rng.getrandbits(64) for _ in range(n)}
+            y = {t for t in x if rng.random() < share} | {rng.getrandbits(64) for _ in range(int(n * (1 - share) * rng.choice([0, 1, 2])) + 1)}
+            token = np.r_[np.array(sorted(x), np.uint64), np.array(sorted(y), np.uint64)]
+            bits, many = jaccard.sketches(token, np.array([len(x), len(y)]))
+            assert many.sum() == len(bits) and all(64 * m >= 2 * k and m & (m - 1) == 0 for m, k in zip(many.tolist(), (len(x), len(y))))
+            rows.append((len(rows), *[[int(w) for w in jaccard.signed(p)] for p in np.split(bits, [many[0]])]))
+            want.append(len(x ^ y))
+    got = dict(spark.createDataFrame(rows, "i long, x array<long>, y array<long>").select("i", jaccard.surely_apart("x", "y")).collect())
+    assert all(w / 3 - 3 <= got[i] <= w for i, w in enumerate(want)) and len({len(r[1]) - len(r[2]) for r in rows}) > 2
+    bits, many = jaccard.sketches(np.array([5, 9], np.uint64), np.array([0, 2, 0]))
+    assert many.tolist() == [0, 1, 0] and bits.tolist() == [(1 << 5) | (1 << 9)]
+
+
+def difference_case(copies, words, edits, seed):
+    """Copies of one text, each with edits of its own, and a few that repeat the edits of another."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    edited = lambda text, n: [f"e{rng.randrange(10**9)}" if i in at else w for at in [set(rng.sample(range(words), n))] for i, w in enumerate(text)]
+    rows = [(0, " ".join(base))]
+    for i in range(copies):
+        text = edited(base, edits)
+        rows += [(10 * i + 1, " ".join(text)), *([(10 * i + 2, " ".join(edited(text, 1)))] if i % 10 == 0 else [])]
+    return rows
+
+
+def test_copies_with_edits_of_their_own_do_not_meet(make, monkeypatch):
+    """Differences from the head that only have what the head lost in common are too unlike: rows that meet do not grow with the square of the group."""
+    met, stored = [], jaccard.stored
+
+    def kept(df):
+        out = stored(df)
+        if "node2" in out.columns:
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", kept)
+    rows = difference_case(60, 150, 6, 5)
+    check(rows, jaccard.jaccard_components(make(rows)).collect())
+    assert met and sum(met) <= 40
+
+
+def test_pairs_that_sketches_settle_are_not_looked_up(make, monkeypatch):
+    """Texts with the same start and different ends share runs; their sketches tell them apart without the texts."""
+    looked = []
+    attach = jaccard.attach
+
+    def counted(left, right, keys, *args):
+        if keys == ["doc_id", "th"]:
+            looked.append(right.count())
+        return attach(left, right, keys, *args)
+
+    monkeypatch.setattr(jaccard, "attach", counted)
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([*passage, *[f"w{rng.randrange(10**9)}" for _ in range(60)]])) for i in range(80)]
+    rows += [(200, rows[4][1] + " x"), (201, rows[9][1] + " y z")]
+    check(rows, jaccard.jaccard_components(make(rows)).collect())
+    assert looked[0] < 12
